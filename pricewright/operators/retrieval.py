@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -57,9 +58,7 @@ def _blocks(df: DataFrame, key: str, rows_per_block: int) -> list[DataFrame]:
 
 def _ranked(found: list[DataFrame], order: list, k: int) -> DataFrame:
     """The k best over all partitions; at most k rows per question and task arrive here."""
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
+    whole = reduce(DataFrame.unionByName, found)
     rank = F.row_number().over(Window.partitionBy("question_id").orderBy(*order))
     return whole.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= k)
 
@@ -163,6 +162,36 @@ def lexical(chunks: DataFrame, terms: DataFrame, top: int = fixed.LEXICAL_TOP,
     return _ranked(found, [F.desc("score"), "chunk_id"], top)
 
 
+def term_counts(chunks: DataFrame, terms: DataFrame, block: int = 100_000) -> DataFrame:
+    """(term, n_chunks): how many chunks contain each distinct term, ignoring case.
+
+    Tasks count for themselves, so only one number per term and task is shuffled.
+    """
+    spark = chunks.sparkSession
+    lowered = chunks.select(F.lower("text").alias("text"))
+    found = []
+    for part in _blocks(terms.select(F.lower("term").alias("term")).distinct(), "term", block):
+        vocabulary = sorted(r.term for r in part.collect() if r.term is not None)  # one block
+        if not vocabulary:
+            continue
+        shared = spark.sparkContext.broadcast(vocabulary)
+
+        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            vocabulary = shared.value
+            search = _searcher(vocabulary)
+            counts = np.zeros(len(vocabulary), dtype=np.int64)
+            for batch in batches:
+                for text in batch["text"].dropna():
+                    counts[search(text)] += 1
+            at = np.flatnonzero(counts)
+            yield pd.DataFrame({"term": [vocabulary[i] for i in at], "n_chunks": counts[at]})
+
+        found.append(lowered.mapInPandas(scan, "term string, n_chunks long"))
+    if not found:
+        return spark.createDataFrame([], "term string, n_chunks long")
+    return reduce(DataFrame.unionByName, found).groupBy("term").agg(F.sum("n_chunks").alias("n_chunks"))
+
+
 def _searcher(vocabulary: list[str]):
     """text -> indices of the vocabulary words it contains, in one pass over the text."""
     import ahocorasick
@@ -199,6 +228,26 @@ def reordered(ranked: DataFrame, orders: DataFrame) -> DataFrame:
         "question_id", (F.col("_at") + 1).cast("long").alias("position"), "chunk_id", "rank")
 
 
+def nearest_lists(chunks: DataFrame, queries: DataFrame, k: int, lists: int = 3) -> DataFrame:
+    """Several vector searches per question in one scan: ``queries`` also has list_no (1..)."""
+    width = lists + 1
+    keyed = queries.select((F.col("question_id") * width + F.col("list_no")).alias("question_id"), "vector")
+    found = nearest(chunks, keyed, k)
+    return found.select(
+        F.floor(F.col("question_id") / width).alias("question_id"),
+        F.pmod("question_id", F.lit(width)).cast("int").alias("list_no"),
+        "rank", "chunk_id", "distance")
+
+
+def retrieved_lists(chunks: DataFrame, queries: DataFrame, terms: DataFrame, k: int) -> DataFrame:
+    """The results of three vector searches (lists 1..3) and one term search (list 4), with texts."""
+    by_terms = lexical(chunks, terms).select(
+        "question_id", F.lit(4).alias("list_no"), "rank", "chunk_id",
+        F.lit(None).cast("double").alias("distance"))
+    found = nearest_lists(chunks, queries, k).unionByName(by_terms)
+    return found.join(chunks.select("chunk_id", "text", "source"), "chunk_id")
+
+
 def hybrid(chunks: DataFrame, queries: DataFrame, terms: DataFrame, keep: int = fixed.RETRIEVED,
            k: int = fixed.RETRIEVED) -> DataFrame:
     """Three vector searches and a term search, merged, reranked and cut to ``keep``.
@@ -206,17 +255,8 @@ def hybrid(chunks: DataFrame, queries: DataFrame, terms: DataFrame, keep: int =
     ``queries``: question_id, list_no (1..3), vector. The reranker counts the
     question's terms in the text, then prefers near vectors, then earlier places.
     """
-    searches = [
-        nearest(chunks, queries.filter(F.col("list_no") == i), k)
-        .select("question_id", F.lit(i).alias("list_no"), "rank", "chunk_id", "distance")
-        for i in (1, 2, 3)
-    ]
-    found = searches[0].unionByName(searches[1]).unionByName(searches[2]).unionByName(
-        lexical(chunks, terms).select(
-            "question_id", F.lit(4).alias("list_no"), "rank", "chunk_id",
-            F.lit(None).cast("double").alias("distance")))
-    with_text = found.join(chunks.select("chunk_id", "text", "source"), "chunk_id")
-    scored = merged(with_text).join(terms, "question_id").withColumn(
+    found = merged(retrieved_lists(chunks, queries, terms, k))
+    scored = found.join(terms, "question_id").withColumn(
         "score", term_score(F.col("text"), F.col("terms"), fixed.MAX_TERMS))
     order = Window.partitionBy("question_id").orderBy(
         F.desc("score"), F.asc_nulls_last("distance"), "position")

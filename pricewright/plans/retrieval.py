@@ -19,6 +19,8 @@ from pricewright.operators.retrieval import (
     nearest,
     reordered,
     retrieval_scores,
+    retrieved_lists,
+    term_counts,
 )
 from pricewright.operators.splits import hashed
 from pricewright.plans.inputs import QUESTIONS, questions, table
@@ -87,19 +89,8 @@ def topk_chunks(spark, folder):
   SELECT keyword, count(*) AS n_chunks FROM (SELECT DISTINCT keyword FROM keywords), corpus
   WHERE contains(lower(text), keyword) GROUP BY 1""")
 def lexical_match(spark, folder):
-    return term_matches(corpus(spark, folder), questions(spark, folder).select(
-        F.explode("keywords").alias("keyword")).distinct())
-
-
-def term_matches(chunks, terms):
-    """In how many chunks each term occurs (terms that occur at all)."""
-    numbers = numbered(terms, ["keyword"], "question_id")
-    sought = numbers.select("question_id", F.array("keyword").alias("terms"))
-    n = chunks.count()
-    # with no limit on the results, every match of every term is counted
-    hits = lexical(chunks, sought, top=max(n, 1))
-    counts = hits.groupBy("question_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    return counts.join(numbers, "question_id").select("keyword", "n_chunks")
+    terms = questions(spark, folder).select(F.explode("keywords").alias("term"))
+    return term_counts(corpus(spark, folder), terms).withColumnRenamed("term", "keyword")
 
 
 @query("lexical_topn", f"""
@@ -246,15 +237,9 @@ merged AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY list_n
 @query("merge_results", f"""
   WITH {_MERGE} SELECT question_id, position, list_no, chunk_id FROM merged""")
 def merge_results(spark, folder):
-    chunks, queries = corpus(spark, folder), query_vectors(spark, folder)
     terms = questions(spark, folder).select("question_id", F.col("keywords").alias("terms"))
-    lists = [
-        nearest(chunks, queries.filter(F.col("list_no") == i), fixed.RETRIEVED)
-        .select("question_id", F.lit(i).alias("list_no"), "rank", "chunk_id") for i in (1, 2, 3)
-    ] + [lexical(chunks, terms).select("question_id", F.lit(4).alias("list_no"), "rank", "chunk_id")]
-    found = lists[0].unionByName(lists[1]).unionByName(lists[2]).unionByName(lists[3])
-    with_text = found.join(chunks.select("chunk_id", "text"), "chunk_id")
-    return merged(with_text).select("question_id", "position", "list_no", "chunk_id")
+    lists = retrieved_lists(corpus(spark, folder), query_vectors(spark, folder), terms, fixed.RETRIEVED)
+    return merged(lists).select("question_id", "position", "list_no", "chunk_id")
 
 
 @query("hybrid_retrieve", f"""

@@ -54,9 +54,9 @@ def booking_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return text.filter(~broken).select(*typed), text.filter(broken)
 
 
-def markdown_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every ``*.md`` below a first-level folder, which gives the document type."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
+def markdown_files(spark: SparkSession, root: str, names: str = "*.md") -> DataFrame:
+    """Every file of the given name below a first-level folder, which gives the document type."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=names)
     relative = F.regexp_replace(F.col("_metadata.file_path"), "^.*?" + _tail(root) + "/", "")
     return (
         files.select(relative.alias("source"), F.col("value").alias("text"))
@@ -65,9 +65,9 @@ def markdown_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def nonblank_markdown(spark: SparkSession, root: str) -> DataFrame:
-    """Every ``*.md`` with trimmed text; undecodable bytes are left out, blank files dropped."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").option(
+def nonblank_markdown(spark: SparkSession, root: str, names: str = "*.md") -> DataFrame:
+    """Every file with trimmed text; undecodable bytes are left out, blank files dropped."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option(
         "recursiveFileLookup", "true").load(root)
     relative = F.regexp_replace("path", "^.*?" + _tail(root) + "/", "")
     # invalid bytes decode to the replacement character

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 from pricewright.operators.ordering import numbered
+from pricewright.session import staged
 
 
 def write_splits(df: DataFrame, path: str) -> None:
@@ -92,17 +93,18 @@ def write_index(chunks: DataFrame, path: str, buckets: int) -> None:
     )
 
 
-def append_documents(wanted: DataFrame, existing: DataFrame, path: str) -> DataFrame:
-    """Write documents whose path is new; returns how many were ok, skipped or failed."""
-    checked = wanted.join(
-        existing.select("path").distinct().withColumn("_there", F.lit(True)), "path", "left"
-    ).withColumn(
-        "status",
+def append_documents(wanted: DataFrame, path: str) -> DataFrame:
+    """Write the documents whose path is new; returns how many were ok, skipped or failed."""
+    stored = wanted.sparkSession.read.schema("path string, content string").parquet(path)
+    known = stored.select("path").distinct().withColumn("_there", F.lit(True))
+    status = (
         F.when(F.coalesce(F.trim("content"), F.lit("")) == "", "failed")
-        .when(F.col("_there"), "skipped").otherwise("ok"),
+        .when(F.col("_there"), "skipped").otherwise("ok")
     )
-    checked.filter("status = 'ok'").select("path", F.concat("content", F.lit("\n")).alias("content")) \
-        .write.mode("append").parquet(path)
+    # the outcome is fixed before anything is added to the folder it was read from
+    checked = staged(wanted.join(known, "path", "left").withColumn("status", status), "documents")
+    new = checked.filter("status = 'ok'")
+    new.select("path", F.concat("content", F.lit("\n")).alias("content")).write.mode("append").parquet(path)
     return checked.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
