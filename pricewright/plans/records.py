@@ -59,7 +59,7 @@ def written_markdown(spark, folder) -> str:
     path = scratch_path(spark, "markdown")
     text = F.when(F.col("n_chars") % 10 == 0, F.lit(" \n ")).otherwise(F.col("text"))
     table(spark, folder, "documents").select("source", "doc_id", text.alias("value")).repartition(
-        "source").write.partitionBy("source", "doc_id").text(path)
+        spark.sparkContext.defaultParallelism, "doc_id").write.partitionBy("source", "doc_id").text(path)
     return path
 
 
