@@ -117,3 +117,21 @@ BUNDLE_CHARS = 5000
 NO_TITLE = "No title found"
 SNIPPET_CLASS = "snippet summary"
 TAG = r"<[^<]+?>"
+
+# English stop words (the Spark ML list; "'" never occurs inside a token here)
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she "
+    "her hers herself it its itself they them their theirs themselves what which who whom this that "
+    "these those am is are was were be been being have has had having do does did doing a an the and "
+    "but if or because as until while of at by for with about against between into through during "
+    "before after above below to from up down in out on off over under again further then once here "
+    "there when where why how all any both each few more most other some such no nor not only own same "
+    "so than too very s t can will just don should now cannot could ought would"
+).split()
+
+# models
+VOCABULARY = 2000
+HASHED_FEATURES = 5000
+FOREST_TREES = 100
+BOOST_RATE = 0.1
+BOOST_ROUNDS = 1000

@@ -40,7 +40,9 @@ def pair_by_position(left: DataFrame, right: DataFrame, key: str, order: str) ->
 
     def placed(df: DataFrame, name: str) -> DataFrame:
         rows = df.filter(F.trim("text") != "").select(key, order, F.trim("text").alias(name))
-        return running_totals(rows, [key], [order], {}).select(key, F.col("n").alias("place"), name)
+        # only keys are put in order; the texts join their place afterwards
+        places = running_totals(rows.select(key, order), [key], [order], {})
+        return places.join(rows, [key, order]).select(key, F.col("n").alias("place"), name)
 
     both = placed(left, "input").join(placed(right, "output"), [key, "place"], "full")
     return both.select(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
-from pricewright.operators.ordering import running_totals
+from pricewright.operators.ordering import numbered, running_totals
 
 
 def error_of(truth: str = "truth", guess: str = "guess") -> Column:
@@ -113,14 +113,11 @@ def overall_scores(scores: DataFrame) -> DataFrame:
 
 
 def leaderboard(models: DataFrame) -> DataFrame:
-    """Rank and medal per model; models without a score come last, ties by name.
-
-    One row per model enters, so a single ordering task is enough.
-    """
-    order = Window.orderBy(F.desc_nulls_last("overall"), "model")
-    place = F.row_number().over(order).cast("long")
+    """Rank and medal per model; models without a score come last, ties by name."""
+    ranked = numbered(models.select("model", "overall"), [F.desc_nulls_last("overall"), "model"], "place")
+    place = F.col("place")
     medals = F.when(place == 1, "gold").when(place == 2, "silver").when(place == 3, "bronze")
-    return models.select("model", "overall", place.alias("place"), medals.alias("medal"))
+    return ranked.withColumn("medal", medals)
 
 
 def answer_label(place: Column) -> Column:

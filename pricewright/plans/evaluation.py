@@ -19,6 +19,7 @@ from pricewright.operators.evaluation import (
     score_summary,
     success_metrics,
 )
+from pricewright.operators.ordering import numbered
 from pricewright.plans.inputs import PREDICTIONS, predictions, table
 from pricewright.plans.registry import query
 
@@ -227,8 +228,8 @@ def answer_labels(spark, folder):
     models = table(spark, folder, "events").groupBy("user_id").agg(
         F.count_if(F.col("event_type") != "error").alias("n_ok")
     ).withColumn("model", F.concat(F.lit("model "), F.col("user_id").cast("string")))
-    place = F.row_number().over(Window.orderBy("user_id")).cast("int")  # one row per model
-    named = models.filter("n_ok >= 50").select("model", answer_label(place).alias("label"))
+    placed = numbered(models.filter("n_ok >= 50").select("user_id", "model"), ["user_id"], "place")
+    named = placed.select("model", answer_label(F.col("place").cast("int")).alias("label"))
     # the judge answers by label only and forgets some labels
     verdicts = named.filter(~F.col("label").isin("C", "Answer30")).select(
         "label", (F.length("label") * 2).cast("long").alias("score"), F.lit(True).alias("judged"))
@@ -257,7 +258,5 @@ def run_timing_avg(spark, folder):
         F.round(F.avg(F.when(F.col("ok"), F.col("value"))), 6).alias("avg_time"),
         F.array_join(F.transform(ordered, lambda r: r["value"].cast("string")), ", ").alias("runs"),
     )
-    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("avg_time"), "user_id"))
-    return timed.select(
-        "user_id", "avg_time", F.nullif("runs", F.lit("")).alias("runs"),
-        place.cast("long").alias("place"))
+    listed = timed.withColumn("runs", F.nullif("runs", F.lit("")))
+    return numbered(listed, [F.asc_nulls_last("avg_time"), "user_id"], "place")

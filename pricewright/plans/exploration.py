@@ -19,6 +19,7 @@ from pricewright.operators.tables import (
 )
 from pricewright.plans.inputs import BOOKED_LINES, BOOKINGS, booked_lines, bookings, table
 from pricewright.plans.registry import query
+from pricewright.session import staged
 
 
 @query("text_length_hist", """
@@ -372,7 +373,8 @@ def cumulative_share(spark, folder):
     UNION ALL SELECT 5, 'highest price', hi FROM s
     UNION ALL SELECT 5, 'range is very wide, use a log transform', round(hi / lo, 4) FROM s WHERE hi > 100 * lo)""")
 def readiness_advice(spark, folder):
-    rows = bookings(spark, folder).select("price", "teu", "currency", "pol")
+    # several passes follow; the join runs once
+    rows = staged(bookings(spark, folder).select("price", "teu", "currency", "pol"), "bookings")
     low, high = outlier_bounds(rows, "price")
     price = F.col("price")
     one = rows.agg(

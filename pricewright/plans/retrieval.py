@@ -276,7 +276,7 @@ def context_block(spark, folder):
 
 @query("rerank_join", f"""
   WITH {_CORPUS},
-  o AS (SELECT item_id AS question_id, unnest([3, 1, 1, 25, 20 - item_id % 5]) AS pick, unnest([1, 2, 3, 4, 5]) AS position FROM benchmark)
+  o AS (SELECT item_id AS question_id, unnest([3, 1, 1, 25, 20 - item_id % 5]) AS pick, unnest([1, 2, 3, 4, 5])::BIGINT AS position FROM benchmark)
   SELECT o.question_id, o.position, n.chunk_id, n.rank FROM o JOIN nearest n
     ON o.question_id = n.question_id AND o.pick = n.rank AND n.list_no = 1 AND n.rank <= 20""")
 def rerank_join(spark, folder):

@@ -54,7 +54,8 @@ def with_batches(df: DataFrame, key: str, size: int = fixed.BATCH_ROWS) -> DataF
 
 def write_batch_requests(df: DataFrame, key: str, text: str, path: str) -> None:
     """Request lines, one folder ``file=start_end`` of at most 1,000 lines per batch."""
-    rows = with_batches(df.select(key, text), key)
+    # only the keys are put in order; the texts join their batch afterwards
+    rows = with_batches(df.select(key), key).join(df.select(key, text), key)
     name = F.concat_ws("_", F.col("start").cast("string"), F.col("end").cast("string"))
     (
         rows.select(name.alias("file"), "place", batch_request(F.col(key), F.col(text)).alias("value"))
