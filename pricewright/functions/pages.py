@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,16 +12,25 @@ from pricewright import fixed_values as fixed
 from pricewright.functions.products import strip
 
 _BREAK = "\x01"
-_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"),
-)
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def unescape(text: Column) -> Column:
-    """The common entities; the ampersand last, so that nothing is decoded twice."""
-    for name, sign in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
+    """Named (HTML 4) and numeric character references decoded in one pass, unknown ones kept."""
+    named = F.from_json(
+        F.lit(json.dumps({name: chr(code) for name, code in name2codepoint.items()})), "map<string,string>")
+
+    def sign(name: Column) -> Column:
+        hexadecimal = F.conv(F.substring(name, 3, 6), 16, 10)
+        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(F.substring(name, 2, 7)).cast("int")
+        numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(named, name))
+        return F.coalesce(known, F.concat(F.lit("&"), name, F.lit(";")))
+
+    names = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1)), sign)
+    # one more gap than names: the last gap meets a missing name
+    pieces = F.zip_with(F.split(text, _ENTITY), names, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def page_title(html: Column) -> Column:
@@ -31,7 +43,7 @@ def visible_text(html: Column) -> Column:
     body = F.regexp_extract(html, "(?is)<body[^>]*>(.*)</body>", 1)
     for unseen in ("(?is)<script.*?</script>", "(?is)<style.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
         body = F.regexp_replace(body, unseen, _BREAK)
-    pieces = F.transform(F.split(body, _BREAK), lambda piece: strip(unescape(piece)))
+    pieces = F.transform(F.split(unescape(body), _BREAK), strip)
     return F.array_join(F.filter(pieces, lambda piece: piece != ""), "\n")
 
 

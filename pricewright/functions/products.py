@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 
-BLANKS = " \n\r\t\f\x0b"
+BLANKS = " \n\r\t\f\x0b\xa0"
 
 
 def strip(text: Column) -> Column:
@@ -47,14 +47,8 @@ def without_codes_in_line(text: Column) -> Column:
 def without_code_tokens(text: Column) -> Column:
     """Drop space-separated tokens that themselves mix capitals and digits at length."""
 
-    def is_code(token: Column) -> Column:
-        return (
-            token.rlike("^[A-Z0-9]{%d,}$" % fixed.CODE_TOKEN_CHARS)
-            & token.rlike("[A-Z]") & token.rlike("[0-9]")
-        )
-
-    return F.array_join(
-        F.transform(F.split(text, " "), lambda t: F.when(is_code(t), "").otherwise(t)), " ")
+    token = r"(?<![^ ])(?=[0-9]*+[A-Z])(?=[A-Z]*+[0-9])[A-Z0-9]{%d,}+(?![^ ])" % fixed.CODE_TOKEN_CHARS
+    return F.regexp_replace(text, token, "")
 
 
 def scrub(title: Column, description: Column, features: Column, details: Column,

@@ -31,10 +31,9 @@ def token_count(text: Column) -> Column:
 
 def cut_tokens(text: Column, limit: int) -> Column:
     """``text`` up to the end of its ``limit``-th token, whole when it has fewer."""
-    head = F.regexp_extract(
-        text, r"^(?s)((?:\s*(?:[\p{L}\p{N}]+|[^\p{L}\p{N}\s])){1,%d})" % limit, 1
-    )
-    return F.when(token_count(text) > limit, F.rtrim(head)).otherwise(text)
+    # possessive, so that a text with fewer tokens fails in one pass
+    longer = r"(?s)^((?:\s*+(?:[\p{L}\p{N}]++|[^\p{L}\p{N}\s])){%d}+)\s*+\S.*$" % limit
+    return F.regexp_replace(text, longer, "$1")
 
 
 def term_score(text: Column, terms: Column, limit: int) -> Column:

@@ -13,9 +13,12 @@ def curate(raw: DataFrame, drop_codes=without_codes_in_line) -> DataFrame:
     """Keep priced products with enough text; the cheap price test runs before the text work."""
     priced = raw.withColumn("price", F.expr("try_cast(price as double)")).filter(
         F.col("price").between(fixed.MIN_PRICE, fixed.MAX_PRICE))
-    details = details_map(F.col("details"))
-    return priced.select(
+    parsed = priced.withColumn("_details", details_map(F.col("details")))
+    full = scrub(F.col("title"), F.col("description"), F.col("features"), F.col("_details"), drop_codes)
+    # exploding one element keeps the length filter above the text work, which
+    # would otherwise run once for the filter and once more for the result
+    return parsed.select(
         "doc_id", "title", "category", "price",
-        pounds(details["Item Weight"]).alias("weight"),
-        scrub(F.col("title"), F.col("description"), F.col("features"), details, drop_codes).alias("full"),
+        pounds(F.col("_details")["Item Weight"]).alias("weight"),
+        F.explode(F.array(full)).alias("full"),
     ).filter(F.length("full") >= fixed.MIN_TEXT_CHARS)

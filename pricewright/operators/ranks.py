@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ class _Bracket:
         return F.lit(False) if self.low is None else F.col(self.column) < self.low
 
 
-def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]]) -> dict[tuple[str, int], float]:
+def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]],
+                    sizes: dict[str, int] | None = None) -> dict[tuple[str, int], float]:
     """The value at each 0-based rank of each column, nulls left out.
 
     Quantile sketches bracket every rank, exact counts confirm the bracket, and
@@ -46,7 +48,7 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]]) -> dict[tuple[
     wanted = sorted(set(wanted))
     if not wanted:
         return {}
-    sizes = _sizes(df, sorted({column for column, _ in wanted}))
+    sizes = sizes or _sizes(df, sorted({column for column, _ in wanted}))
     brackets = [
         _Bracket(column, rank, inside=sizes[column]) for column, rank in wanted if rank < sizes[column]
     ]
@@ -57,7 +59,10 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]]) -> dict[tuple[
         _narrow(df, brackets)
         if before == [(b.low, b.high, b.inside) for b in brackets]:
             break
-    return _pick(df, brackets)
+    settled = [b for b in brackets if b.low is not None and b.low == b.high]
+    found = {(b.column, b.rank): float(b.low) for b in settled}
+    left = [b for b in brackets if b not in settled]
+    return {**found, **_pick(df, left)} if left else found
 
 
 def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tuple[str, float], float]:
@@ -74,7 +79,7 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tu
         for (column, _), spot in spots.items()
         for rank in (math.floor(spot), math.ceil(spot))
     ]
-    found = values_at_ranks(df, wanted)
+    found = values_at_ranks(df, wanted, sizes)
     result = {}
     for (column, share), spot in spots.items():
         low, high = found[column, math.floor(spot)], found[column, math.ceil(spot)]
@@ -88,20 +93,33 @@ def _sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     margin = 2 / ACCURACY
-    sketches = []
+    # ranks in the same bracket share one sketch
+    shared: dict[tuple, list[int]] = {}
     for i, b in enumerate(brackets):
-        share = (b.rank - b.below + 0.5) / b.inside
-        ends = [max(0.0, share - margin), min(1.0, share + margin)]
-        value = F.when(b.holds(), F.col(b.column))
-        sketches.append(F.percentile_approx(value, ends, ACCURACY).alias(f"e{i}"))
-    ends = df.agg(*sketches).first()
-    tries = [_Bracket(b.column, b.rank, ends[i][0], ends[i][1]) for i, b in enumerate(brackets)]
+        shared.setdefault((b.column, b.low, b.high), []).append(i)
+    sketches = []
+    for members in shared.values():
+        ends = []
+        for b in (brackets[i] for i in members):
+            share = (b.rank - b.below + 0.5) / b.inside
+            ends += [max(0.0, share - margin), min(1.0, share + margin)]
+        b = brackets[members[0]]
+        sketches.append(F.percentile_approx(F.when(b.holds(), F.col(b.column)), ends, ACCURACY))
+    found = df.agg(*[sketch.alias(f"s{j}") for j, sketch in enumerate(sketches)]).first()
+    tries = list(brackets)
+    for j, members in enumerate(shared.values()):
+        for at, i in enumerate(members):
+            b = brackets[i]
+            tries[i] = _Bracket(b.column, b.rank, found[j][2 * at], found[j][2 * at + 1])
+    # neighbouring ranks mostly come out with the same ends: count these once
+    distinct = list({(t.column, t.low, t.high): t for t in tries}.items())
     counts = df.agg(
-        *[F.count_if(t.under()).alias(f"b{i}") for i, t in enumerate(tries)],
-        *[F.count_if(t.holds()).alias(f"i{i}") for i, t in enumerate(tries)],
+        *[F.count_if(t.under()).alias(f"b{j}") for j, (_, t) in enumerate(distinct)],
+        *[F.count_if(t.holds()).alias(f"i{j}") for j, (_, t) in enumerate(distinct)],
     ).first()
-    for i, (b, t) in enumerate(zip(brackets, tries, strict=True)):
-        t.below, t.inside = counts[f"b{i}"], counts[f"i{i}"]
+    counted = {key: (counts[f"b{j}"], counts[f"i{j}"]) for j, (key, _) in enumerate(distinct)}
+    for b, t in zip(brackets, tries, strict=True):
+        t.below, t.inside = counted[t.column, t.low, t.high]
         if t.below <= b.rank < t.below + t.inside:
             b.low, b.high, b.below, b.inside = t.low, t.high, t.below, t.inside
 
@@ -111,8 +129,10 @@ def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], floa
         *[F.when(b.holds(), F.struct(F.lit(i).alias("i"), F.col(b.column).cast("double").alias("v")))
           for i, b in enumerate(brackets)]
     )
+    # few rows are in any bracket; the others stop at this filter
+    near = reduce(lambda a, b: a | b, [b.holds() for b in brackets])
     counts = (
-        df.select(F.explode(F.filter(tagged, lambda x: x.isNotNull())).alias("c"))
+        df.filter(near).select(F.explode(F.filter(tagged, lambda x: x.isNotNull())).alias("c"))
         .groupBy("c.i", "c.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -184,7 +184,8 @@ def term_counts(chunks: DataFrame, terms: DataFrame, block: int = 100_000) -> Da
                 for text in batch["text"].dropna():
                     counts[search(text)] += 1
             at = np.flatnonzero(counts)
-            yield pd.DataFrame({"term": [vocabulary[i] for i in at], "n_chunks": counts[at]})
+            if len(at):
+                yield pd.DataFrame({"term": [vocabulary[i] for i in at], "n_chunks": counts[at]})
 
         found.append(lowered.mapInPandas(scan, "term string, n_chunks long"))
     if not found:

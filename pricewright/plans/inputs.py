@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 from pricewright.functions.terms import longest_words
+from pricewright.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,7 +34,9 @@ BOOKED_LINES = """booked AS (
 
 def bookings(spark: SparkSession, folder: str) -> DataFrame:
     """Freight bookings: line items with their order and commodity."""
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_returnflag",
+        "l_extendedprice", "l_linestatus"))
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
     return (
@@ -69,7 +72,7 @@ BOOKINGS = """bookings AS (
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     """Raw product records: a document text attached to a part, details as JSON."""
     parts = table(spark, folder, "part")
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
     n_parts = parts.agg(F.count(F.lit(1))).scalar()
     units = F.array(*[F.lit(u) for u in ("pounds", "ounces", "grams", "kilograms", "stone")])
     unit = F.element_at(units, F.pmod("doc_id", F.lit(5)).cast("int") + 1)

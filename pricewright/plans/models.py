@@ -30,7 +30,7 @@ from pricewright.operators.splits import exact_split
 from pricewright.plans.inputs import raw_products, table
 from pricewright.plans.products import _FULL
 from pricewright.plans.registry import query
-from pricewright.session import scratch_path, staged
+from pricewright.session import scratch_path, spread, staged
 
 _STOPS = ", ".join(f"'{word}'" for word in fixed.STOP_WORDS)
 
@@ -39,7 +39,7 @@ _STOPS = ", ".join(f"'{word}'" for word in fixed.STOP_WORDS)
   WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS word FROM documents)
   SELECT word, count(*) AS n FROM w WHERE word NOT IN ({_STOPS}) GROUP BY 1 ORDER BY n DESC, word LIMIT 2000""")
 def common_words(spark, folder):
-    return word_counts(table(spark, folder, "documents"), "text")
+    return word_counts(spread(table(spark, folder, "documents").select("text")), "text")
 
 
 @query("bag_of_words_vectors")

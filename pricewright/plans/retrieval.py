@@ -25,7 +25,7 @@ from pricewright.operators.retrieval import (
 from pricewright.operators.splits import hashed
 from pricewright.plans.inputs import QUESTIONS, questions, table
 from pricewright.plans.registry import query
-from pricewright.session import scratch_path
+from pricewright.session import scratch_path, spread
 from pricewright.sources.readers import question_lines
 from pricewright.sources.writers import write_index, write_lines
 
@@ -33,7 +33,7 @@ from pricewright.sources.writers import write_index, write_lines
 def corpus(spark, folder):
     """Indexed chunks: the documents that have a vector."""
     vectors = table(spark, folder, "embeddings")
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return documents.join(vectors, F.col("doc_id") == F.col("vec_id")).select(
         F.col("doc_id").alias("chunk_id"), "text", "source", F.col("embedding").alias("vector"))
 
@@ -290,7 +290,7 @@ def rerank_join(spark, folder):
 
 @query("chunk_recursive")
 def chunk_recursive(spark, folder):
-    return chunk_table(table(spark, folder, "documents"))
+    return chunk_table(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 _WORDS, _SHARED = 200, fixed.CHUNK_OVERLAP_WORDS
@@ -302,7 +302,8 @@ _WORDS, _SHARED = 200, fixed.CHUNK_OVERLAP_WORDS
   c AS (SELECT doc_id, words, unnest(range(n)) AS chunk_no FROM n)
   SELECT doc_id, chunk_no, array_to_string(words[chunk_no * {_WORDS - _SHARED} + 1 : chunk_no * {_WORDS - _SHARED} + {_WORDS}], ' ') AS text FROM c""")
 def chunk_window(spark, folder):
-    return window_chunks(table(spark, folder, "documents"), _WORDS, _SHARED)
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return window_chunks(documents, _WORDS, _SHARED)
 
 
 @query("chunk_text", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import functions as F
 
 from pricewright.functions.deals import describe_deal, split_features
@@ -30,18 +32,20 @@ from pricewright.operators.documents import site_bundles
 from pricewright.operators.ordering import numbered
 from pricewright.plans.inputs import table
 from pricewright.plans.registry import query
+from pricewright.session import spread
 
-_UNESCAPE = ("replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
-             "'&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')")
+_UNESCAPE = "{0}"
+for _name, _code in sorted(name2codepoint.items(), key=lambda entry: entry[0] == "amp"):
+    _UNESCAPE = f"replace({_UNESCAPE}, '&{_name};', chr({_code}))"
 _TITLE = ("CASE WHEN regexp_matches(html, '(?i)<title') THEN "
           + _UNESCAPE.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
           + " ELSE 'No title found' END")
 _BODY = "regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1)"
 for _unseen in ("(?is)<script.*?</script>", "(?is)<style.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
     _BODY = f"regexp_replace({_BODY}, '{_unseen}', chr(1), 'g')"
-_BLANKS = "' ' || chr(10) || chr(13) || chr(9)"
-_VISIBLE = (f"array_to_string(list_filter(list_transform(string_split({_BODY}, chr(1)), lambda p: trim("
-            + _UNESCAPE.format("p") + f", {_BLANKS})), lambda p: p <> ''), chr(10))")
+_BLANKS = "' ' || chr(10) || chr(13) || chr(9) || chr(160)"
+_VISIBLE = (f"array_to_string(list_filter(list_transform(string_split(" + _UNESCAPE.format(_BODY) + ", chr(1)), lambda p: trim(p"
+            f", {_BLANKS})), lambda p: p <> ''), chr(10))")
 _PAGE = f"({_TITLE} || chr(10) || chr(10) || {_VISIBLE})[1:2000]"
 _LINKS = "regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
 
@@ -49,7 +53,7 @@ _LINKS = "regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)
 @query("page_text", f"SELECT page_id, {_TITLE} AS title, {_PAGE} AS page_text FROM pages")
 def text_of_pages(spark, folder):
     html = F.col("html")
-    return table(spark, folder, "pages").select(
+    return spread(table(spark, folder, "pages").select("page_id", "html")).select(
         "page_id", page_title(html).alias("title"), page_text(html).alias("page_text"))
 
 
@@ -102,7 +106,7 @@ def snippets(spark, folder):
   SELECT t.page_id, t.url, ('## Landing Page:' || chr(10) || chr(10) || t.page || chr(10) || '## Relevant Links:' || chr(10)
      || coalesce(p.tail, ''))[1:5000] AS bundle FROM t LEFT JOIN p ON t.page_id = p.page_id""")
 def bundles(spark, folder):
-    return site_bundles(table(spark, folder, "pages"))
+    return site_bundles(spread(table(spark, folder, "pages")))
 
 
 _OFFER = """content AS (SELECT doc_id, CASE WHEN n_chars % 2 = 0 THEN text || chr(10) || 'more Features ' || lang || chr(10) || 'and Features ' || source

@@ -19,7 +19,7 @@ from pricewright.operators.ordering import numbered
 from pricewright.operators.splits import exact_split, holdout_split, sample_rows
 from pricewright.plans.inputs import BOOKINGS, bookings, table
 from pricewright.plans.registry import query
-from pricewright.session import scratch_path
+from pricewright.session import scratch_path, spread
 from pricewright.sources.readers import reply_lines
 from pricewright.sources.writers import (
     chat_line,
@@ -133,7 +133,7 @@ def prompt_with_price(spark, folder):
 def sft_pairs(spark, folder):
     """Document summaries cut to the token limit, priced by their part, whole prices but in test."""
     parts = table(spark, folder, "part")
-    documents = exact_split(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    documents = exact_split(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id")
     n_parts = parts.agg(F.count(F.lit(1))).scalar()
     rows = documents.join(
         parts.select("p_partkey", "p_retailprice"), F.col("doc_id") % n_parts == F.col("p_partkey"))
@@ -200,7 +200,8 @@ def freight_pair(spark, folder):
 
 @query("token_count", f"SELECT doc_id, len(regexp_extract_all(text, '{_TOKENS}')) AS n_tokens FROM documents")
 def tokens_per_document(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", token_count(F.col("text")).alias("n_tokens"))
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", token_count(F.col("text")).alias("n_tokens"))
 
 
 def _token_stats(counts):

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g",
+                  **settings: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pricewright")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -21,8 +22,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -33,10 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
     A temporary folder stands in only where the setting is missing *and* the
     session is local, as in tests.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
@@ -50,6 +53,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores before costly work on each row.
+
+    An input that already has a split per core, as any large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
