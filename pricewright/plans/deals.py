@@ -20,7 +20,7 @@ from pricewright.operators.deals import (
     trimmed_memory,
 )
 from pricewright.operators.retrieval import nearest
-from pricewright.plans.inputs import DEALS, deals, table
+from pricewright.plans.inputs import DEALS, deals, table, with_part
 from pricewright.plans.registry import query
 from pricewright.plans.retrieval import _CORPUS, asked_vectors, corpus
 from pricewright.session import scratch_path
@@ -207,10 +207,8 @@ def progress_of_batches(spark, folder):
 
 def chunk_prices(spark, folder):
     """The price of a chunk: that of the part its document belongs to."""
-    parts = table(spark, folder, "part")
-    n_parts = parts.agg(F.count(F.lit(1))).scalar()
     documents = table(spark, folder, "documents").select("doc_id", F.length("text").alias("n_chars"))
-    return documents.join(parts, F.col("doc_id") % n_parts == F.col("p_partkey")).select(
+    return with_part(spark, folder, documents).select(
         F.col("doc_id").alias("chunk_id"), F.col("p_retailprice").alias("price"), "n_chars")
 
 

@@ -14,6 +14,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def with_part(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
+    """Documents with the part each belongs to: the parts are dealt out in turn."""
+    parts = table(spark, folder, "part")
+    return documents.join(parts, F.col("doc_id") % F.lit(parts.count()) == F.col("p_partkey"))
+
+
 def booked_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The booking columns that need no join: ports, volume, price, channel, currency."""
     return table(spark, folder, "lineitem").select(
@@ -71,9 +77,7 @@ BOOKINGS = """bookings AS (
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     """Raw product records: a document text attached to a part, details as JSON."""
-    parts = table(spark, folder, "part")
     documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
-    n_parts = parts.agg(F.count(F.lit(1))).scalar()
     units = F.array(*[F.lit(u) for u in ("pounds", "ounces", "grams", "kilograms", "stone")])
     unit = F.element_at(units, F.pmod("doc_id", F.lit(5)).cast("int") + 1)
     details = F.create_map(
@@ -81,7 +85,7 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("Brand"), F.col("p_brand"),
         F.lit("Item Weight"), F.concat_ws(" ", F.col("p_size").cast("string"), unit),
     )
-    return documents.join(parts, F.col("doc_id") % n_parts == F.col("p_partkey")).select(
+    return with_part(spark, folder, documents).select(
         "doc_id",
         F.col("p_type").alias("category"),
         F.when(F.col("p_size") == 13, "none").otherwise(

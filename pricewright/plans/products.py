@@ -15,7 +15,7 @@ from pricewright.functions.products import (
 )
 from pricewright.functions.prices import money
 from pricewright.operators.curation import curate
-from pricewright.plans.inputs import RAW_PRODUCTS, raw_products, table
+from pricewright.plans.inputs import RAW_PRODUCTS, raw_products, table, with_part
 from pricewright.plans.registry import query
 from pricewright.sources.readers import products
 
@@ -141,9 +141,7 @@ def drop_unpriced(spark, folder):
   SELECT doc_id, CASE WHEN length(text) > 100 THEN text[1:100] || '...' ELSE text END AS description,
          '$' || printf('%.2f', price) AS price, '$' || printf('%.2f', estimate) AS estimate FROM d""")
 def table_view(spark, folder):
-    parts = table(spark, folder, "part")
-    n_parts = parts.agg(F.count(F.lit(1))).scalar()
-    rows = table(spark, folder, "documents").join(parts, F.col("doc_id") % n_parts == F.col("p_partkey"))
+    rows = with_part(spark, folder, table(spark, folder, "documents"))
     return rows.select(
         "doc_id", shortened(F.col("text"), 100).alias("description"),
         money(F.col("p_retailprice")).alias("price"), money(F.col("p_retailprice") * 1.5).alias("estimate"))

@@ -41,7 +41,7 @@ def corpus(spark, folder):
 def query_vectors(spark, folder):
     """Three query vectors per question: as asked, rewritten, with its terms."""
     asked = table(spark, folder, "benchmark").select("item_id")
-    n = asked.agg(F.count(F.lit(1))).scalar()
+    n = asked.count()
     variants = asked.withColumn("list_no", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).withColumn(
         "vec_id", F.col("item_id") + (F.col("list_no") - 1) * n)
     return variants.join(table(spark, folder, "embeddings"), "vec_id").select(
@@ -194,10 +194,10 @@ def metric_bands(spark, folder):
     round(avg(completeness::DOUBLE), 6) AS completeness, round(avg(relevance::DOUBLE), 6) AS relevance FROM s GROUP BY ROLLUP (label)""")
 def answer_summary(spark, folder):
     asked = questions(spark, folder)
-    n = asked.agg(F.count(F.lit(1))).scalar()
+    n = asked.count()
     scores = judged(written_judgements(spark, folder))
     label = group_label(F.col("category"), F.col("final_decision"))
-    return scores.join(asked, F.col("user_id") % n == F.col("question_id")).withColumn("label", label).rollup(
+    return scores.join(asked, F.col("user_id") % F.lit(n) == F.col("question_id")).withColumn("label", label).rollup(
         "label").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.round(F.avg(c), 6).alias(c) for c in ("accuracy", "completeness", "relevance")],

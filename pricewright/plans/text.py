@@ -30,7 +30,7 @@ from pricewright.functions.replies import (
 from pricewright.functions.terms import term_score
 from pricewright.operators.documents import site_bundles
 from pricewright.operators.ordering import numbered
-from pricewright.plans.inputs import table
+from pricewright.plans.inputs import table, with_part
 from pricewright.plans.registry import query
 from pricewright.session import spread
 
@@ -258,9 +258,7 @@ def criteria_lists(spark, folder):
   SELECT doc_id, CAST(contains(lower(text), 'the') AS BIGINT) + CAST(contains(lower(text), 'que') AS BIGINT)
    + CAST(contains(lower(text), 'der') AS BIGINT) + CAST(contains(lower(text), lower(split_part(p_name, ' ', 1))) AS BIGINT) AS score FROM t""")
 def term_scores(spark, folder):
-    parts = table(spark, folder, "part")
-    n_parts = parts.agg(F.count(F.lit(1))).scalar()
-    rows = table(spark, folder, "documents").join(parts, F.col("doc_id") % n_parts == F.col("p_partkey"))
+    rows = with_part(spark, folder, table(spark, folder, "documents"))
     terms = F.array(F.lit("The"), F.lit("que"), F.lit("DER"), F.split("p_name", " ")[0])
     return rows.select("doc_id", term_score(F.col("text"), terms, 8).alias("score"))
 

@@ -17,7 +17,7 @@ from pricewright.functions.products import shortened
 from pricewright.functions.terms import cut_tokens, token_count
 from pricewright.operators.ordering import numbered
 from pricewright.operators.splits import exact_split, holdout_split, sample_rows
-from pricewright.plans.inputs import BOOKINGS, bookings, table
+from pricewright.plans.inputs import BOOKINGS, bookings, table, with_part
 from pricewright.plans.registry import query
 from pricewright.session import scratch_path, spread
 from pricewright.sources.readers import reply_lines
@@ -132,11 +132,8 @@ def prompt_with_price(spark, folder):
 
 def sft_pairs(spark, folder):
     """Document summaries cut to the token limit, priced by their part, whole prices but in test."""
-    parts = table(spark, folder, "part")
     documents = exact_split(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id")
-    n_parts = parts.agg(F.count(F.lit(1))).scalar()
-    rows = documents.join(
-        parts.select("p_partkey", "p_retailprice"), F.col("doc_id") % n_parts == F.col("p_partkey"))
+    rows = with_part(spark, folder, documents)
     price = F.col("p_retailprice")
     exact = F.col("split") == "test"
     return rows.select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions.deals import split_features
-from pricewright.functions.pages import page_links, page_text, snippet_text
+from pricewright.functions.pages import page_links, page_text, snippet_text, unescape
 from pricewright.functions.prices import (
     cut_at_price,
     freight_reply_price,
@@ -211,6 +211,8 @@ def test_page_details(value):
     page = "<html><body><p>a &lt;b&gt; &amp;lt;</p><img src='x'><a href='/l'>l</a><a href=''>e</a></body></html>"
     assert value(page_text, page) == ["No title found\n\na <b> &lt;\nl\ne"]
     assert value(page_links, page) == [["/l"]]
+    assert value(unescape, "&#8364;&#x20AC; &bogus; &amp;copy; &copy;&eacute; a & b", "&", "&#99999999;") == [
+        "€€ &bogus; &copy; ©é a & b", "&", "&#99999999;"]
     found = '<div class="snippet summary"> Big <b>deal</b>\n&lt;i&gt;now&lt;/i&gt; </div>'
     assert value(snippet_text, found, "no\ndiv") == ["Bigdealnow", "no div"]
 
