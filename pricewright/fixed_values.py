@@ -43,7 +43,6 @@ BATCH_MODEL = "openai/gpt-oss-20b"
 BATCH_ENDPOINT = "/v1/chat/completions"
 BATCH_ROWS = 1000
 TOKEN_CUTOFF = 110
-FREIGHT_REQUEST = "Estimate the freight rate for this shipment:"
 FREIGHT_ANSWER = "\n\nFreight rate:"
 
 # Price text
@@ -135,3 +134,40 @@ HASHED_FEATURES = 5000
 FOREST_TREES = 100
 BOOST_RATE = 0.1
 BOOST_ROUNDS = 1000
+
+# Text formats
+FREIGHT_TEXT = (
+    "Estimate the freight rate for this shipment:\n\n"
+    "Route: %s to %s\n"
+    "Commodity: %s (HS %s)\n"
+    "Volume: %.1f TEU\n"
+    "Type: %s\n"
+    "Date: %d-%02d\n"
+    "Channel: %s"
+)
+DESCRIPTION_WITH_CATEGORY = "%s. %s Category: %s."
+DESCRIPTION = "%s. %s"
+NO_DESCRIPTION = "Unknown product"
+DEAL_TEXT = "Title: %s\nDetails: %s\nFeatures: %s\nURL: %s"
+ALERT_TEXT = (
+    "🔥 Great Deal! $%.2f off - %s...\n\n"
+    "💰 Price: $%.2f\n"
+    "📊 Value: $%.2f\n"
+    "💵 Save: $%.2f"
+)
+MONEY = "$%.2f"
+LOOKUP_FOUND = "The price of a ticket to %s is $%s."
+LOOKUP_MISSING = "No price data available for %s."
+LOOKUP_EMPTY = "Please provide a destination city."
+BUNDLE_START = "## Landing Page:\n\n"
+BUNDLE_LINKS = "\n## Relevant Links:\n"
+BUNDLE_LINK = "\n\n### Link: %s\n"
+CONTEXT_PART = "Extract from %s:\n%s"
+DOCUMENT_PART = "### %s\n%s"
+SOURCES_START = "Top sources:\n"
+NO_ANSWER = "Evaluation failed."
+NO_VERDICT = "Evaluation parse failed."
+ROUTE = " → "
+SHORT_ROUTE = "→"
+DOTS = "..."
+FEATURES_MARK = "Features"

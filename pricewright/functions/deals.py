@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.functions.prices import money
+from pricewright import fixed_values as fixed
 from pricewright.functions.products import strip
 
-_MARK = "Features"
-
-
 def split_features(entries: DataFrame) -> DataFrame:
     """Page content on one line, divided at its first "Features"; all fields cut."""
     line = F.replace(F.replace("content", F.lit("\nmore"), F.lit("")), F.lit("\n"), F.lit(" "))
-    at = F.locate(_MARK, F.col("_line"))
+    at = F.locate(fixed.FEATURES_MARK, F.col("_line"))
     details = F.when(at > 0, F.substring("_line", F.lit(1), at - 1)).otherwise(F.col("_line"))
-    features = F.when(at > 0, F.expr(f"substring(_line, locate('{_MARK}', _line) + {len(_MARK)})")).otherwise("")
+    features = F.when(at > 0, F.substring("_line", at + len(fixed.FEATURES_MARK), F.length("_line"))).otherwise("")
     return entries.withColumn("_line", line).select(
         *[c for c in entries.columns if c not in ("title", "content")],
         F.substring("title", 1, 100).alias("title"),
@@ -27,14 +24,11 @@ def split_features(entries: DataFrame) -> DataFrame:
 
 def describe_deal() -> Column:
     """Title, details, features and address of a deal, one per line."""
-    return F.concat(
-        F.lit("Title: "), "title", F.lit("\nDetails: "), strip(F.col("details")),
-        F.lit("\nFeatures: "), strip(F.col("features")), F.lit("\nURL: "), "url")
+    return F.format_string(
+        fixed.DEAL_TEXT, "title", strip(F.col("details")), strip(F.col("features")), "url")
 
 
 def alert_text(description: Column, price: Column, estimate: Column, discount: Column) -> Column:
     """Headline with the first 50 characters, then price, value and saving."""
-    return F.concat(
-        F.lit("🔥 Great Deal! "), money(discount), F.lit(" off - "), F.substring(description, 1, 50),
-        F.lit("...\n\n💰 Price: "), money(price), F.lit("\n📊 Value: "), money(estimate),
-        F.lit("\n💵 Save: "), money(discount))
+    return F.format_string(
+        fixed.ALERT_TEXT, discount, F.substring(description, 1, 50), price, estimate, discount)

@@ -66,9 +66,7 @@ def cut_at_price(prompt: Column) -> Column:
 def freight_text() -> Column:
     """The shipment description built from the booking columns."""
     return F.format_string(
-        fixed.FREIGHT_REQUEST
-        + "\n\nRoute: %s to %s\nCommodity: %s (HS %s)\nVolume: %.1f TEU\nType: %s\nDate: %d-%02d\nChannel: %s",
-        "pol", "pod", "commodity_desc", "commodity_code", "teu", "booking_type", "year", "month",
+        fixed.FREIGHT_TEXT, "pol", "pod", "commodity_desc", "commodity_code", "teu", "booking_type", "year", "month",
         "channel",
     )
 
@@ -79,7 +77,7 @@ def freight_completion(rounded: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    return F.format_string("$%.2f", amount)
+    return F.format_string(fixed.MONEY, amount)
 
 
 def lookup_text(name: Column, price: Column) -> Column:
@@ -87,7 +85,7 @@ def lookup_text(name: Column, price: Column) -> Column:
     number = F.when(price == F.floor(price), price.cast("long").cast("string")).otherwise(
         F.format_string("%.2f", price))
     return (
-        F.when(F.coalesce(F.trim(name), F.lit("")) == "", "Please provide a destination city.")
-        .when(price.isNull(), F.concat(F.lit("No price data available for "), name, F.lit(".")))
-        .otherwise(F.concat(F.lit("The price of a ticket to "), name, F.lit(" is $"), number, F.lit(".")))
+        F.when(F.coalesce(F.trim(name), F.lit("")) == "", fixed.LOOKUP_EMPTY)
+        .when(price.isNull(), F.format_string(fixed.LOOKUP_MISSING, name))
+        .otherwise(F.format_string(fixed.LOOKUP_FOUND, name, number))
     )

@@ -93,12 +93,12 @@ def description_of(title: Column, summary: Column, full: Column, category: Colum
     head = F.coalesce(title, F.lit(""))
     return (
         F.when(category.isNotNull() & base.isNotNull(),
-               F.concat(head, F.lit(". "), base, F.lit(" Category: "), category, F.lit(".")))
-        .when(title.isNotNull() & (title != base), F.concat(title, F.lit(". "), base))
-        .otherwise(F.coalesce(base, F.lit("Unknown product")))
+               F.format_string(fixed.DESCRIPTION_WITH_CATEGORY, head, base, category))
+        .when(title.isNotNull() & (title != base), F.format_string(fixed.DESCRIPTION, title, base))
+        .otherwise(F.coalesce(base, F.lit(fixed.NO_DESCRIPTION)))
     )
 
 
 def shortened(text: Column, limit: int) -> Column:
     """Cut to ``limit`` characters and marked with dots when longer."""
-    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
+    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit(fixed.DOTS))).otherwise(text)

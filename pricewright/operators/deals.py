@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from pricewright import fixed_values as fixed
 
 
-def first_per_group(rows: DataFrame, key: str, order: list[str], limit: int) -> DataFrame:
+def first_per_group(rows: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     """The first ``limit`` rows per key, numbered; each task drops the rest before the shuffle."""
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
-    return rows.withColumn("place", place).filter(F.col("place") <= limit)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("place", place).filter(F.col("place") <= limit).withColumn(
+        "place", F.col("place").cast("long"))
 
 
-def feed_entries(entries: DataFrame, limit: int = fixed.FEED_ENTRIES) -> DataFrame:
+def feed_entries(entries: DataFrame, keys: list[str], limit: int = fixed.FEED_ENTRIES) -> DataFrame:
     """The first entries of each feed; those without an address are skipped."""
-    return first_per_group(entries.filter("url is not null"), "feed", ["ts", "event_id"], limit)
+    return first_per_group(entries.filter("url is not null"), keys, ["ts", "event_id"], limit)
 
 
 def new_deals(entries: DataFrame, memory: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def positive_deals(deals: DataFrame) -> DataFrame:
 def opportunities(deals: DataFrame, estimates: DataFrame, key: str,
                   limit: int = fixed.PRICED_PER_SCAN) -> DataFrame:
     """The first deals of each scan with their estimate and discount."""
-    chosen = first_per_group(positive_deals(deals), "scan", ["ts", "event_id"], limit)
+    chosen = first_per_group(positive_deals(deals), ["scan"], ["ts", "event_id"], limit)
     return chosen.join(estimates, key).withColumn("discount", F.col("estimate") - F.col("price"))
 
 

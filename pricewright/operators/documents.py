@@ -72,15 +72,15 @@ def site_bundles(pages: DataFrame) -> DataFrame:
     ).select("page_id", "place", "link", absolute(F.col("url"), F.col("link")).alias("target"))
     linked = links.join(texts.withColumnRenamed("url", "target"), "target").select(
         "page_id", "place",
-        F.concat(F.lit("\n\n### Link: "), "link", F.lit("\n"), "text").alias("part"))
+        F.concat(F.format_string(fixed.BUNDLE_LINK, "link"), "text").alias("part"))
     # every part has more characters than its heading, so later ones cannot reach the cut
-    heading = len("\n\n### Link: \n")
+    heading = len(fixed.BUNDLE_LINK % "")
     nth = F.row_number().over(Window.partitionBy("page_id").orderBy("place"))
     linked = linked.withColumn("nth", nth).filter(F.col("nth") <= fixed.BUNDLE_CHARS // heading)
     tail = linked.groupBy("page_id").agg(
         F.array_sort(F.collect_list(F.struct("place", "part"))).alias("parts"))
     whole = F.concat(
-        F.lit("## Landing Page:\n\n"), page_text(F.col("html")), F.lit("\n## Relevant Links:\n"),
+        F.lit(fixed.BUNDLE_START), page_text(F.col("html")), F.lit(fixed.BUNDLE_LINKS),
         F.coalesce(F.array_join(F.transform("parts", lambda p: p["part"]), ""), F.lit("")))
     return pages.join(tail, "page_id", "left").select(
         "page_id", "url", F.substring(whole, 1, fixed.BUNDLE_CHARS).alias("bundle"))

@@ -41,14 +41,14 @@ from pricewright.streaming.replies import batch_progress, collect_replies
   WITH {DEALS}, r AS (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY ts, event_id) AS place FROM deals)
   SELECT feed, url, price FROM r WHERE place <= 10""")
 def scan_deal_feed(spark, folder):
-    return feed_entries(deals(spark, folder)).select("feed", "url", "price")
+    return feed_entries(deals(spark, folder), ["feed"]).select("feed", "url", "price")
 
 
 @query("feed_top_n", f"""
   WITH {DEALS}, r AS (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY ts, event_id) AS place FROM deals)
   SELECT scan, place, url FROM r WHERE place <= 10""")
 def feed_top_n(spark, folder):
-    return first_per_group(deals(spark, folder), "scan", ["ts", "event_id"], 10).select("scan", "place", "url")
+    return first_per_group(deals(spark, folder), ["scan"], ["ts", "event_id"], 10).select("scan", "place", "url")
 
 
 def written_memory(spark, folder) -> str:
@@ -136,20 +136,28 @@ def alert_texts(spark, folder):
     return told.select("url", alert.alias("alert"), shortened(alert, 80).alias("notice"))
 
 
-def feed_files(spark, folder) -> str:
-    """The deals as a folder of files, whole scans in each."""
+def scan_files(spark, folder) -> str:
+    """What each scan fetches, the first entries of every feed, as files of whole scans."""
     path = scratch_path(spark, "feed")
-    deals(spark, folder).repartitionByRange(4, "scan").write.parquet(path)
+    fetched = feed_entries(deals(spark, folder), ["scan", "feed"]).drop("place")
+    fetched.repartitionByRange(spark.sparkContext.defaultParallelism, "scan").write.parquet(path)
     return path
 
 
+def _stream(spark, path):
+    """The files of a folder in a few micro-batches."""
+    return deal_stream(spark, path, max(1, spark.sparkContext.defaultParallelism // 4))
+
+
 @query("stream_new_deals", """
   SELECT 'deal/' || event_type || '/' || CAST(json_extract_string(props, '$.k') AS BIGINT) AS url, event_type AS feed
   FROM events GROUP BY ALL""")
 def stream_new_deals(spark, folder):
     memory, checkpoint = scratch_path(spark, "memory"), scratch_path(spark, "progress")
     url = F.concat_ws("/", F.lit("deal"), "feed", F.col("k").cast("string"))
-    stream = deal_stream(spark, feed_files(spark, folder), 1).withColumn("url", url)
+    path = scratch_path(spark, "feed")
+    deals(spark, folder).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    stream = _stream(spark, path).withColumn("url", url)
     forward_new_deals(stream, memory, checkpoint)
     return deal_table(spark, memory).select("url", "feed")
 
@@ -158,14 +166,14 @@ def stream_new_deals(spark, folder):
   WITH {_PRICED} SELECT scan, place, url, price, estimate, round(discount, 4) AS discount FROM priced""")
 def stream_price_deals(spark, folder):
     output, checkpoint = scratch_path(spark, "priced"), scratch_path(spark, "progress")
-    price_deals(deal_stream(spark, feed_files(spark, folder), 1), estimates(spark, folder), "k", output, checkpoint)
+    price_deals(_stream(spark, scan_files(spark, folder)), estimates(spark, folder), "k", output, checkpoint)
     return priced_table(spark, output).select(
         "scan", "place", "url", "price", "estimate", F.round("discount", 4).alias("discount"))
 
 
 def _alerted(spark, folder):
     alert_path, memory = scratch_path(spark, "alerts"), scratch_path(spark, "memory")
-    alert_deals(deal_stream(spark, feed_files(spark, folder), 1), estimates(spark, folder), "k",
+    alert_deals(_stream(spark, scan_files(spark, folder)), estimates(spark, folder), "k",
                 alert_path, memory, scratch_path(spark, "progress"))
     return alert_path, memory
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from pricewright import fixed_values as fixed
 from pricewright.functions.prices import plain_number
 from pricewright.operators.evaluation import (
     answer_label,
@@ -236,8 +237,8 @@ def answer_labels(spark, folder):
     joined = models.join(named, "model", "left").join(verdicts, "label", "left")
     return joined.select(
         "model", "label", "score",
-        F.when(F.col("label").isNull(), "Evaluation failed.")
-        .when(F.col("judged").isNull(), "Evaluation parse failed.").otherwise("ok").alias("summary"))
+        F.when(F.col("label").isNull(), fixed.NO_ANSWER)
+        .when(F.col("judged").isNull(), fixed.NO_VERDICT).otherwise("ok").alias("summary"))
 
 
 @query("run_timing_avg", """

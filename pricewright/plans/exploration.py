@@ -159,7 +159,7 @@ def _top_values_sql(kind: str, key: str) -> str:
     for kind, key in [("origin", "pol"), ("destination", "pod"), ("route", "pol || ' → ' || pod")]))
 def top_values(spark, folder):
     lines = booked_lines(spark, folder)
-    route = F.concat("pol", F.lit(" → "), "pod")
+    route = F.concat("pol", F.lit(fixed.ROUTE), "pod")
     kinds = [("origin", F.col("pol")), ("destination", F.col("pod")), ("route", route)]
     tops = [
         top_counts(lines.select(key.alias("value")), "value", 10).withColumn("kind", F.lit(kind))
@@ -176,7 +176,7 @@ def top_values(spark, folder):
 def distinct_counts(spark, folder):
     lines = bookings(spark, folder).select("pol", "pod", "currency", "commodity_desc").distinct()
     return lines.agg(
-        F.countDistinct(F.concat("pol", F.lit(" → "), "pod")).alias("n_routes"),
+        F.countDistinct(F.concat("pol", F.lit(fixed.ROUTE), "pod")).alias("n_routes"),
         F.countDistinct("pol").alias("n_origins"),
         F.countDistinct("pod").alias("n_destinations"),
         F.countDistinct("currency").alias("n_currencies"),
@@ -337,7 +337,7 @@ def derive_ratio(spark, folder):
   SELECT pol, pod, pol || ' → ' || pod AS route, price FROM booked""")
 def derive_route(spark, folder):
     return booked_lines(spark, folder).select(
-        "pol", "pod", F.concat("pol", F.lit(" → "), "pod").alias("route"), "price")
+        "pol", "pod", F.concat("pol", F.lit(fixed.ROUTE), "pod").alias("route"), "price")
 
 
 @query("cumulative_share", """

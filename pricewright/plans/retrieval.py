@@ -262,14 +262,14 @@ def hybrid_results(spark, folder):
 def sources_top5(spark, folder):
     found = vector_results(spark, folder).filter("rank <= 5")
     lines = joined_in_order(found, "question_id", "rank", F.concat(F.lit("- "), "source"), "\n")
-    return lines.select("question_id", F.concat(F.lit("Top sources:\n"), "joined").alias("sources"))
+    return lines.select("question_id", F.concat(F.lit(fixed.SOURCES_START), "joined").alias("sources"))
 
 
 @query("context_block", f"""
   WITH {_HITS} SELECT question_id, string_agg('Extract from ' || source || ':' || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS context
   FROM found GROUP BY 1""")
 def context_block(spark, folder):
-    part = F.concat(F.lit("Extract from "), "source", F.lit(":\n"), "text")
+    part = F.format_string(fixed.CONTEXT_PART, "source", "text")
     return joined_in_order(vector_results(spark, folder), "question_id", "rank", part, "\n\n").select(
         "question_id", F.col("joined").alias("context"))
 
@@ -323,7 +323,7 @@ def written_index(spark, folder):
     path = scratch_path(spark, "index")
     chunks = corpus(spark, folder).select(
         "chunk_id", "text", "vector", F.create_map(F.lit("source"), F.col("source")).alias("metadata"))
-    write_index(chunks, path, 8)
+    write_index(chunks, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark.read.schema(
         "chunk_id long, text string, vector array<float>, metadata map<string,string>, bucket int").parquet(path)
 

@@ -254,7 +254,7 @@ def title_of_prompt(spark, folder):
     return bookings(spark, folder).select(
         "l_orderkey", "l_linenumber",
         shortened(F.regexp_extract(product, r"Title: ([^\n]*)", 1), 40).alias("title"),
-        F.concat(F.regexp_extract(prompt, route, 1), F.lit("→"), F.regexp_extract(prompt, route, 2))
+        F.concat(F.regexp_extract(prompt, route, 1), F.lit(fixed.SHORT_ROUTE), F.regexp_extract(prompt, route, 2))
         .alias("route"))
 
 
