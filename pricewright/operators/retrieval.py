@@ -16,6 +16,7 @@ from pricewright.functions.terms import term_score
 
 VECTOR_BLOCK = 4096
 TERM_BLOCK = 1024
+BROADCAST_RESULTS = 500_000
 _TILE = 1024
 _DIGITS = 9
 
@@ -60,7 +61,8 @@ def _ranked(found: list[DataFrame], order: list, k: int) -> DataFrame:
     """The k best over all partitions; at most k rows per question and task arrive here."""
     whole = reduce(DataFrame.unionByName, found)
     rank = F.row_number().over(Window.partitionBy("question_id").orderBy(*order))
-    return whole.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= k)
+    return whole.withColumn("rank", rank).filter(F.col("rank") <= k).withColumn(
+        "rank", F.col("rank").cast("long"))
 
 
 def nearest(chunks: DataFrame, queries: DataFrame, k: int, metric: str = "l2",
@@ -208,6 +210,17 @@ def _searcher(vocabulary: list[str]):
     return lambda text: always + list({i for _, i in automaton.iter(text)})
 
 
+def with_texts(found: DataFrame, chunks: DataFrame, n_results: int) -> DataFrame:
+    """Results with the text and source of their chunk.
+
+    ``n_results`` bounds the rows of ``found`` (questions times results): up to a
+    size that fits every task they are sent to the chunks, so that no text moves
+    but those found; beyond it both sides are shuffled.
+    """
+    small = F.broadcast(found) if n_results <= BROADCAST_RESULTS else found
+    return chunks.select("chunk_id", "text", "source").join(small, "chunk_id")
+
+
 def merged(lists: DataFrame) -> DataFrame:
     """Chained merge of ranked lists: a text stays out of a list when an earlier list has it.
 
@@ -246,7 +259,8 @@ def retrieved_lists(chunks: DataFrame, queries: DataFrame, terms: DataFrame, k:
         "question_id", F.lit(4).alias("list_no"), "rank", "chunk_id",
         F.lit(None).cast("double").alias("distance"))
     found = nearest_lists(chunks, queries, k).unionByName(by_terms)
-    return found.join(chunks.select("chunk_id", "text", "source"), "chunk_id")
+    n_results = queries.count() * k + terms.count() * fixed.LEXICAL_TOP
+    return with_texts(found, chunks, n_results)
 
 
 def hybrid(chunks: DataFrame, queries: DataFrame, terms: DataFrame, keep: int = fixed.RETRIEVED,
@@ -262,9 +276,9 @@ def hybrid(chunks: DataFrame, queries: DataFrame, terms: DataFrame, keep: int =
     order = Window.partitionBy("question_id").orderBy(
         F.desc("score"), F.asc_nulls_last("distance"), "position")
     return (
-        scored.withColumn("rank", F.row_number().over(order).cast("long"))
+        scored.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= keep)
-        .select("question_id", "rank", "chunk_id", "score", "source", "text")
+        .select("question_id", F.col("rank").cast("long").alias("rank"), "chunk_id", "score", "source", "text")
     )
 
 

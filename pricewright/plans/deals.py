@@ -19,7 +19,7 @@ from pricewright.operators.deals import (
     positive_deals,
     trimmed_memory,
 )
-from pricewright.operators.retrieval import nearest
+from pricewright.operators.retrieval import nearest, with_texts
 from pricewright.plans.inputs import DEALS, deals, table, with_part
 from pricewright.plans.registry import query
 from pricewright.plans.retrieval import _CORPUS, asked_vectors, corpus
@@ -234,9 +234,10 @@ def _neighbours(spark, folder):
 @query("nearest_products", f"""
   WITH {_NEIGHBOURS} SELECT n.question_id, n.rank, c.text AS description, n.price FROM neighbours n JOIN corpus c USING (chunk_id)""")
 def nearest_products(spark, folder):
-    found = _neighbours(spark, folder)
-    return found.join(corpus(spark, folder).select("chunk_id", F.col("text").alias("description")), "chunk_id").join(
-        chunk_prices(spark, folder), "chunk_id").select("question_id", "rank", "description", "price")
+    n_results = asked_vectors(spark, folder).count() * fixed.NEIGHBOURS
+    found = with_texts(_neighbours(spark, folder), corpus(spark, folder), n_results)
+    return found.join(chunk_prices(spark, folder), "chunk_id").select(
+        "question_id", "rank", F.col("text").alias("description"), "price")
 
 
 @query("neighbour_mean_price", f"WITH {_NEIGHBOURS} SELECT question_id, round(price, 6) AS price FROM means")

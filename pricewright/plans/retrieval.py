@@ -21,6 +21,7 @@ from pricewright.operators.retrieval import (
     retrieval_scores,
     retrieved_lists,
     term_counts,
+    with_texts,
 )
 from pricewright.operators.splits import hashed
 from pricewright.plans.inputs import QUESTIONS, questions, table
@@ -102,9 +103,9 @@ def lexical_topn(spark, folder):
 
 def vector_results(spark, folder):
     """The 20 nearest chunks of every question with their texts."""
-    chunks = corpus(spark, folder)
-    found = nearest(chunks, asked_vectors(spark, folder), fixed.RETRIEVED)
-    return found.join(chunks.select("chunk_id", "text", "source"), "chunk_id")
+    chunks, asked = corpus(spark, folder), asked_vectors(spark, folder)
+    found = nearest(chunks, asked, fixed.RETRIEVED)
+    return with_texts(found, chunks, asked.count() * fixed.RETRIEVED)
 
 
 _HITS = f"""{_CORPUS}, {QUESTIONS},
