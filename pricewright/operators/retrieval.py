@@ -197,8 +197,10 @@ def term_counts(chunks: DataFrame, terms: DataFrame, block: int = 100_000) -> Da
 
 def _searcher(vocabulary: list[str]):
     """text -> indices of the vocabulary words it contains, in one pass over the text."""
-    import ahocorasick
-
+    try:
+        import ahocorasick
+    except ImportError:  # slower, same result
+        return lambda text: [i for i, term in enumerate(vocabulary) if term in text]
     automaton = ahocorasick.Automaton()
     always = [i for i, term in enumerate(vocabulary) if term == ""]
     for i, term in enumerate(vocabulary):
