@@ -104,6 +104,7 @@ CHUNK_OVERLAP_WORDS = 50
 FEED_ENTRIES = 10
 PRICED_PER_SCAN = 5
 ALERT_DISCOUNT = 50.0
+NOTICE_CHARS = 200
 ENSEMBLE_WEIGHTS = (0.8, 0.2)
 NEIGHBOURS = 5
 

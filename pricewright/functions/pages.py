@@ -40,8 +40,9 @@ def page_title(html: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text of the body, one line per piece between tags; scripts, styles and comments removed."""
-    body = F.regexp_extract(html, "(?is)<body[^>]*>(.*)</body>", 1)
-    for unseen in ("(?is)<script.*?</script>", "(?is)<style.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
+    # up to the last end tag, or all when there is none; unclosed scripts hide the rest
+    body = F.regexp_extract(html, "(?is)<body[^>]*>(.*</body>|.*)", 1)
+    for unseen in (r"(?is)<script.*?(</script>|\z)", r"(?is)<style.*?(</style>|\z)", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
         body = F.regexp_replace(body, unseen, _BREAK)
     pieces = F.transform(F.split(unescape(body), _BREAK), strip)
     return F.array_join(F.filter(pieces, lambda piece: piece != ""), "\n")

@@ -14,7 +14,8 @@ def apply_patches(documents: DataFrame, updates: DataFrame) -> DataFrame:
     """Literal search/replace patches on documents, in patch order.
 
     A later patch sees what earlier ones changed. Returns every patched path
-    with its new text and the numbers of the patches that found nothing.
+    with its new text and the numbers of the patches that found nothing; a path
+    without a document has no text and only unmatched patches.
     """
     per_path = updates.select("patch", F.explode("paths").alias("path"), "search", "replacement")
     lists = per_path.groupBy("path").agg(
@@ -31,7 +32,7 @@ def apply_patches(documents: DataFrame, updates: DataFrame) -> DataFrame:
         )
 
     done = F.aggregate("patches", start, one)
-    return documents.join(lists, "path").select("path", done.alias("r")).select(
+    return lists.join(documents, "path", "left").select("path", done.alias("r")).select(
         "path", "r.text", "r.unmatched")
 
 

@@ -32,17 +32,19 @@ def _first_in_hashed_order(rows: DataFrame, key: str, counts: list[int]) -> list
     told apart by the key itself. No row moves.
     """
     found = values_at_ranks(rows, [("_hash", count - 1) for count in counts if count > 0])
+    borders = [int(found["_hash", count - 1]) if count > 0 else -1 for count in counts]
+    at = F.col("_hash")
+    sizes = rows.agg(
+        *[F.count_if(at < border) for border in borders], *[F.count_if(at == border) for border in borders]
+    ).first()
     tests = []
-    for count in counts:
-        if count <= 0:
-            tests.append(F.lit(False))
-            continue
-        border = int(found["_hash", count - 1])
-        below = rows.filter(F.col("_hash") < border).count()
-        last = rows.filter(F.col("_hash") == border).orderBy(key).limit(count - below).agg(
-            F.max(key)).first()[0]
-        tests.append(
-            (F.col("_hash") < border) | ((F.col("_hash") == border) & (F.col(key) <= last)))
+    for i, (count, border) in enumerate(zip(counts, borders, strict=True)):
+        below, equal = sizes[i], sizes[len(borders) + i]
+        if below + equal == count:
+            tests.append(at <= border)
+        else:
+            last = rows.filter(at == border).orderBy(key).limit(count - below).agg(F.max(key)).first()[0]
+            tests.append((at < border) | ((at == border) & (F.col(key) <= last)))
     return tests
 
 

@@ -128,12 +128,12 @@ def best_per_scan(spark, folder):
   WITH {_PRICED}, a AS (SELECT url, '🔥 Great Deal! $' || printf('%.2f', discount) || ' off - ' || product_description[1:50] || '...' ||
     chr(10) || chr(10) || '💰 Price: $' || printf('%.2f', price) || chr(10) || '📊 Value: $' || printf('%.2f', estimate) ||
     chr(10) || '💵 Save: $' || printf('%.2f', discount) AS alert FROM best WHERE nth = 1 AND discount > 50)
-  SELECT url, alert, CASE WHEN length(alert) > 80 THEN alert[1:80] || '...' ELSE alert END AS notice FROM a""")
+  SELECT url, alert, CASE WHEN length(alert) > 200 THEN alert[1:200] || '...' ELSE alert END AS notice FROM a""")
 def alert_texts(spark, folder):
     rows = best_opportunity(opportunities(deals(spark, folder), estimates(spark, folder), "k"))
     told = rows.filter(F.col("discount") > fixed.ALERT_DISCOUNT)
     alert = alert_text(F.col("product_description"), F.col("price"), F.col("estimate"), F.col("discount"))
-    return told.select("url", alert.alias("alert"), shortened(alert, 80).alias("notice"))
+    return told.select("url", alert.alias("alert"), shortened(alert, fixed.NOTICE_CHARS).alias("notice"))
 
 
 def scan_files(spark, folder) -> str:

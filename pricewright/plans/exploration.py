@@ -206,7 +206,7 @@ def group_mean_share(spark, folder):
         F.when(is_currency, "currency").otherwise("booking_type").alias("kind"),
         F.when(is_currency, F.col("currency")).otherwise(F.col("booking_type")).alias("value"),
         "n", F.round(F.col("n") * 100 / base, 4).alias("share"), "mean_price",
-    )
+    ).filter("value is not null")
 
 
 @query("top_groups_mean", f"""
@@ -249,7 +249,7 @@ def count_by_period(spark, folder):
         F.when(by_year, F.col("year").cast("string"))
         .otherwise(F.try_element_at(names, F.col("month"))).alias("label"),
         "n", F.round(F.col("n") * 100 / base, 4).alias("share"),
-    )
+    ).filter("place is not null")
 
 
 @query("channel_counts", """
@@ -257,7 +257,7 @@ def count_by_period(spark, folder):
          round(count(*) * 100 / (SELECT count(*) FROM orders), 4) AS share FROM orders GROUP BY 1""")
 def channel_counts(spark, folder):
     orders = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("channel"))
-    return counts_with_share(orders, "channel")
+    return counts_with_share(orders, "channel").filter("channel is not null")
 
 
 @query("upper_median", f"""

@@ -131,7 +131,7 @@ def drop_unpriced(spark, folder):
         "p_partkey",
         description_of(F.col("title"), F.col("summary"), F.col("full"), F.col("category")).alias("description"),
         F.coalesce("price", F.lit(0.0)).alias("price"),
-        F.coalesce(F.trim("category"), F.lit("Unknown")).alias("category"),
+        F.trim(F.coalesce(F.nullif("category", F.lit("")), F.lit("Unknown"))).alias("category"),
     ).filter((F.col("description") != "") & (F.col("price") > 0))
 
 

@@ -186,13 +186,17 @@ def zip_examples(spark, folder):
 
 
 @query("user_history", """
-  SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) || chr(10) || 'Anything else in ' || conv_id || '?' AS combined
-  FROM conversations WHERE role = 'user' GROUP BY conv_id""")
+  SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role = 'user'), '') || chr(10)
+    || 'Anything else in ' || conv_id || '?' AS combined
+  FROM conversations GROUP BY conv_id""")
 def user_history(spark, folder):
     asked = table(spark, folder, "conversations").filter("role = 'user'")
     question = F.concat(F.lit("\nAnything else in "), F.col("conv_id").cast("string"), F.lit("?"))
-    return joined_in_order(asked, "conv_id", "turn", F.col("text"), "\n").select(
-        "conv_id", F.concat("joined", question).alias("combined"))
+    history = joined_in_order(asked, "conv_id", "turn", F.col("text"), "\n")
+    # a conversation in which the user said nothing keeps its place
+    everyone = table(spark, folder, "conversations").select("conv_id").distinct()
+    return everyone.join(history, "conv_id", "left").select(
+        "conv_id", F.concat(F.coalesce("joined", F.lit("")), question).alias("combined"))
 
 
 @query("synthetic_records", """

@@ -40,8 +40,8 @@ for _name, _code in sorted(name2codepoint.items(), key=lambda entry: entry[0] ==
 _TITLE = ("CASE WHEN regexp_matches(html, '(?i)<title') THEN "
           + _UNESCAPE.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
           + " ELSE 'No title found' END")
-_BODY = "regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1)"
-for _unseen in ("(?is)<script.*?</script>", "(?is)<style.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
+_BODY = "regexp_extract(html, '(?is)<body[^>]*>(.*</body>|.*)', 1)"
+for _unseen in ("(?is)<script.*?(</script>|\\z)", "(?is)<style.*?(</style>|\\z)", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
     _BODY = f"regexp_replace({_BODY}, '{_unseen}', chr(1), 'g')"
 _BLANKS = "' ' || chr(10) || chr(13) || chr(9) || chr(160)"
 _VISIBLE = (f"array_to_string(list_filter(list_transform(string_split(" + _UNESCAPE.format(_BODY) + ", chr(1)), lambda p: trim(p"
@@ -110,20 +110,22 @@ def bundles(spark, folder):
 
 
 _OFFER = """content AS (SELECT doc_id, CASE WHEN n_chars % 2 = 0 THEN text || chr(10) || 'more Features ' || lang || chr(10) || 'and Features ' || source
-  ELSE text END AS content, text, source FROM documents),
+  WHEN n_chars % 3 <> 0 THEN text END AS content, text, source FROM documents),
 flat AS (SELECT *, replace(replace(content, chr(10) || 'more', ''), chr(10), ' ') AS line FROM content),
 cut AS (SELECT doc_id, text[1:100] AS title, source,
-  CASE WHEN contains(line, 'Features') THEN line[1:strpos(line, 'Features') - 1] ELSE line END[1:500] AS details,
+  CASE WHEN content IS NULL THEN 'From ' || source
+       WHEN contains(line, 'Features') THEN line[1:strpos(line, 'Features') - 1] ELSE line END[1:500] AS details,
   CASE WHEN contains(line, 'Features') THEN line[strpos(line, 'Features') + 8:] ELSE '' END[1:500] AS features FROM flat)"""
 
 
 def _offers(spark, folder):
     extra = F.concat(F.lit("\nmore Features "), "lang", F.lit("\nand Features "), "source")
-    content = F.when(F.col("n_chars") % 2 == 0, F.concat("text", extra)).otherwise(F.col("text"))
+    content = F.when(F.col("n_chars") % 2 == 0, F.concat("text", extra)).when(
+        F.col("n_chars") % 3 != 0, F.col("text"))
     documents = table(spark, folder, "documents")
     return split_features(documents.select(
         "doc_id", F.col("text").alias("title"), content.alias("content"),
-        F.col("source").alias("url")))
+        F.concat_ws(" ", F.lit("From"), "source").alias("summary"), F.col("source").alias("url")))
 
 
 @query("split_features", f"WITH {_OFFER} SELECT doc_id, title, details, features FROM cut")

@@ -165,9 +165,10 @@ def test_tokens(value):
 
 def test_features_split_at_the_first_mark(spark):
     rows = spark.createDataFrame(
-        [("t" * 120, "one\nmore Features two Features three"), ("t", "plain\ntext")], "title string, content string")
+        [("t" * 120, "one\nmore Features two Features three", "s"), ("t", "plain\ntext", "s"), ("t", None, "short")],
+        "title string, content string, summary string")
     got = [(len(r.title), r.details, r.features) for r in split_features(rows).collect()]
-    assert got == [(100, "one ", " two Features three"), (1, "plain text", "")]
+    assert got == [(100, "one ", " two Features three"), (1, "plain text", ""), (1, "short", "")]
 
 
 class _Visible(HTMLParser):
@@ -211,6 +212,8 @@ def test_page_details(value):
     page = "<html><body><p>a &lt;b&gt; &amp;lt;</p><img src='x'><a href='/l'>l</a><a href=''>e</a></body></html>"
     assert value(page_text, page) == ["No title found\n\na <b> &lt;\nl\ne"]
     assert value(page_links, page) == [["/l"]]
+    open_ended = "<title>T &amp; U</title><body><p>one<br>two<script>hidden </p>"
+    assert value(page_text, open_ended) == ["T & U\n\none\ntwo"]
     assert value(unescape, "&#8364;&#x20AC; &bogus; &amp;copy; &copy;&eacute; a & b", "&", "&#99999999;") == [
         "€€ &bogus; &copy; ©é a & b", "&", "&#99999999;"]
     found = '<div class="snippet summary"> Big <b>deal</b>\n&lt;i&gt;now&lt;/i&gt; </div>'
@@ -232,10 +235,10 @@ def test_bundles_follow_known_links_and_are_cut(spark):
 def test_patches_see_earlier_changes(spark):
     documents = spark.createDataFrame([("p", "aa"), ("q", "zz"), ("r", "aa")], "path string, text string")
     updates = spark.createDataFrame(
-        [(2, ["p"], "b", "c"), (1, ["p", "q"], "a", "b"), (3, ["q"], "z", "y")],
+        [(2, ["p"], "b", "c"), (1, ["p", "q"], "a", "b"), (3, ["q"], "z", "y"), (4, ["gone"], "x", "y")],
         "patch long, paths array<string>, search string, replacement string")
     got = {r.path: (r.text, r.unmatched) for r in apply_patches(documents, updates).collect()}
-    assert got == {"p": ("cc", []), "q": ("yy", [1])}
+    assert got == {"p": ("cc", []), "q": ("yy", [1]), "gone": (None, [4])}
 
 
 def test_pairs_fill_the_shorter_side(spark):
