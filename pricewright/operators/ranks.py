@@ -48,6 +48,7 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]],
     wanted = sorted(set(wanted))
     if not wanted:
         return {}
+    df = _numbers(df, sorted({column for column, _ in wanted}))
     sizes = sizes or _sizes(df, sorted({column for column, _ in wanted}))
     brackets = [
         _Bracket(column, rank, inside=sizes[column]) for column, rank in wanted if rank < sizes[column]
@@ -67,6 +68,7 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]],
 
 def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tuple[str, float], float]:
     """Linear-interpolation quantiles (the usual table-statistics definition)."""
+    df = _numbers(df, columns)
     sizes = _sizes(df, columns)
     spots = {
         (column, share): (sizes[column] - 1) * share
@@ -87,6 +89,15 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tu
     return result
 
 
+def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns alone, not-a-number counted as missing."""
+    types = dict(df.dtypes)
+    return df.select(*[
+        F.when(~F.isnan(c), F.col(c)).alias(c) if types[c] in ("double", "float") else F.col(c)
+        for c in columns
+    ])
+
+
 def _sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return df.agg(*[F.count(column).alias(column) for column in columns]).first().asDict()
 

@@ -32,7 +32,8 @@ def test_running_totals_with_a_hot_and_a_missing_group(spark):
 
 def test_quantiles_equal_numpy(spark):
     values = np.concatenate([np.full(3000, 7.25), np.random.default_rng(1).lognormal(3, 2, 6000)])
-    rows = spark.createDataFrame(pd.DataFrame({"v": values})).union(spark.sql("select cast(null as double)"))
+    rows = spark.createDataFrame(pd.DataFrame({"v": values})).union(
+        spark.createDataFrame([(None,), (float("nan"),)], "v double"))
     shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     got = quantiles(rows, ["v"], shares)
     for share in shares:
@@ -63,6 +64,13 @@ def test_ranks_of_an_empty_column(spark):
     assert quantiles(spark.createDataFrame([(None,)], "v double"), ["v"], [0.5]) == {}
 
 
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "id long, v double")
+    assert numbered(empty, ["id"]).count() == 0
+    assert running_totals(empty, ["v"], ["id"], {}).count() == 0
+    assert exact_split(empty, "id").count() == 0
+
+
 def test_split_sizes_are_exact_and_repeatable(spark):
     rows = spark.range(0, 1003, 1, 4)
     first = exact_split(rows, "id").toPandas().sort_values("id")["split"].tolist()
