@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
+from pricewright.functions.products import strip
+from pricewright.functions.replies import json_part, without_control
 from pricewright.operators.chunking import chunk_table, page_content, target_chunks, window_chunks
 from pricewright.operators.documents import joined_in_order
 from pricewright.operators.evaluation import metric_band
@@ -217,8 +219,6 @@ def written_judgements(spark, folder):
 
 def judged(replies):
     """Scores parsed from judge replies, neutral 1.0 where a reply cannot be read."""
-    from pricewright.functions.replies import json_part, without_control
-
     scores = F.from_json(
         json_part(without_control(F.col("reply"))),
         "feedback string, accuracy double, completeness double, relevance double")
@@ -355,11 +355,15 @@ def index_stats(spark, folder):
 _WINDOW = 5
 
 
-@query("scan_index_window", f"""
-  WITH {_CORPUS}, p AS (SELECT *, row_number() OVER (ORDER BY chunk_id) - 1 AS place, count(*) OVER () AS total FROM corpus),
-  o AS (SELECT item_id AS case_id, CAST(('0x' || substr(md5(item_id || '/42'), 1, 13)) AS BIGINT)
-      % ((SELECT any_value(total) FROM p) - {_WINDOW} + 1) AS start FROM benchmark)
-  SELECT case_id, place - start AS position, chunk_id FROM o JOIN p ON place BETWEEN start AND start + {_WINDOW - 1}""")
+_WINDOWS = f"""{_CORPUS},
+placed AS (SELECT *, row_number() OVER (ORDER BY chunk_id) - 1 AS place, count(*) OVER () AS total FROM corpus),
+cases AS (SELECT item_id AS case_id, CAST(('0x' || substr(md5(item_id || '/42'), 1, 13)) AS BIGINT)
+  % ((SELECT any_value(total) FROM placed) - {_WINDOW} + 1) AS start FROM benchmark),
+windows AS (SELECT case_id, place - start AS position, chunk_id, text, source
+  FROM cases JOIN placed ON place BETWEEN start AND start + {_WINDOW - 1})"""
+
+
+@query("scan_index_window", f"WITH {_WINDOWS} SELECT case_id, position, chunk_id FROM windows")
 def scan_index_window(spark, folder):
     """One window of neighbouring chunks per test case, from a seeded random offset."""
     chunks = corpus(spark, folder).select("chunk_id")
@@ -374,6 +378,18 @@ def scan_index_window(spark, folder):
         "case_id", F.col("position").cast("long").alias("position"), "chunk_id")
 
 
+@query("documents_block", f"""
+  WITH {_WINDOWS} SELECT case_id, string_agg('### ' || source || chr(10) || trim(text, ' ' || chr(10)), chr(10) || chr(10) ORDER BY position) AS block
+  FROM windows GROUP BY 1""")
+def documents_block(spark, folder):
+    """The texts of each case's window under one another, headed by their source."""
+    windows = scan_index_window(spark, folder)
+    texts = with_texts(windows, corpus(spark, folder), table(spark, folder, "benchmark").count() * _WINDOW)
+    part = F.format_string(fixed.DOCUMENT_PART, "source", strip(F.col("text")))
+    return joined_in_order(texts, "case_id", "position", part, "\n\n").select(
+        "case_id", F.col("joined").alias("block"))
+
+
 @query("scan_questions", """
   SELECT text AS question, CASE WHEN item_id % 5 <> 0 THEN 'topic ' || (item_id % 4) ELSE 'uncategorized' END AS category,
     CASE WHEN item_id % 3 = 0 THEN 'approve' ELSE 'deny' END AS final_decision FROM benchmark""")
