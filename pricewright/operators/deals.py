@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
-
-
-def first_per_group(rows: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
-    """The first ``limit`` rows per key, numbered; each task drops the rest before the shuffle."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("place", place).filter(F.col("place") <= limit).withColumn(
-        "place", F.col("place").cast("long"))
+from pricewright.operators.ordering import first_per_group
 
 
 def feed_entries(entries: DataFrame, keys: list[str], limit: int = fixed.FEED_ENTRIES) -> DataFrame:

@@ -80,3 +80,14 @@ def running_totals(
         *df.columns,
         *[(F.col(f"_l_{name}") + F.col(f"_o_{name}")).alias(name) for name in totals],
     )
+
+
+def first_per_group(rows: DataFrame, keys: list[str], order: list, limit: int) -> DataFrame:
+    """The first ``limit`` rows per key, numbered in ``place``.
+
+    The bare filter on the row number lets each task drop the rest before the
+    shuffle, so a hot key sends no more than the others.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("place", place).filter(F.col("place") <= limit).withColumn(
+        "place", F.col("place").cast("long"))

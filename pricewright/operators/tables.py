@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewright.operators.ordering import first_per_group
 from pricewright.operators.ranks import quantiles
 
 
@@ -38,6 +39,17 @@ def top_counts(df: DataFrame, key: str, limit: int, *extra: Column) -> DataFrame
     )
 
 
+def top_counts_of_each(df: DataFrame, kinds: dict[str, Column], limit: int) -> DataFrame:
+    """The ``limit`` commonest values of several columns in one pass: kind, value, n, share."""
+    pairs = [F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in kinds.items()]
+    counts = (
+        df.select(F.inline(F.array(*pairs))).filter("value is not null")
+        .groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    top = first_per_group(counts, ["kind"], [F.desc("n"), "value"], limit).drop("place")
+    return top.withColumn("share", F.round(F.col("n") * 100 / F.lit(df.count()), 4))
+
+
 def stepped_histogram(df: DataFrame, value: Column, width: int, top: int) -> DataFrame:
     """Counts per ``width``-wide bin over 0..``top`` (top included), with overall statistics.
 

@@ -11,7 +11,6 @@ from pricewright.operators.deals import (
     best_opportunity,
     ensemble_price,
     feed_entries,
-    first_per_group,
     memory_stats,
     neighbour_price,
     new_deals,
@@ -19,6 +18,7 @@ from pricewright.operators.deals import (
     positive_deals,
     trimmed_memory,
 )
+from pricewright.operators.ordering import first_per_group
 from pricewright.operators.retrieval import nearest, with_texts
 from pricewright.plans.inputs import DEALS, deals, table, with_part
 from pricewright.plans.registry import query

@@ -16,6 +16,7 @@ from pricewright.operators.tables import (
     outlier_bounds,
     stepped_histogram,
     top_counts,
+    top_counts_of_each,
 )
 from pricewright.plans.inputs import BOOKED_LINES, BOOKINGS, booked_lines, bookings, table
 from pricewright.plans.registry import query
@@ -158,14 +159,9 @@ def _top_values_sql(kind: str, key: str) -> str:
     _top_values_sql(kind, key)
     for kind, key in [("origin", "pol"), ("destination", "pod"), ("route", "pol || ' → ' || pod")]))
 def top_values(spark, folder):
-    lines = booked_lines(spark, folder)
     route = F.concat("pol", F.lit(fixed.ROUTE), "pod")
-    kinds = [("origin", F.col("pol")), ("destination", F.col("pod")), ("route", route)]
-    tops = [
-        top_counts(lines.select(key.alias("value")), "value", 10).withColumn("kind", F.lit(kind))
-        for kind, key in kinds
-    ]
-    return tops[0].unionByName(tops[1]).unionByName(tops[2])
+    kinds = {"origin": F.col("pol"), "destination": F.col("pod"), "route": route}
+    return top_counts_of_each(booked_lines(spark, folder), kinds, 10)
 
 
 @query("distinct_counts", f"""
@@ -174,8 +170,7 @@ def top_values(spark, folder):
          count(DISTINCT pod) AS n_destinations, count(DISTINCT currency) AS n_currencies,
          count(DISTINCT commodity_desc) AS n_commodities FROM bookings""")
 def distinct_counts(spark, folder):
-    lines = bookings(spark, folder).select("pol", "pod", "currency", "commodity_desc").distinct()
-    return lines.agg(
+    return bookings(spark, folder).agg(
         F.countDistinct(F.concat("pol", F.lit(fixed.ROUTE), "pod")).alias("n_routes"),
         F.countDistinct("pol").alias("n_origins"),
         F.countDistinct("pod").alias("n_destinations"),
