@@ -165,6 +165,11 @@ BUNDLE_LINKS = "\n## Relevant Links:\n"
 BUNDLE_LINK = "\n\n### Link: %s\n"
 CONTEXT_PART = "Extract from %s:\n%s"
 DOCUMENT_PART = "### %s\n%s"
+SIMILAR_PRODUCT = "%d. %s\n   Price: $%.2f\n"
+TITLE_MARK = "Title: "
+TITLE_CHARS = 40
+ROUTE_PATTERN = r"Route: (\w+) to (\w+)"
+UNKNOWN_ROUTE = "Route %d"
 SOURCES_START = "Top sources:\n"
 NO_ANSWER = "Evaluation failed."
 NO_VERDICT = "Evaluation parse failed."

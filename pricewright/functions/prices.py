@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
+from pricewright.functions.products import shortened
 
 
 def plain_number(text: Column, symbols: str = "$,") -> Column:
@@ -89,3 +90,18 @@ def lookup_text(name: Column, price: Column) -> Column:
         .when(price.isNull(), F.format_string(fixed.LOOKUP_MISSING, name))
         .otherwise(F.format_string(fixed.LOOKUP_FOUND, name, number))
     )
+
+
+def prompt_title(prompt: Column) -> Column:
+    """The line after the first title mark, or the whole prompt when it has none; cut."""
+    after = F.split_part(prompt, F.lit(fixed.TITLE_MARK), F.lit(2))
+    title = F.when(prompt.contains(fixed.TITLE_MARK), F.substring_index(after, "\n", 1)).otherwise(prompt)
+    return shortened(title, fixed.TITLE_CHARS)
+
+
+def prompt_route(prompt: Column, number: Column) -> Column:
+    """The route a prompt names, or the number of its row; cut."""
+    ends = [F.regexp_extract(prompt, fixed.ROUTE_PATTERN, i) for i in (1, 2)]
+    named = F.concat(ends[0], F.lit(fixed.SHORT_ROUTE), ends[1])
+    route = F.when(ends[0] != "", named).otherwise(F.format_string(fixed.UNKNOWN_ROUTE, number))
+    return shortened(route, fixed.TITLE_CHARS)

@@ -18,6 +18,7 @@ from pricewright.operators.deals import (
     positive_deals,
     trimmed_memory,
 )
+from pricewright.operators.documents import joined_in_order
 from pricewright.operators.ordering import first_per_group
 from pricewright.operators.retrieval import nearest, with_texts
 from pricewright.plans.inputs import DEALS, deals, table, with_part
@@ -240,6 +241,16 @@ def nearest_products(spark, folder):
         "question_id", "rank", F.col("text").alias("description"), "price")
 
 
+@query("similar_products_block", f"""
+  WITH {_NEIGHBOURS} SELECT n.question_id, string_agg(n.rank || '. ' || c.text || chr(10) || '   Price: $' || printf('%.2f', n.price) || chr(10),
+    chr(10) ORDER BY n.rank) AS block FROM neighbours n JOIN corpus c USING (chunk_id) GROUP BY 1""")
+def similar_products_block(spark, folder):
+    """The nearest products of each question as one numbered text."""
+    part = F.format_string(fixed.SIMILAR_PRODUCT, "rank", "description", "price")
+    return joined_in_order(nearest_products(spark, folder), "question_id", "rank", part, "\n").select(
+        "question_id", F.col("joined").alias("block"))
+
+
 @query("neighbour_mean_price", f"WITH {_NEIGHBOURS} SELECT question_id, round(price, 6) AS price FROM means")
 def neighbour_mean_price(spark, folder):
     found = neighbour_price(_neighbours(spark, folder), chunk_prices(spark, folder), asked_vectors(spark, folder))

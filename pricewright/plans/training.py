@@ -10,10 +10,11 @@ from pricewright.functions.prices import (
     freight_completion,
     freight_text,
     priced_prompt,
+    prompt_route,
+    prompt_title,
     unpriced_prompt,
     whole,
 )
-from pricewright.functions.products import shortened
 from pricewright.functions.terms import cut_tokens, token_count
 from pricewright.operators.ordering import numbered
 from pricewright.operators.splits import exact_split, holdout_split, sample_rows
@@ -241,21 +242,21 @@ def prompt_token_stats(spark, folder):
 @query("title_of_prompt", f"""
   WITH {BOOKINGS},
   t AS (SELECT l_orderkey, l_linenumber, {_FREIGHT_TEXT} AS prompt,
-     'Title: ' || commodity_desc || ' shipped from ' || pol || ' to ' || pod || chr(10) || 'x' AS product FROM bookings),
-  r AS (SELECT l_orderkey, l_linenumber, regexp_extract(product, 'Title: ([^\\n]*)', 1) AS title,
-     regexp_extract(prompt, 'Route: (\\w+) to (\\w+)', 1) || '→' || regexp_extract(prompt, 'Route: (\\w+) to (\\w+)', 2) AS route FROM t)
+     CASE WHEN l_linenumber > 1 THEN 'Buy Title: ' ELSE '' END || commodity_desc || ' shipped from ' || pol || ' to ' || pod || chr(10) || 'x' AS product FROM bookings),
+  r AS (SELECT l_orderkey, l_linenumber,
+     CASE WHEN l_linenumber > 1 THEN regexp_extract(product, 'Title: ([^\\n]*)', 1) ELSE product END AS title,
+     CASE WHEN l_linenumber = 2 THEN 'Route ' || l_orderkey ELSE
+       regexp_extract(prompt, 'Route: (\\w+) to (\\w+)', 1) || '→' || regexp_extract(prompt, 'Route: (\\w+) to (\\w+)', 2) END AS route FROM t)
   SELECT l_orderkey, l_linenumber, CASE WHEN length(title) > 40 THEN title[1:40] || '...' ELSE title END AS title, route FROM r""")
 def title_of_prompt(spark, folder):
+    # first lines have no title, second lines no route
+    mark = F.when(F.col("l_linenumber") > 1, "Buy " + fixed.TITLE_MARK).otherwise("")
     product = F.concat(
-        F.lit("Title: "), "commodity_desc", F.lit(" shipped from "), "pol", F.lit(" to "), "pod",
-        F.lit("\nx"))
-    route = r"Route: (\w+) to (\w+)"
-    prompt = F.concat(freight_text(), F.lit(fixed.FREIGHT_ANSWER))
+        mark, "commodity_desc", F.lit(" shipped from "), "pol", F.lit(" to "), "pod", F.lit("\nx"))
+    prompt = F.when(F.col("l_linenumber") == 2, "").otherwise(freight_text())
     return bookings(spark, folder).select(
-        "l_orderkey", "l_linenumber",
-        shortened(F.regexp_extract(product, r"Title: ([^\n]*)", 1), 40).alias("title"),
-        F.concat(F.regexp_extract(prompt, route, 1), F.lit(fixed.SHORT_ROUTE), F.regexp_extract(prompt, route, 2))
-        .alias("route"))
+        "l_orderkey", "l_linenumber", prompt_title(product).alias("title"),
+        prompt_route(prompt, F.col("l_orderkey")).alias("route"))
 
 
 @query("row_ids", """
