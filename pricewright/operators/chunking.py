@@ -70,8 +70,9 @@ def window_chunks(documents: DataFrame, words: int, overlap: int) -> DataFrame:
     windows = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_w", i * step + 1, words), " "))
     return (
-        documents.select("doc_id", split.alias("_w")).filter(F.size("_w") > 0)
+        documents.select("doc_id", split.alias("_w"))
         .select("doc_id", F.posexplode(windows).alias("chunk_no", "text"))
+        .filter("text <> ''")  # a text without words has one empty window
         .withColumn("chunk_no", F.col("chunk_no").cast("long"))
     )
 
