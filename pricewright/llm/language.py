@@ -197,12 +197,14 @@ def train(rows: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE,
 def predicted(model: Model, docs: DataFrame, text: str = "text") -> Column:
     """``struct<lang, score>`` for a text column; ``und`` with score 0 where there is no letter."""
     # languages times buckets numbers, whatever the size of the data
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.weights, model.inverse, model.temperature))
 
     @F.pandas_udf("lang string, score double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = Model(*sent.value)
         for batch in batches:
-            yield pd.DataFrame([sent.value.predict(one) for one in batch], columns=["lang", "score"])
+            yield pd.DataFrame([known.predict(one) for one in batch], columns=["lang", "score"])
 
     return apply(F.col(f"`{text}`").cast("string"))
 
