@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
-
-from pricewright.llm import content_sort, mixing, packing, site_lines, token_files, warc
+from pricewright.llm import (
+    content_sort,
+    language,
+    mixing,
+    multiset_hash,
+    near_dup,
+    packing,
+    site_lines,
+    substrings,
+    token_files,
+    warc,
+)
 from pricewright.plans.inputs import table
 from pricewright.plans.registry import query
 from pricewright.session import scratch_path
@@ -89,6 +98,21 @@ def token_list_files(spark, folder):
     return token_files.token_spans(token_files.read_token_files(spark, files))
 
 
+@query("op6_multiset_hash")
+def multiset_hashes(spark, folder):
+    return multiset_hash.edited_likeness(table(spark, folder, "documents"))
+
+
+@query("op7_language_id")
+def language_id(spark, folder):
+    return language.identified(table(spark, folder, "documents"))
+
+
+@query("op8_bayes_near_dup")
+def bayes_near_dup(spark, folder):
+    return near_dup.linked(table(spark, folder, "documents"))
+
+
 _UNITS = f"""
     WITH RECURSIVE d AS (SELECT doc_id, source, coalesce('=' || source, '') AS label FROM documents),
     sizes AS (SELECT label, any_value(source) AS source, count(*) AS n,
@@ -123,3 +147,9 @@ _UNITS = f"""
     FROM c JOIN jobs ON jobs.ix = c.ix AND jobs.job = c.block % units""")
 def pfair_mixing(spark, folder):
     return mixing.mixed(table(spark, folder, "documents"))
+
+
+@query("op10_count_min_substrings")
+def count_min_substrings(spark, folder):
+    return substrings.without_repeats(table(spark, folder, "documents"), digests=True).withColumnRenamed(
+        "kept", "kept_sha256")
