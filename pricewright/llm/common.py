@@ -37,3 +37,28 @@ def worker_store() -> dict:
     """
     module = sys.modules.setdefault("_pricewright_worker", types.ModuleType("_pricewright_worker"))
     return module.__dict__.setdefault("store", {})
+
+
+LARGE_KEYS = 1000
+
+
+def salts_of_large_keys(sizes: DataFrame, key: str, size: str) -> DataFrame:
+    """``key, salts`` for keys with more than a thousandth of all rows.
+
+    There are fewer than a thousand of them, whatever the data. A key gets salts in
+    proportion to its share, so that its part of a shuffle is no larger than others.
+    """
+    total = sizes.agg(F.sum(size)).first()[0] or 0
+    parts = shuffle_parts(sizes.sparkSession)
+    share = F.col(size) * (2 * parts) / F.lit(max(1, total))
+    return sizes.filter(F.col(size) * LARGE_KEYS > total).select(key, F.ceil(share).cast("int").alias("salts"))
+
+
+def salted_left_join(many: DataFrame, few: DataFrame, key: str, salts: DataFrame, dealt_by: str) -> DataFrame:
+    """Left join on ``key``; large keys are dealt out by ``dealt_by`` and their few rows repeated as often."""
+    one = F.coalesce("salts", F.lit(1))
+    left = many.join(F.broadcast(salts), key, "left").withColumn(
+        "salt", F.pmod(F.xxhash64(dealt_by), one).cast("int")).drop("salts")
+    right = few.join(F.broadcast(salts), key, "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("salts")
+    return left.join(right, [key, "salt"], "left").drop("salt")

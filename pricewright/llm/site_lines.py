@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricewright.llm.common import salted_left_join, salts_of_large_keys
 from pricewright.session import staged
 
 RATIO = 0.2
 LEAST_PAGES = 3
-SALTS = 16
 
 # What ends a line, what vanishes, and the signs trimmed off a line.
 BLOCKS = (r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
@@ -40,14 +40,14 @@ def line_digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def boilerplate(lines: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host, digests``: lines above the ratio, from rows of ``host, lines``.
+def boilerplate(lines: DataFrame, totals: DataFrame, ratio: float = RATIO,
+                least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host, digests``: lines above the ratio, from rows of ``host, lines`` and ``host, all_pages``.
 
     A host has fewer than (mean lines of its pages / ratio) such lines, so one array holds them.
     """
     each = lines.select("host", F.explode(F.array_distinct("lines")).alias("line"))
     counted = each.groupBy("host", line_digest(F.col("line")).alias("digest")).agg(F.count(F.lit(1)).alias("pages"))
-    totals = lines.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     often = counted.filter(F.col("pages") >= least_pages).join(totals, "host").filter(
         F.col("pages") > F.col("all_pages") * ratio)
     return often.groupBy("host").agg(F.collect_list("digest").alias("digests"))
@@ -60,17 +60,17 @@ def without_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int
     A line is dropped when more than ``ratio`` of its host's pages, and at least
     ``least_pages``, contain it. Null HTML has no lines; a null address or one
     without a host belongs to host ''. Repeated rows are pages of their own. An
-    empty table gives an empty result. Pages meet their host's lines by host and a
-    salt, so a host with a third of the pages is dealt to many tasks.
+    empty table gives an empty result. Pages of large hosts meet their host's lines
+    in as many tasks as their share of all pages asks for.
     """
     lines = staged(pages.select(F.col(key).cast("long").alias("page_id"), host_of(F.col(url)).alias("host"),
                                 page_lines(F.col(html).cast("string")).alias("lines")), "lines")
-    often = boilerplate(lines, ratio, least_pages).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    totals = staged(lines.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")), "hosts")
+    often = boilerplate(lines, totals, ratio, least_pages)
+    met = salted_left_join(lines, often, "host", salts_of_large_keys(totals, "host", "all_pages"), "page_id")
     none = F.expr("cast(array() as array<binary>)")
     kept = F.filter("lines", lambda line: ~F.array_contains(F.coalesce("digests", none), line_digest(line)))
-    return salted.join(often, ["host", "salt"], "left").withColumn("stay", kept).select(
+    return met.withColumn("stay", kept).select(
         "page_id", "host", F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
         F.array_join("stay", "\n").alias("kept"))

@@ -23,11 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewright.llm.common import salted_left_join, salts_of_large_keys
 from pricewright.session import staged
 
 LEAST_REVISIT_BYTES = 1000
 FIRST_CAPTURE = 1577836800  # seconds; used where captures have no time of their own
-SALTS = 16
 # Parts of an address, and record identifiers.
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
 RECORD = "urn:x-capture:"
@@ -128,12 +128,10 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_REVIS
     # sha-1 for the record; a longer digest decides which payloads are equal
     large = rows.filter(F.col("size") >= least_bytes)
     equal = large.groupBy(F.sha2(F.encode("html", "UTF-8"), 256).alias("same")).agg(
-        F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    equal = staged(equal, "payloads").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    keyed = rows.withColumns({
-        "same": F.when(F.col("size") >= least_bytes, F.sha2(F.encode("html", "UTF-8"), 256)),
-        "salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")})
-    decided = keyed.join(equal, ["same", "salt"], "left").select(
+        F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    equal = staged(equal, "payloads")
+    keyed = rows.withColumn("same", F.when(F.col("size") >= least_bytes, F.sha2(F.encode("html", "UTF-8"), 256)))
+    decided = salted_left_join(keyed, equal.drop("n"), "same", salts_of_large_keys(equal, "same", "n"), "page_id").select(
         "page_id", "url", "html", "taken", "urlkey", "digest", "stays")
     return staged(decided.mapInArrow(_archives(folder), _INDEX_DDL), "index-runs")
 
