@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BATCH_ROWS = 1000
 
 
 def whole(text: str) -> Column:
@@ -16,8 +17,16 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows, as whole texts can be long; a smaller setting is kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``, so that other columns, whatever their names, cannot clash."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text"))
 
 

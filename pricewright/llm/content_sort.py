@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricewright.llm.common import ascii_lower, whole
+from pricewright.llm.common import ascii_lower, bounded_batches, whole
 from pricewright.session import staged
 
 SPLITTER_BYTES = 32
@@ -110,6 +110,7 @@ def equal_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     empty texts are equal. An empty table gives an empty result. With ``carry``
     the rows that stay also have the input's columns, in struct ``carried``.
     """
+    bounded_batches(docs.sparkSession)
     norm = ascii_lower(whole(text))
     columns = [F.col(key).cast("long").alias("doc_id"), norm.alias("norm")]
     if carry:

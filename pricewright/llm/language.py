@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import worker_store
+from pricewright.llm.common import bounded_batches, worker_store
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 800
@@ -220,6 +220,7 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", label:
     Only the text is looked at for a prediction. Null or empty texts and texts without
     letters are ``und`` with score 0; so are all where there is nothing to learn from.
     """
+    bounded_batches(docs.sparkSession)
     model = train(docs.filter(fold(key) != 2), key=key, text=text, label=label)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), (fold(key) == 2).alias("held_out"),
                        predicted(model, docs, text).alias("guess"))
@@ -229,6 +230,7 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", label:
 def with_language(docs: DataFrame, least_score: float, key: str = "doc_id", text: str = "text",
                   label: str = "lang") -> DataFrame:
     """The documents whose language is known with at least ``least_score``, their columns unchanged."""
+    bounded_batches(docs.sparkSession)
     model = train(docs.filter(fold(key) != 2), key=key, text=text, label=label)
     names = [F.col(f"`{name}`") for name in docs.columns]
     marked = docs.select(F.struct(*names).alias("row"), predicted(model, docs, text).alias("guess"))

@@ -1,24 +1,46 @@
 """Token ids of whole texts by the tokenizers library, in Arrow batches.
 
-A text is cut at single spaces between visible signs. The two vocabularies used
-here never merge across such a place, so the ids of a text are those of its parts
-in turn, and each different part is encoded once per worker (bounded memory).
-Texts with other white space at a cut are encoded whole.
+The library cuts a text into words and signs before it merges, and never merges
+across a cut, so the ids of a text are those of its parts in turn. Texts in Latin
+letters are cut here by the vocabulary's own rule, and each different part of a
+slice goes to the library once; frequent parts are remembered, up to a fixed
+number. Texts with other signs go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pricewright.llm.common import worker_store
 
-MOST_PARTS = 400_000
-BATCH_CHARS = 1 << 22
+MOST_PARTS = 300_000
+SLICE_BYTES = 2 << 20
+
+# Signs for which Python's letters, digits and white space are those of the vocabularies' rules.
+_LATIN = re.compile("[\\x00-\\x1b\\x20-\\x7f\u00c0-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+# How the vocabularies cut texts.
+_CUTS = {
+    "spaced": re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"),
+    "plain": re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"),
+}
+
+
+class _Known(dict):
+    """Remembered ids; a part that is not remembered is looked up among those of the current slice."""
+
+    def __init__(self):
+        super().__init__()
+        self.now: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        return self.now[part]
 
 
 class Encoder:
@@ -30,40 +52,25 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.known: dict[str, bytes | None] = {}
+        self.lower = self.model.normalizer is not None
+        self.cuts = _CUTS["plain" if self.lower else "spaced"]
+        self.known = _Known()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def _learn(self, parts: set[str]) -> None:
-        new = [part for part in parts if part not in self.known]
-        if len(self.known) + len(new) > MOST_PARTS:
-            self.known.clear()
-            new = list(parts)
-        # a part next to white space may depend on its neighbour: it gets no entry of its own
-        plain = [part for part in new if part and not part[0].isspace() and not part[-1].isspace()]
-        self.known.update(zip(plain, self._encode([" " + part for part in plain]), strict=True))
-        for part in new:
-            self.known.setdefault(part, None)
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") for text in texts]
-        self._learn({part for parts in cut for part in parts[1:]})
-        out: list[bytes | None] = []
+        latin = [text if _LATIN.fullmatch(text) else None for text in texts]
+        others = iter(self._encode([text for text, plain in zip(texts, latin, strict=True) if plain is None]))
+        cut = [None if text is None else self.cuts.findall(text.lower() if self.lower else text) for text in latin]
         known = self.known
-        for parts in cut:
-            first = parts[0]
-            if len(parts) < 2 or not first or first[-1].isspace():
-                out.append(None)
-                continue
-            try:
-                out.append(b"".join([known[part] for part in parts[1:]]))
-            except TypeError:  # a part without an entry
-                out.append(None)
-        heads = self._encode([parts[0] if tail is not None else text
-                              for text, parts, tail in zip(texts, cut, out, strict=True)])
-        return [head + (tail or b"") for head, tail in zip(heads, out, strict=True)]
+        new = list(set().union(*filter(None, cut)).difference(known))
+        known.now = dict(zip(new, self._encode(new), strict=True))
+        room = MOST_PARTS - len(known)
+        if room > 0:
+            known.update((part, known.now[part]) for part in new[:room])
+        return [next(others) if parts is None else b"".join(map(known.__getitem__, parts)) for parts in cut]
 
 
 def encoder(path: str) -> Encoder:
@@ -74,22 +81,28 @@ def encoder(path: str) -> Encoder:
     return store[path]
 
 
+def slices_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts in slices of bounded size, or one text: the first row, and the texts."""
+    sizes = np.cumsum(np.frombuffer(pc.binary_length(column).fill_null(0).cast(pa.int64()).buffers()[1],
+                                    dtype=np.int64)[:len(column)])
+    row = 0
+    while row < len(column):
+        before = sizes[row - 1] if row else 0
+        last = max(row + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+        yield row, column.slice(row, last - row).to_pylist()
+        row = last
+
+
 def encoded(path: str, columns: Callable, schema: pa.Schema):
     """A function for ``mapInArrow``: ``columns(keys, ids)`` makes the arrays of each slice of rows."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(path)
         for batch in batches:
-            keys, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH_CHARS):
-                    size += len(texts[end])
-                    end += 1
-                ids = model.encode(texts[begin:end])
-                yield pa.RecordBatch.from_arrays(columns(keys.slice(begin, end - begin), ids), schema=schema)
-                begin = end
+            keys = batch.column("doc_id")
+            for row, texts in slices_of(batch.column("text")):
+                yield pa.RecordBatch.from_arrays(
+                    columns(keys.slice(row, len(texts)), model.encode(texts)), schema=schema)
 
     return apply
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import salted_left_join, salts_of_large_keys
+from pricewright.llm.common import bounded_batches, salted_left_join, salts_of_large_keys
 from pricewright.session import staged
 
 LEAST_REVISIT_BYTES = 1000
@@ -116,6 +116,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_REVIS
     without a time of their own get one second per identifier. Rows that repeat an
     identifier get a record each. An empty table gives no archive and an empty index.
     """
+    bounded_batches(pages.sparkSession)
     fs.FileSystem.from_uri(folder)[0].create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
     page = F.col(key).cast("long")
     time = taken if taken is not None else F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(page, F.lit(0)))
