@@ -20,7 +20,10 @@ import pyarrow.compute as pc
 
 from pricewright.llm.common import worker_store
 
-MOST_PARTS = 300_000
+MOST_PARTS = 800_000
+PARTS_AT_ONCE = 1000
+# Fixed value: the special token that both vocabularies have.
+BORDER = "<|endoftext|>"
 SLICE_BYTES = 2 << 20
 
 # Signs for which Python's letters, digits and white space are those of the vocabularies' rules.
@@ -55,6 +58,21 @@ class Encoder:
         self.lower = self.model.normalizer is not None
         self.cuts = _CUTS["plain" if self.lower else "spaced"]
         self.known = _Known()
+        # cuts at the border token before anything else: the parts between are encoded on their own
+        self.cutter = Tokenizer.from_file(path)
+        self.border = self.cutter.token_to_id(BORDER)
+
+    def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
+        """Ids of parts, none of which holds the whole border token."""
+        lists = [parts[at:at + PARTS_AT_ONCE] for at in range(0, len(parts), PARTS_AT_ONCE)]
+        joined = self.cutter.encode_batch_fast([BORDER.join([*some, ""]) for some in lists], add_special_tokens=False)
+        for one in joined:
+            ids = np.array(one.ids, dtype="<u4")
+            ends = 4 * np.flatnonzero(ids == self.border)
+            data, begin = ids.tobytes(), 0
+            for end in ends.tolist():
+                yield data[begin:end]
+                begin = end + 4
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
@@ -66,9 +84,9 @@ class Encoder:
         cut = [None if text is None else self.cuts.findall(text.lower() if self.lower else text) for text in latin]
         known = self.known
         new = list(set().union(*filter(None, cut)).difference(known))
-        known.now = dict(zip(new, self._encode(new), strict=True))
-        room = MOST_PARTS - len(known)
-        if room > 0:
+        known.now = dict(zip(new, self._encode_parts(new), strict=True))
+        room = max(0, MOST_PARTS - len(known))
+        if room:
             known.update((part, known.now[part]) for part in new[:room])
         return [next(others) if parts is None else b"".join(map(known.__getitem__, parts)) for parts in cut]
 
