@@ -82,7 +82,7 @@ def _runs_of_equals(carry: bool):
             if held is None:
                 first_text = norm[0].as_py()
             text = norm[len(norm) - 1].as_py()
-            rows = pa.Table.from_batches([batch]).select(narrow)
+            rows = pa.Table.from_arrays([batch.column(name) for name in narrow], names=narrow)
             if held is not None:
                 waiting = len(held)
                 rows = pa.concat_tables([held, rows])
