@@ -20,18 +20,21 @@ import pyarrow.compute as pc
 
 from pricewright.llm.common import worker_store
 
-MOST_PARTS = 800_000
+MOST_PARTS = 400_000
 PARTS_AT_ONCE = 1000
 # Fixed value: the special token that both vocabularies have.
 BORDER = "<|endoftext|>"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Signs for which Python's letters, digits and white space are those of the vocabularies' rules.
 _LATIN = re.compile("[\\x00-\\x1b\\x20-\\x7f\u00c0-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+# Letters of such texts, also after they are put in lower case.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u2c60-\u2c7f"
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 # How the vocabularies cut texts.
 _CUTS = {
-    "spaced": re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"),
-    "plain": re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"),
+    "spaced": re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|{_SHORT}| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"),
+    "plain": re.compile(rf"[{_LETTERS}]+|[0-9]|{_SHORT}|[^\s0-9{_LETTERS}]+"),
 }
 
 
@@ -54,18 +57,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.lower = self.model.normalizer is not None
         self.cuts = _CUTS["plain" if self.lower else "spaced"]
         self.known = _Known()
-        # cuts at the border token before anything else: the parts between are encoded on their own
-        self.cutter = Tokenizer.from_file(path)
-        self.border = self.cutter.token_to_id(BORDER)
+        self.border = self.model.token_to_id(BORDER)
 
     def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
-        """Ids of parts, none of which holds the whole border token."""
+        """Ids of parts, none of which holds the whole border token: the library cuts there before anything else."""
+        self.model.encode_special_tokens = False
         lists = [parts[at:at + PARTS_AT_ONCE] for at in range(0, len(parts), PARTS_AT_ONCE)]
-        joined = self.cutter.encode_batch_fast([BORDER.join([*some, ""]) for some in lists], add_special_tokens=False)
+        joined = self.model.encode_batch_fast([BORDER.join([*some, ""]) for some in lists], add_special_tokens=False)
         for one in joined:
             ids = np.array(one.ids, dtype="<u4")
             ends = 4 * np.flatnonzero(ids == self.border)
@@ -75,6 +76,7 @@ class Encoder:
                 begin = end + 4
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        self.model.encode_special_tokens = True  # in a text they are ordinary signs
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
