@@ -48,9 +48,21 @@ def worker_store() -> dict:
     return module.__dict__.setdefault("store", {})
 
 
+BROADCAST_KEYS = 100_000
 LARGE_KEYS = 1000
 
 
+def checked(keys: DataFrame) -> DataFrame:
+    """Keys of a written table, broadcast if there are at most ``BROADCAST_KEYS``, else left to a shuffle."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else keys
+
+
+def without_keys(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in the one column of ``gone``, a written table."""
+    named = gone.toDF("_gone")
+    return docs.join(checked(named), F.col(f"`{key}`").cast("long") == F.col("_gone"), "left_anti")
+
+
 def salts_of_large_keys(sizes: DataFrame, key: str, size: str) -> DataFrame:
     """``key, salts`` for keys with more than a thousandth of all rows.
 

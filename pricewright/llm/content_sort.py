@@ -112,15 +112,15 @@ def equal_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     """
     bounded_batches(docs.sparkSession)
     norm = ascii_lower(whole(text))
-    columns = [F.col(key).cast("long").alias("doc_id"), norm.alias("norm")]
-    if carry:
-        columns.append(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("carried"))
-    rows = docs.select(*columns).withColumns({
-        "digest": F.sha2(F.col("norm"), 256),
-        "head": F.substring(F.encode("norm", "UTF-8"), 1, SPLITTER_BYTES),
-    })
-    ordered = rows.repartitionByRange("head", "digest", "doc_id").sortWithinPartitions(
-        "head", "digest", "norm", "doc_id").drop("head")
+    own = F.struct(*[F.col(f"`{name}`") for name in docs.columns]) if carry else whole(text)
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), own.alias("carried"), F.sha2(norm, 256).alias("digest"),
+        F.substring(F.encode(norm, "UTF-8"), 1, SPLITTER_BYTES).alias("head"))
+    # the text travels once: it is normalised again behind the exchange
+    ranges = rows.repartitionByRange("head", "digest", "doc_id").withColumn(
+        "norm", ascii_lower(whole(f"carried.`{text}`" if carry else "carried")))
+    ordered = ranges.sortWithinPartitions("head", "digest", "norm", "doc_id").select(
+        "doc_id", "norm", "digest", *(["carried"] if carry else []))
     schema = T.StructType(list(_RUNS.fields))
     if carry:
         schema.add("carried", rows.schema["carried"].dataType)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewright.llm.common import without_keys
 from pricewright.operators.ordering import numbered
 from pricewright.session import staged
 
@@ -131,5 +132,4 @@ def to_weights(docs: DataFrame, share: float, key: str = "doc_id", source: str =
         return docs
     surplus = order.join(F.broadcast(small.filter("large").select("source")),
                          order["source"].eqNullSafe(small["source"]), "left_semi").filter(F.col("slot") > end)
-    return docs.join(surplus.select(F.col("doc_id").alias("_surplus")),
-                     F.col(f"`{key}`").cast("long") == F.col("_surplus"), "left_anti")
+    return without_keys(docs, key, staged(surplus.select("doc_id"), "surplus"))

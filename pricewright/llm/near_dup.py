@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import texts
+from pricewright.llm.common import checked, texts, without_keys
 from pricewright.llm.components import components
 from pricewright.llm.words import _LOWER, _WORD_BASE, Words, mixed, pieces_of, span_hashes
 from pricewright.session import staged
@@ -37,7 +37,6 @@ BANDS, ROWS = 28, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
-BROADCAST_KEYS = 100_000
 _HASHES = BANDS * ROWS
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 31, _HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -262,7 +261,7 @@ def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose key is wanted: by broadcast up to a checked number of keys, else by a shuffle."""
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, "doc_id", "left_semi")
+    return docs.join(checked(keys), "doc_id", "left_semi")
 
 
 def _words_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -337,5 +336,5 @@ def linked(docs: DataFrame, per_cent: int = PER_CENT, miss: float = MISS,
 
 def without_near_copies(docs: DataFrame, per_cent: int = PER_CENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, one of each component, with the columns of the input."""
-    gone = linked(docs, per_cent, key=key, text=text).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("_gone"), "left_anti")
+    gone = staged(linked(docs, per_cent, key=key, text=text).filter("NOT kept").select("doc_id"), "gone")
+    return without_keys(docs, key, gone)

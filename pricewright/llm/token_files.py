@@ -66,7 +66,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     rows = texts(docs, key, text).repartitionByRange("doc_id").withColumn("tie", F.xxhash64("text"))
     ordered = rows.sortWithinPartitions("doc_id", "tie").drop("tie")
     options = {
-        "compression": "zstd",
+        "compression": "snappy",
         "parquet.block.size": str(row_group_bytes),
         "parquet.page.row.count.limit": str(page_rows),
         "parquet.writer.version": "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0",
