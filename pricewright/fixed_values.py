@@ -81,6 +81,7 @@ FREIGHT_BAND = (1000.0, 3000.0)
 BAND_RATIOS = (0.2, 0.4)
 
 # retrieval
+SEARCHED = 60
 RETRIEVED = 20
 NDCG_DEPTH = 10
 MAX_TERMS = 8

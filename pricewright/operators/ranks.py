@@ -59,15 +59,15 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int]],
         before = [(b.low, b.high, b.inside) for b in brackets]
         _narrow(df, brackets)
         if before == [(b.low, b.high, b.inside) for b in brackets]:
-            break
+            _halve(df, brackets)
     settled = [b for b in brackets if b.low is not None and b.low == b.high]
-    found = {(b.column, b.rank): float(b.low) for b in settled}
+    found = {(b.column, b.rank): b.low for b in settled}
     left = [b for b in brackets if b not in settled]
     return {**found, **_pick(df, left)} if left else found
 
 
-def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tuple[str, float], float]:
-    """Linear-interpolation quantiles (the usual table-statistics definition)."""
+def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tuple[str, float], float | None]:
+    """Linear-interpolation quantiles (the usual table-statistics definition), none of a column without values."""
     df = _numbers(df, columns)
     sizes = _sizes(df, columns)
     spots = {
@@ -82,10 +82,11 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[tu
         for rank in (math.floor(spot), math.ceil(spot))
     ]
     found = values_at_ranks(df, wanted, sizes)
-    result = {}
+    result: dict[tuple[str, float], float | None] = {(column, share): None for column in columns for share in shares}
     for (column, share), spot in spots.items():
-        low, high = found[column, math.floor(spot)], found[column, math.ceil(spot)]
-        result[column, share] = low + (high - low) * (spot - math.floor(spot))
+        low, high = float(found[column, math.floor(spot)]), float(found[column, math.ceil(spot)])
+        # between equal or infinite neighbours there is nothing to weigh
+        result[column, share] = low if low == high or spot == math.floor(spot) else low + (high - low) * (spot - math.floor(spot))
     return result
 
 
@@ -135,19 +136,42 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
             b.low, b.high, b.below, b.inside = t.low, t.high, t.below, t.inside
 
 
+def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Cut brackets that a sketch no longer narrows at the middle of their values."""
+    for b in brackets:
+        if b.inside <= MAX_CANDIDATES or b.low is None or b.low == b.high:
+            continue
+        whole = isinstance(b.low, int) and isinstance(b.high, int)
+        middle = (b.low + b.high) // 2 if whole else b.low + (b.high - b.low) / 2
+        lower = _Bracket(b.column, b.rank, b.low, middle)
+        inside = df.agg(F.count_if(lower.holds())).first()[0]
+        if b.rank < b.below + inside:
+            b.high, b.inside = middle, inside
+        else:
+            b.low = middle + 1 if whole else math.nextafter(middle, math.inf)
+            b.below, b.inside = b.below + inside, b.inside - inside
+
+
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    types = dict(df.dtypes)
+
+    def value(column: str) -> list[Column]:
+        """Whole numbers stay whole: a double would round those above 2 to the 53."""
+        whole = types[column] in ("tinyint", "smallint", "int", "bigint")
+        none = F.lit(None)
+        return [(F.col(column) if whole else none).cast("long").alias("w"),
+                (none if whole else F.col(column)).cast("double").alias("v")]
+
     tagged = F.array(
-        *[F.when(b.holds(), F.struct(F.lit(i).alias("i"), F.col(b.column).cast("double").alias("v")))
-          for i, b in enumerate(brackets)]
-    )
+        *[F.when(b.holds(), F.struct(F.lit(i).alias("i"), *value(b.column))) for i, b in enumerate(brackets)])
     # few rows are in any bracket; the others stop at this filter
     near = reduce(lambda a, b: a | b, [b.holds() for b in brackets])
     counts = (
         df.filter(near).select(F.explode(F.filter(tagged, lambda x: x.isNotNull())).alias("c"))
-        .groupBy("c.i", "c.v")
+        .groupBy("c.i", "c.w", "c.v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("i").orderBy("w", "v").rowsBetween(Window.unboundedPreceding, 0)
     target = F.lit(None).cast("long")
     for i, b in enumerate(brackets):
         target = F.when(F.col("i") == i, F.lit(b.rank - b.below)).otherwise(target)
@@ -155,7 +179,7 @@ def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], floa
         counts.withColumn("end", F.sum("n").over(upto))
         .withColumn("target", target)
         .filter((F.col("target") < F.col("end")) & (F.col("target") >= F.col("end") - F.col("n")))
-        .select("i", "v")
+        .select("i", F.coalesce("w", "v").alias("v"), "w")
         .collect()  # one value per wanted rank
     )
-    return {(brackets[row.i].column, brackets[row.i].rank): row.v for row in rows}
+    return {(brackets[row.i].column, brackets[row.i].rank): row.v if row.w is None else row.w for row in rows}

@@ -255,24 +255,30 @@ def nearest_lists(chunks: DataFrame, queries: DataFrame, k: int, lists: int = 3)
         "rank", "chunk_id", "distance")
 
 
-def retrieved_lists(chunks: DataFrame, queries: DataFrame, terms: DataFrame, k: int) -> DataFrame:
-    """The results of three vector searches (lists 1..3) and one term search (list 4), with texts."""
-    by_terms = lexical(chunks, terms).select(
+def retrieved_lists(chunks: DataFrame, queries: DataFrame, terms: DataFrame, k: int = fixed.SEARCHED,
+                    library: DataFrame | None = None) -> DataFrame:
+    """The results of three vector searches (lists 1..3) and one term search (list 4), with texts.
+
+    Terms are searched in ``library`` (chunk_id, text, source), which also holds
+    texts without a vector; by default in the chunks.
+    """
+    library = chunks if library is None else library
+    by_terms = lexical(library, terms).select(
         "question_id", F.lit(4).alias("list_no"), "rank", "chunk_id",
         F.lit(None).cast("double").alias("distance"))
     found = nearest_lists(chunks, queries, k).unionByName(by_terms)
     n_results = queries.count() * k + terms.count() * fixed.LEXICAL_TOP
-    return with_texts(found, chunks, n_results)
+    return with_texts(found, library, n_results)
 
 
 def hybrid(chunks: DataFrame, queries: DataFrame, terms: DataFrame, keep: int = fixed.RETRIEVED,
-           k: int = fixed.RETRIEVED) -> DataFrame:
+           k: int = fixed.SEARCHED, library: DataFrame | None = None) -> DataFrame:
     """Three vector searches and a term search, merged, reranked and cut to ``keep``.
 
     ``queries``: question_id, list_no (1..3), vector. The reranker counts the
     question's terms in the text, then prefers near vectors, then earlier places.
     """
-    found = merged(retrieved_lists(chunks, queries, terms, k))
+    found = merged(retrieved_lists(chunks, queries, terms, k, library))
     scored = found.join(terms, "question_id").withColumn(
         "score", term_score(F.col("text"), F.col("terms"), fixed.MAX_TERMS))
     order = Window.partitionBy("question_id").orderBy(

@@ -80,7 +80,7 @@ def even_histograms(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
     )
     edges = long.groupBy("metric", "subset").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
-    spot = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))
+    spot = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(bins - 1))
     return (
         # one row of edges per metric and subset
         long.join(F.broadcast(edges), ["metric", "subset"])
@@ -108,9 +108,9 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
                 F.round(F.avg(c), 4).alias("mean"),
                 F.round(F.stddev_samp(c), 4).alias("std"),
                 F.min(c).alias("min_value"),
-                F.lit(round(cuts[c, 0.25], 6)).alias("p25"),
-                F.lit(round(cuts[c, 0.5], 6)).alias("p50"),
-                F.lit(round(cuts[c, 0.75], 6)).alias("p75"),
+                rounded(cuts[c, 0.25], 6).alias("p25"),
+                rounded(cuts[c, 0.5], 6).alias("p50"),
+                rounded(cuts[c, 0.75], 6).alias("p75"),
                 F.max(c).alias("max_value"),
             )
             for c in columns
@@ -119,8 +119,15 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
-def outlier_bounds(df: DataFrame, column: str) -> tuple[float, float]:
-    """The 1.5 x interquartile-range fences."""
+def rounded(value: float | None, places: int) -> Column:
+    """A number, or a missing one, as a column."""
+    return F.lit(None if value is None else round(value, places)).cast("double")
+
+
+def outlier_bounds(df: DataFrame, column: str) -> tuple[float | None, float | None]:
+    """The 1.5 x interquartile-range fences, none of a column without values."""
     cuts = quantiles(df, [column], [0.25, 0.75])
+    if cuts[column, 0.25] is None:
+        return None, None
     spread = cuts[column, 0.75] - cuts[column, 0.25]
     return cuts[column, 0.25] - 1.5 * spread, cuts[column, 0.75] + 1.5 * spread

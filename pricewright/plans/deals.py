@@ -52,10 +52,12 @@ def feed_top_n(spark, folder):
     return first_per_group(deals(spark, folder), ["scan"], ["ts", "event_id"], 10).select("scan", "place", "url")
 
 
-def written_memory(spark, folder) -> str:
+def written_memory(spark, folder, feed: str | None = None) -> str:
     """Earlier opportunities as JSON lines, among lines that are not JSON."""
     path = scratch_path(spark, "memory")
-    rows = deals(spark, folder).filter("feed = 'purchase'")
+    rows = deals(spark, folder)
+    if feed is not None:
+        rows = rows.filter(F.col("feed") == feed)
     deal = F.struct("product_description", "price", "url")
     line = F.to_json(F.struct(
         deal.alias("deal"), (F.col("price") + F.col("k")).alias("estimate"),
@@ -64,12 +66,13 @@ def written_memory(spark, folder) -> str:
     return path
 
 
-def remembered(spark, folder):
-    return opportunity_memory(spark, written_memory(spark, folder)).select("deal.*", "estimate", "discount")
+def remembered(spark, folder, feed: str | None = None):
+    return opportunity_memory(spark, written_memory(spark, folder, feed)).select("deal.*", "estimate", "discount")
 
 
 _MEMORY = f"""{DEALS}, memory AS (SELECT product_description, price, url, price + k AS estimate, k::DOUBLE AS discount
-  FROM deals WHERE feed = 'purchase')"""
+  FROM deals)"""
+_BOUGHT = _MEMORY + ", bought AS (SELECT url FROM deals WHERE feed = 'purchase')"
 
 
 @query("scan_memory", f"WITH {_MEMORY} SELECT url, product_description, price, round(estimate, 4) AS estimate, discount FROM memory")
@@ -77,9 +80,9 @@ def scan_memory(spark, folder):
     return remembered(spark, folder).withColumn("estimate", F.round("estimate", 4))
 
 
-@query("new_deals", f"WITH {_MEMORY} SELECT feed, url, price FROM deals WHERE url NOT IN (SELECT url FROM memory)")
+@query("new_deals", f"WITH {_BOUGHT} SELECT feed, url, price FROM deals WHERE url NOT IN (SELECT url FROM bought)")
 def unseen_deals(spark, folder):
-    return new_deals(deals(spark, folder), remembered(spark, folder)).select("feed", "url", "price")
+    return new_deals(deals(spark, folder), remembered(spark, folder, "purchase")).select("feed", "url", "price")
 
 
 @query("positive_deals", f"WITH {DEALS} SELECT url, round(price - 20, 4) AS price FROM deals WHERE price - 20 > 0")

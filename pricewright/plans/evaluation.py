@@ -133,17 +133,17 @@ def error_trend(spark, folder):
          CASE WHEN abs(guess - truth) < 1000 OR abs(guess - truth) / truth < 0.2 THEN 'green'
               WHEN abs(guess - truth) < 3000 OR abs(guess - truth) / truth < 0.4 THEN 'orange'
               ELSE 'red' END AS band
-  FROM predictions ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, truth LIMIT 200""")
+  FROM predictions""")
 def evaluate_predictor(spark, folder):
-    return evaluate(predictions(spark, folder), lambda df: df, _KEYS, 200)
+    return evaluate(predictions(spark, folder), lambda df: df, _KEYS)
 
 
-def evaluate(data, predictor, order: list[str], size: int):
-    """Score the first ``size`` test rows with any DataFrame-to-DataFrame predictor.
+def evaluate(data, predictor, order: list[str], size: int | None = None):
+    """Score the test rows, or the first ``size`` of them, with any DataFrame-to-DataFrame predictor.
 
     The predictor adds ``guess``, a number or a text that holds one.
     """
-    scored = predictor(data.orderBy(*order).limit(size))
+    scored = predictor(data if size is None else data.orderBy(*order).limit(size))
     if dict(scored.dtypes)["guess"] == "string":
         scored = scored.withColumn("guess", plain_number(F.col("guess")))
     return scored.select(

@@ -14,6 +14,7 @@ from pricewright.operators.tables import (
     even_histograms,
     null_counts,
     outlier_bounds,
+    rounded,
     stepped_histogram,
     top_counts,
     top_counts_of_each,
@@ -111,7 +112,7 @@ def price_percentiles(spark, folder):
         F.round(F.stddev_samp("price"), 4).alias("std"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-    ).select("*", *[F.lit(round(cuts["price", s], 6)).alias(f"p{round(s * 100)}") for s in _SHARES])
+    ).select("*", *[rounded(cuts["price", s], 6).alias(f"p{round(s * 100)}") for s in _SHARES])
 
 
 @query("iqr_outliers", f"""
@@ -125,10 +126,10 @@ def price_percentiles(spark, folder):
 def iqr_outliers(spark, folder):
     lines = booked_lines(spark, folder)
     low, high = outlier_bounds(lines, "price")
-    outside = F.count_if((F.col("price") < low) | (F.col("price") > high))
+    outside = F.count_if((F.col("price") < F.lit(low)) | (F.col("price") > F.lit(high)))
     return lines.agg(
-        F.lit(round(low, 4)).alias("lower_bound"),
-        F.lit(round(high, 4)).alias("upper_bound"),
+        rounded(low, 4).alias("lower_bound"),
+        rounded(high, 4).alias("upper_bound"),
         outside.alias("n_outliers"),
         F.round(outside * 100 / F.count(F.lit(1)), 4).alias("share"),
     )
@@ -321,7 +322,7 @@ def derive_ratio(spark, folder):
     return lines.agg(
         F.count("ratio").alias("n"),
         F.round(F.avg("ratio"), 4).alias("mean"),
-        F.lit(round(median, 4)).alias("median"),
+        rounded(median, 4).alias("median"),
         F.round(F.min("ratio"), 4).alias("min_ratio"),
         F.round(F.max("ratio"), 4).alias("max_ratio"),
     )

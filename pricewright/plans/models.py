@@ -126,7 +126,7 @@ def linear_text_model(spark, folder):
 @query("network_pricer")
 def log_price_model(spark, folder):
     rows = priced_texts(spark, folder)
-    model = log_pricer(rows.filter("split = 'train'"), "text", rounds=20)
+    model = log_pricer(rows.filter("split = 'train'"), "text")
     return priced(model, rows.filter("split = 'test'")).select("doc_id", "price", "guess")
 
 

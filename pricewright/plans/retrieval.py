@@ -41,6 +41,11 @@ def corpus(spark, folder):
         F.col("doc_id").alias("chunk_id"), "text", "source", F.col("embedding").alias("vector"))
 
 
+def library(spark, folder):
+    """All documents, with or without a vector: what a term search looks at."""
+    return spread(table(spark, folder, "documents").select(F.col("doc_id").alias("chunk_id"), "text", "source"))
+
+
 def query_vectors(spark, folder):
     """Three query vectors per question: as asked, rewritten, with its terms."""
     asked = table(spark, folder, "benchmark").select("item_id")
@@ -57,13 +62,14 @@ def asked_vectors(spark, folder):
 
 _CORPUS = """corpus AS (SELECT doc_id AS chunk_id, text, source, embedding::DOUBLE[] AS vector
   FROM documents JOIN embeddings ON doc_id = vec_id),
+library AS (SELECT doc_id AS chunk_id, text, source FROM documents),
 asked AS (SELECT item_id AS question_id, v AS list_no, embedding::DOUBLE[] AS vector
   FROM benchmark, (VALUES (1), (2), (3)) l(v), embeddings WHERE vec_id = item_id + (v - 1) * (SELECT count(*) FROM benchmark)),
 distances AS (SELECT question_id, list_no, chunk_id,
     round(list_distance(a.vector, c.vector) ** 2, 9) AS distance FROM asked a, corpus c),
 nearest AS (SELECT *, row_number() OVER (PARTITION BY question_id, list_no ORDER BY distance, chunk_id) AS rank FROM distances)"""
 _LEXICAL = QUESTIONS + """,
-scored AS (SELECT question_id, chunk_id, count(*) AS score FROM keywords, corpus
+scored AS (SELECT question_id, chunk_id, count(*) AS score FROM keywords, library
   WHERE contains(lower(text), keyword) GROUP BY 1, 2),
 lexical AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM scored)"""
 
@@ -89,30 +95,31 @@ def topk_chunks(spark, folder):
 
 @query("lexical_match", f"""
   WITH {_CORPUS}, {_LEXICAL}
-  SELECT keyword, count(*) AS n_chunks FROM (SELECT DISTINCT keyword FROM keywords), corpus
+  SELECT keyword, count(*) AS n_chunks FROM (SELECT DISTINCT keyword FROM keywords), library
   WHERE contains(lower(text), keyword) GROUP BY 1""")
 def lexical_match(spark, folder):
     terms = questions(spark, folder).select(F.explode("keywords").alias("term"))
-    return term_counts(corpus(spark, folder), terms).withColumnRenamed("term", "keyword")
+    return term_counts(library(spark, folder), terms).withColumnRenamed("term", "keyword")
 
 
 @query("lexical_topn", f"""
   WITH {_CORPUS}, {_LEXICAL} SELECT question_id, rank, chunk_id, score FROM lexical WHERE rank <= 20""")
 def lexical_topn(spark, folder):
     terms = questions(spark, folder).select("question_id", F.col("keywords").alias("terms"))
-    return lexical(corpus(spark, folder), terms)
-
-
-def vector_results(spark, folder):
-    """The 20 nearest chunks of every question with their texts."""
-    chunks, asked = corpus(spark, folder), asked_vectors(spark, folder)
-    found = nearest(chunks, asked, fixed.RETRIEVED)
-    return with_texts(found, chunks, asked.count() * fixed.RETRIEVED)
+    return lexical(library(spark, folder), terms)
 
 
-_HITS = f"""{_CORPUS}, {QUESTIONS},
-found AS (SELECT n.question_id, n.rank, n.chunk_id, c.text, c.source FROM nearest n JOIN corpus c USING (chunk_id)
-  WHERE list_no = 1 AND rank <= 20),
+_MERGE = f"""{_CORPUS}, {_LEXICAL},
+lists AS (SELECT question_id, list_no, rank, chunk_id, distance FROM nearest WHERE rank <= 60
+  UNION ALL SELECT question_id, 4, rank, chunk_id, NULL FROM lexical WHERE rank <= 20),
+texts AS (SELECT l.*, c.text, c.source, min(list_no) OVER (PARTITION BY question_id, c.text) AS first_list
+  FROM lists l JOIN library c USING (chunk_id)),
+merged AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY list_no, rank) AS position FROM texts WHERE list_no = first_list)"""
+_RERANKED = f"""{_MERGE},
+  s AS (SELECT m.*, (SELECT count(*) FROM keywords k WHERE k.question_id = m.question_id AND contains(lower(m.text), k.keyword)) AS score FROM merged m),
+  r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, distance NULLS LAST, position) AS final FROM s)"""
+_HITS = f"""{_RERANKED},
+found AS (SELECT question_id, final AS rank, chunk_id, text, source FROM r WHERE final <= 20),
 hits AS (SELECT k.question_id, k.keyword, f.rank FROM keywords k JOIN found f
   ON k.question_id = f.question_id AND contains(lower(f.text), lower(k.keyword))),
 per_keyword AS (SELECT k.question_id, k.keyword, coalesce(1.0::DOUBLE / min(h.rank), 0) AS rr,
@@ -129,14 +136,14 @@ per_question AS (SELECT q.question_id, CASE WHEN category IS NULL THEN final_dec
 @query("keyword_hits", f"""
   WITH {_HITS} SELECT question_id, keyword, count(*) AS n_hits, min(rank) AS first_rank FROM hits GROUP BY 1, 2""")
 def keyword_hits(spark, folder):
-    ranks = keyword_ranks(questions(spark, folder), vector_results(spark, folder))
+    ranks = keyword_ranks(questions(spark, folder), hybrid_results(spark, folder))
     return ranks.filter(F.size("ranks") > 0).select(
         "question_id", "keyword", F.size("ranks").cast("long").alias("n_hits"),
         F.element_at("ranks", 1).alias("first_rank"))
 
 
 def _keyword_scores(spark, folder):
-    return keyword_scores(keyword_ranks(questions(spark, folder), vector_results(spark, folder)))
+    return keyword_scores(keyword_ranks(questions(spark, folder), hybrid_results(spark, folder)))
 
 
 @query("reciprocal_rank", f"WITH {_HITS} SELECT question_id, keyword, round(reciprocal_rank, 6) AS reciprocal_rank FROM scored_keywords")
@@ -227,26 +234,17 @@ def judged(replies):
         *[F.coalesce(scores[c], F.lit(1.0)).alias(c) for c in ("accuracy", "completeness", "relevance")])
 
 
-_MERGE = f"""{_CORPUS}, {_LEXICAL},
-lists AS (SELECT question_id, list_no, rank, chunk_id, distance FROM nearest WHERE rank <= 20
-  UNION ALL SELECT question_id, 4, rank, chunk_id, NULL FROM lexical WHERE rank <= 20),
-texts AS (SELECT l.*, c.text, c.source, min(list_no) OVER (PARTITION BY question_id, c.text) AS first_list
-  FROM lists l JOIN corpus c USING (chunk_id)),
-merged AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY list_no, rank) AS position FROM texts WHERE list_no = first_list)"""
-
-
 @query("merge_results", f"""
   WITH {_MERGE} SELECT question_id, position, list_no, chunk_id FROM merged""")
 def merge_results(spark, folder):
     terms = questions(spark, folder).select("question_id", F.col("keywords").alias("terms"))
-    lists = retrieved_lists(corpus(spark, folder), query_vectors(spark, folder), terms, fixed.RETRIEVED)
+    lists = retrieved_lists(
+        corpus(spark, folder), query_vectors(spark, folder), terms, library=library(spark, folder))
     return merged(lists).select("question_id", "position", "list_no", "chunk_id")
 
 
 @query("hybrid_retrieve", f"""
-  WITH {_MERGE},
-  s AS (SELECT m.*, (SELECT count(*) FROM keywords k WHERE k.question_id = m.question_id AND contains(lower(m.text), k.keyword)) AS score FROM merged m),
-  r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, distance NULLS LAST, position) AS final FROM s)
+  WITH {_RERANKED}
   SELECT question_id, final AS rank, chunk_id, score, source FROM r WHERE final <= 20""")
 def hybrid_retrieve(spark, folder):
     return hybrid_results(spark, folder).drop("text")
@@ -254,14 +252,15 @@ def hybrid_retrieve(spark, folder):
 
 def hybrid_results(spark, folder):
     terms = questions(spark, folder).select("question_id", F.col("keywords").alias("terms"))
-    return hybrid(corpus(spark, folder), query_vectors(spark, folder), terms)
+    return hybrid(
+        corpus(spark, folder), query_vectors(spark, folder), terms, library=library(spark, folder))
 
 
 @query("sources_top5", f"""
   WITH {_HITS} SELECT question_id, 'Top sources:' || chr(10) || string_agg('- ' || source, chr(10) ORDER BY rank) AS sources
   FROM found WHERE rank <= 5 GROUP BY 1""")
 def sources_top5(spark, folder):
-    found = vector_results(spark, folder).filter("rank <= 5")
+    found = hybrid_results(spark, folder).filter("rank <= 5")
     lines = joined_in_order(found, "question_id", "rank", F.concat(F.lit("- "), "source"), "\n")
     return lines.select("question_id", F.concat(F.lit(fixed.SOURCES_START), "joined").alias("sources"))
 
@@ -271,7 +270,7 @@ def sources_top5(spark, folder):
   FROM found GROUP BY 1""")
 def context_block(spark, folder):
     part = F.format_string(fixed.CONTEXT_PART, "source", "text")
-    return joined_in_order(vector_results(spark, folder), "question_id", "rank", part, "\n\n").select(
+    return joined_in_order(hybrid_results(spark, folder), "question_id", "rank", part, "\n\n").select(
         "question_id", F.col("joined").alias("context"))
 
 
@@ -338,10 +337,10 @@ def sink_index(spark, folder):
 
 
 @query("scan_index", f"""
-  WITH {_CORPUS} SELECT chunk_id, trim(text, ' ' || chr(10)) AS text, source FROM corpus WHERE text <> '' ORDER BY chunk_id LIMIT 2000""")
+  WITH {_CORPUS} SELECT chunk_id, trim(text, ' ' || chr(10)) AS text, source FROM corpus WHERE text <> ''""")
 def scan_index(spark, folder):
     index = written_index(spark, folder)
-    return index.filter("text <> ''").orderBy("chunk_id").limit(2000).select(
+    return index.filter("text <> ''").select(
         "chunk_id", F.btrim("text", F.lit(" \n")).alias("text"),
         F.coalesce(F.col("metadata")["source"], F.lit("unknown")).alias("source"))
 

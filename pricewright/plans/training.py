@@ -225,16 +225,14 @@ def token_stats(spark, folder):
 @query("prompt_token_stats", f"""
   WITH {_SFT}, {BOOKINGS},
   freight AS (SELECT {_FREIGHT_TEXT} || ' ' || CAST(CAST(round_even(price, 0) AS BIGINT) AS VARCHAR) || ' ' || currency AS t
-    FROM bookings ORDER BY l_orderkey, l_linenumber, pol, pod, teu, price LIMIT 100)
+    FROM bookings)
   SELECT 'product' AS kind, {_STATS_SQL} FROM (SELECT len(regexp_extract_all(prompt || completion, '{_TOKENS}')) AS n FROM sft)
   UNION ALL SELECT 'freight', {_STATS_SQL} FROM (SELECT len(regexp_extract_all(t, '{_TOKENS}')) AS n FROM freight)""")
 def prompt_token_stats(spark, folder):
     pairs = sft_pairs(spark, folder)
     product = _token_stats(pairs.select(token_count(F.concat("prompt", "completion")).alias("n_tokens")))
-    first = bookings(spark, folder).orderBy(
-        "l_orderkey", "l_linenumber", "pol", "pod", "teu", "price").limit(100)
     whole_text = F.concat(freight_text(), F.lit(fixed.FREIGHT_ANSWER), freight_completion(F.lit(True)))
-    freight = _token_stats(first.select(token_count(whole_text).alias("n_tokens")))
+    freight = _token_stats(bookings(spark, folder).select(token_count(whole_text).alias("n_tokens")))
     return product.withColumn("kind", F.lit("product")).unionByName(
         freight.withColumn("kind", F.lit("freight")))
 

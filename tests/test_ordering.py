@@ -61,7 +61,7 @@ def test_any_rank_of_any_small_list(spark, values):
 
 def test_ranks_of_an_empty_column(spark):
     assert values_at_ranks(spark.createDataFrame([], "v double"), [("v", 0)]) == {}
-    assert quantiles(spark.createDataFrame([(None,)], "v double"), ["v"], [0.5]) == {}
+    assert quantiles(spark.createDataFrame([(None,)], "v double"), ["v"], [0.5]) == {("v", 0.5): None}
 
 
 def test_empty_tables(spark):
@@ -90,3 +90,33 @@ def test_top_counts_leave_out_missing_keys_but_count_them(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     got = [(r.k, r.n, r.share) for r in top_counts(rows, "k", 5).collect()]
     assert sorted(got) == [("a", 2, 50.0), ("b", 1, 25.0)]
+
+
+def test_constant_and_empty_columns_have_statistics(spark):
+    from pricewright.operators.tables import describe, even_histograms, outlier_bounds
+
+    rows = spark.range(5).selectExpr("cast(7 as double) as same", "cast(null as double) as none")
+    bins = {(r["metric"], r["subset"]): (r["bin"], r["n"]) for r in even_histograms(rows, ["same"], 4).collect()}
+    assert bins == {("same", "all"): (0, 5), ("same", "positive"): (0, 5)}
+    described = {r["column_name"]: r for r in describe(rows, ["same", "none"]).collect()}
+    assert described["same"]["p50"] == 7.0 and described["none"]["p50"] is None and described["none"]["n"] == 0
+    assert outlier_bounds(rows, "none") == (None, None)
+
+
+def test_quantiles_of_infinite_and_large_whole_numbers(spark):
+    from pricewright.operators.ranks import quantiles, values_at_ranks
+
+    rows = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "x double")
+    assert quantiles(rows, ["x"], [0.5, 1.0]) == {("x", 0.5): 2.0, ("x", 1.0): float("inf")}
+    large = spark.range(5).selectExpr("id + 9007199254740992 as n")
+    assert values_at_ranks(large, [("n", 1), ("n", 3)]) == {("n", 1): 2 ** 53 + 1, ("n", 3): 2 ** 53 + 3}
+
+
+def test_stuck_brackets_are_halved(spark, monkeypatch):
+    from pricewright.operators import ranks
+
+    monkeypatch.setattr(ranks, "MAX_CANDIDATES", 10)
+    monkeypatch.setattr(ranks, "_narrow", lambda df, brackets: [
+        setattr(b, "low", 0) or setattr(b, "high", 999) or setattr(b, "inside", 1000) for b in brackets if b.low is None])
+    rows = spark.range(1000).selectExpr("id as n")
+    assert ranks.values_at_ranks(rows, [("n", 0), ("n", 617), ("n", 999)]) == {("n", 0): 0, ("n", 617): 617, ("n", 999): 999}
