@@ -139,7 +139,9 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
 def _halve(df: DataFrame, brackets: list[_Bracket]) -> None:
     """Cut brackets that a sketch no longer narrows at the middle of their values."""
     for b in brackets:
-        if b.inside <= MAX_CANDIDATES or b.low is None or b.low == b.high:
+        if b.low is None:  # no sketch was confirmed: the whole range
+            b.low, b.high = df.agg(F.min(b.column), F.max(b.column)).first()
+        if b.inside <= MAX_CANDIDATES or b.low == b.high:
             continue
         whole = isinstance(b.low, int) and isinstance(b.high, int)
         middle = (b.low + b.high) // 2 if whole else b.low + (b.high - b.low) / 2

@@ -80,11 +80,13 @@ def even_histograms(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
     )
     edges = long.groupBy("metric", "subset").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
-    spot = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(bins - 1))
+    # a column of one value has no width: all in the first bin
+    step = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(0))
+    spot = F.least(step, F.lit(bins - 1))
     return (
         # one row of edges per metric and subset
         long.join(F.broadcast(edges), ["metric", "subset"])
-        .groupBy("metric", "subset", F.coalesce(spot, F.lit(0)).cast("long").alias("bin"))
+        .groupBy("metric", "subset", spot.cast("long").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
