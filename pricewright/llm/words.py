@@ -91,7 +91,7 @@ class Words:
         return b" ".join(data[s:e].tobytes() for s, e in zip(self.starts[first:last], self.ends[first:last], strict=True))
 
 
-def pieces_of(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def pieces_of(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a string column into slices of at most ``most`` bytes, or one text: row, bytes, offsets.
 
     Null counts as empty.
