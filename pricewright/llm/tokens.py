@@ -3,8 +3,8 @@
 The library cuts a text into words and signs before it merges, and never merges
 across a cut, so the ids of a text are those of its parts in turn. Texts in Latin
 letters are cut here by the vocabulary's own rule, and each different part of a
-slice goes to the library once; frequent parts are remembered, up to a fixed
-number. Texts with other signs go to the library whole.
+slice goes to the library once; its ids are remembered, up to a fixed number of
+parts. Texts with other signs go to the library whole.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pricewright.llm.common import worker_store
 
 MOST_PARTS = 400_000
 PARTS_AT_ONCE = 1000
-# Fixed value: the special token that both vocabularies have.
-BORDER = "<|endoftext|>"
+# How the vocabularies mark a token that ends a word, and one that begins with a space.
+WORD_END, SPACE = "</w>", "\u0120"
 SLICE_BYTES = 1 << 20
 
 # Signs for which Python's letters, digits and white space are those of the vocabularies' rules.
@@ -38,15 +39,35 @@ _CUTS = {
 }
 
 
-class _Known(dict):
-    """Remembered ids; a part that is not remembered is looked up among those of the current slice."""
+class _Numbers(dict):
+    """Parts to numbers from 0 on; a part that is not known gets the next one and is noted as new."""
 
     def __init__(self):
         super().__init__()
-        self.now: dict[str, bytes] = {}
+        self.new: list[str] = []
 
-    def __missing__(self, part: str) -> bytes:
-        return self.now[part]
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.new.append(part)
+        return number
+
+
+class _Ids:
+    """The ids of numbered parts: ``data[starts[n]:starts[n] + sizes[n]]``."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        self.data, self.starts, self.sizes = data, starts, sizes
+
+    def followed_by(self, other: _Ids) -> _Ids:
+        return _Ids(np.concatenate([self.data, other.data]), np.concatenate([self.starts, other.starts + len(self.data)]),
+                    np.concatenate([self.sizes, other.sizes]))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these parts in turn, and where each part ends."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        return self.data[at], ends
 
 
 class Encoder:
@@ -57,40 +78,66 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True  # in a text they are ordinary signs
         self.lower = self.model.normalizer is not None
         self.cuts = _CUTS["plain" if self.lower else "spaced"]
-        self.known = _Known()
-        self.border = self.model.token_to_id(BORDER)
-
-    def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
-        """Ids of parts, none of which holds the whole border token: the library cuts there before anything else."""
-        self.model.encode_special_tokens = False
-        lists = [parts[at:at + PARTS_AT_ONCE] for at in range(0, len(parts), PARTS_AT_ONCE)]
-        joined = self.model.encode_batch_fast([BORDER.join([*some, ""]) for some in lists], add_special_tokens=False)
-        for one in joined:
-            ids = np.array(one.ids, dtype="<u4")
-            ends = 4 * np.flatnonzero(ids == self.border)
-            data, begin = ids.tobytes(), 0
-            for end in ends.tolist():
-                yield data[begin:end]
-                begin = end + 4
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        self.model.encode_special_tokens = True  # in a text they are ordinary signs
+        vocabulary = self.model.get_vocab()
+        self.border = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.border[[number for token, number in vocabulary.items() if (
+            token.endswith(WORD_END) if self.lower else token.startswith(SPACE))]] = True
+        self.numbers = _Numbers()
+        self.known = self._encode_parts([])
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+        return [np.array(one.ids, dtype="<u4") for one in found]
+
+    def _bounds(self, ids: np.ndarray) -> np.ndarray:
+        """Where parts begin and end in the ids of parts in a row, by the tokens that begin or end one."""
+        at = np.flatnonzero(self.border[ids])
+        return np.concatenate([[0], at + 1]) if self.lower else np.append(at, len(ids))
+
+    def _encode_parts(self, parts: list[str]) -> _Ids:
+        """Parts go to the library many in a row where the vocabulary tells their borders, else alone."""
+        in_row = [self.lower or part[0] == " " and not part.isspace() for part in parts]
+        row, alone = ([at for at, joined in enumerate(in_row) if joined is kind] for kind in (True, False))
+        groups = [row[at:at + PARTS_AT_ONCE] for at in range(0, len(row), PARTS_AT_ONCE)]
+        data, starts, sizes = [], np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64)
+        done = 0
+        glue = " " if self.lower else ""
+        for group, ids in zip(groups, self._encode([glue.join([parts[at] for at in group]) for group in groups]),
+                              strict=True):
+            bounds = self._bounds(ids)
+            if len(bounds) != len(group) + 1 or bounds[0] or bounds[-1] != len(ids):
+                alone.extend(group)
+                continue
+            starts[group], sizes[group] = done + bounds[:-1], np.diff(bounds)
+            data.append(ids)
+            done += len(ids)
+        for at, ids in zip(alone, self._encode([parts[at] for at in alone]), strict=True):
+            starts[at], sizes[at] = done, len(ids)
+            data.append(ids)
+            done += len(ids)
+        return _Ids(np.concatenate([np.zeros(0, dtype="<u4"), *data]), starts, sizes)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        latin = [text if _LATIN.fullmatch(text) else None for text in texts]
-        others = iter(self._encode([text for text, plain in zip(texts, latin, strict=True) if plain is None]))
-        cut = [None if text is None else self.cuts.findall(text.lower() if self.lower else text) for text in latin]
-        known = self.known
-        new = list(set().union(*filter(None, cut)).difference(known))
-        known.now = dict(zip(new, self._encode_parts(new), strict=True))
-        room = max(0, MOST_PARTS - len(known))
-        if room:
-            known.update((part, known.now[part]) for part in new[:room])
-        return [next(others) if parts is None else b"".join(map(known.__getitem__, parts)) for parts in cut]
+        latin = [_LATIN.fullmatch(text) is not None for text in texts]
+        cut = [self.cuts.findall(text.lower() if self.lower else text)
+               for text, plain in zip(texts, latin, strict=True) if plain]
+        numbers = self.numbers
+        row = np.fromiter(map(numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=sum(map(len, cut)))
+        new, numbers.new = numbers.new, []
+        room = max(0, MOST_PARTS - len(numbers) + len(new))
+        if new[:room]:
+            self.known = self.known.followed_by(self._encode_parts(new[:room]))
+        for part in new[room:]:
+            del numbers[part]
+        now = self.known.followed_by(self._encode_parts(new[room:])) if new[room:] else self.known
+        ids, ends = now.of(row)
+        last = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])].tolist()
+        mine = iter([ids[a:b].tobytes() for a, b in zip(last[:-1], last[1:], strict=True)])
+        others = iter(self._encode([text for text, plain in zip(texts, latin, strict=True) if not plain]))
+        return [next(mine) if plain else next(others).tobytes() for plain in latin]
 
 
 def encoder(path: str) -> Encoder:
