@@ -88,10 +88,13 @@ class Encoder:
         self.numbers = _Numbers()
         self.known = self._encode_parts([])
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _arrays(self, texts: list[str]) -> list[np.ndarray]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4") for one in found]
 
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self._arrays(texts)]
+
     def _bounds(self, ids: np.ndarray) -> np.ndarray:
         """Where parts begin and end in the ids of parts in a row, by the tokens that begin or end one."""
         at = np.flatnonzero(self.border[ids])
@@ -105,7 +108,7 @@ class Encoder:
         data, starts, sizes = [], np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64)
         done = 0
         glue = " " if self.lower else ""
-        for group, ids in zip(groups, self._encode([glue.join([parts[at] for at in group]) for group in groups]),
+        for group, ids in zip(groups, self._arrays([glue.join([parts[at] for at in group]) for group in groups]),
                               strict=True):
             bounds = self._bounds(ids)
             if len(bounds) != len(group) + 1 or bounds[0] or bounds[-1] != len(ids):
@@ -114,7 +117,7 @@ class Encoder:
             starts[group], sizes[group] = done + bounds[:-1], np.diff(bounds)
             data.append(ids)
             done += len(ids)
-        for at, ids in zip(alone, self._encode([parts[at] for at in alone]), strict=True):
+        for at, ids in zip(alone, self._arrays([parts[at] for at in alone]), strict=True):
             starts[at], sizes[at] = done, len(ids)
             data.append(ids)
             done += len(ids)
@@ -137,7 +140,7 @@ class Encoder:
         last = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])].tolist()
         mine = iter([ids[a:b].tobytes() for a, b in zip(last[:-1], last[1:], strict=True)])
         others = iter(self._encode([text for text, plain in zip(texts, latin, strict=True) if not plain]))
-        return [next(mine) if plain else next(others).tobytes() for plain in latin]
+        return [next(mine) if plain else next(others) for plain in latin]
 
 
 def encoder(path: str) -> Encoder:
