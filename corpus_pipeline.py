@@ -15,6 +15,7 @@ from pricewright.session import staged  # noqa: E402
 
 LEAST_LANGUAGE_SCORE = 0.3  # four languages at random have 0.25
 MOST_OF_A_SOURCE = 0.25
+NEAR_COPY_PER_CENT = 80
 
 
 def known_language(spark, docs, sf_dir):
@@ -28,8 +29,8 @@ def exact_copies(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """One document of each component of near copies stays."""
-    return near_dup.without_near_copies(docs)
+    """One document of each component of near copies, alike in 80 % of their runs of five words, stays."""
+    return near_dup.without_near_copies(docs, NEAR_COPY_PER_CENT)
 
 
 def target_weights(spark, docs, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import corpus_pipeline as pipeline
-from test_operators import links_by_force, lower
+from test_operators import links_by_force, lower, words
 
 
 def test_stages_do_what_they_say(spark, folder):
@@ -36,3 +36,15 @@ def test_stages_do_what_they_say(spark, folder):
     pieces = pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id for r in pieces} == mixed.keys()
     assert len(pipeline.run(spark, folder).collect()) == len(pieces)
+
+
+def test_near_copies_from_eighty_per_cent_on_go(spark):
+    text = words(60, 200).split()
+    rows = []
+    for doc_id, places in enumerate([[], [40, 80, 120, 160], [20, 50, 80, 110, 140, 170]]):
+        near = [f"n{doc_id}" if at in places else word for at, word in enumerate(text)]
+        rows.append((doc_id, " ".join(near)))
+    assert {i: first for i, (_, first, _) in links_by_force(rows, 85).items()} == {0: 0, 1: 1, 2: 2}
+    assert {i: first for i, (_, first, _) in links_by_force(rows, 80).items()} == {0: 0, 1: 0, 2: 2}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in pipeline.near_copies(spark, docs, None).collect()} == {0, 2}
