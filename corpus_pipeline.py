@@ -40,7 +40,7 @@ def target_weights(spark, docs, sf_dir):
 
 def training_sequences(spark, docs, sf_dir):
     """Pieces of documents with their place in sequences of 1024 tokens."""
-    return packing.packed_documents(docs, BYTE_BPE, end_id=2)
+    return packing.packed_documents(docs, BYTE_BPE, end_id=2, added=True)
 
 
 STAGES = [

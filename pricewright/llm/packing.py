@@ -43,7 +43,7 @@ _PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, tokens: int = 1024, keep_ids: bool = False,
-                 key: str = "doc_id", text: str = "text") -> DataFrame:
+                 key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` of each piece.
 
     Documents longer than ``tokens`` are cut so that all pieces but the first are
@@ -73,7 +73,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, tokens: int = 10
         return [*out, pa.array(parts, pa.binary())] if keep_ids else out
 
     rows = texts(docs, key, text)
-    return rows.mapInArrow(encoded(vocabulary, columns, schema), _PIECES_DDL + (", ids binary" if keep_ids else ""))
+    ddl = _PIECES_DDL + (", ids binary" if keep_ids else "")
+    return rows.mapInArrow(encoded(vocabulary, columns, schema, added), ddl)
 
 
 def best_fit(counts: dict[int, int], capacity: Capacity,
@@ -179,10 +180,11 @@ def packed(pieces: DataFrame, capacity: Capacity | None = None,
 
 
 def packed_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: Capacity | None = None,
-                     keep_ids: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Cut, tokenise and pack whole documents."""
+                     keep_ids: bool = False, key: str = "doc_id", text: str = "text",
+                     added: bool = False) -> DataFrame:
+    """Cut, tokenise and pack whole documents; ``added`` as for the ``Encoder``."""
     capacity = capacity or Capacity()
-    pieces = token_pieces(docs, vocabulary, end_id, capacity.tokens, keep_ids, key, text)
+    pieces = token_pieces(docs, vocabulary, end_id, capacity.tokens, keep_ids, key, text, added)
     return packed(staged(pieces, "pieces"), capacity)
 
 

@@ -53,7 +53,7 @@ def warc_round_trip(spark, folder):
 
 @query("op2_best_fit_packing")
 def best_fit_packing(spark, folder):
-    return packing.packed_documents(table(spark, folder, "documents"), BYTE_BPE, end_id=2)
+    return packing.packed_documents(table(spark, folder, "documents"), BYTE_BPE, end_id=2, added=True)
 
 
 _BLOCK = site_lines.BLOCKS.replace("'", "''")
@@ -94,7 +94,7 @@ def content_sorted(spark, folder):
 @query("op5_token_list_files")
 def token_list_files(spark, folder):
     files = scratch_path(spark, "tokens")
-    token_files.write_token_files(table(spark, folder, "documents"), files, WORD_BPE, end_id=1)
+    token_files.write_token_files(table(spark, folder, "documents"), files, WORD_BPE, end_id=1, added=True)
     return token_files.token_spans(token_files.read_token_files(spark, files))
 
 

@@ -27,7 +27,7 @@ _ROWS = pa.schema([("shard", pa.int32()), ("position", pa.int64()), ("doc_id", p
 _DDL = "shard int, position long, doc_id long, n_tokens long, ids array<int>"
 
 
-def _rows_in_order(path: str, end_id: int):
+def _rows_in_order(path: str, end_id: int, added: bool):
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,19 +45,19 @@ def _rows_in_order(path: str, end_id: int):
                 keys, pa.array(sizes), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
             ]
 
-        yield from encoded(path, columns, _ROWS)(batches)
+        yield from encoded(path, columns, _ROWS, added)(batches)
 
     return apply
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, encoding: str = "dictionary",
                       row_group_bytes: int = ROW_GROUP_BYTES, page_rows: int = PAGE_ROWS,
-                      key: str = "doc_id", text: str = "text") -> None:
+                      key: str = "doc_id", text: str = "text", added: bool = False) -> None:
     """Encode whole texts and write them in ascending order of the key.
 
     Columns: ``shard`` (the file), ``position`` (the row in it), ``doc_id``,
     ``n_tokens`` and ``ids`` with the end id. ``encoding`` of the ids is
-    ``dictionary`` or ``delta``. Null text is empty and gives the end id alone, null
+    ``dictionary`` or ``delta``; ``added`` as for the ``Encoder``. Null text is empty and gives the end id alone, null
     keys come first, rows that repeat a key follow each other in the order of
     their text's hash, and an empty table gives files without rows.
     """
@@ -72,7 +72,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         "parquet.writer.version": "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0",
         "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
     }
-    ordered.mapInArrow(_rows_in_order(vocabulary, end_id), _DDL).write.options(**options).parquet(folder)
+    ordered.mapInArrow(_rows_in_order(vocabulary, end_id, added), _DDL).write.options(**options).parquet(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:

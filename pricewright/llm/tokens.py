@@ -4,7 +4,8 @@ The library cuts a text into words and signs before it merges, and never merges
 across a cut, so the ids of a text are those of its parts in turn. Texts in Latin
 letters are cut here by the vocabulary's own rule, and each different part of a
 slice goes to the library once; its ids are remembered, up to a fixed number of
-parts. Texts with other signs go to the library whole.
+parts. Texts with other signs go to the library whole, and so do texts that hold an
+added token of the vocabulary where such a token counts as one.
 """
 
 from __future__ import annotations
@@ -71,14 +72,19 @@ class _Ids:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
+    With ``added`` the vocabulary's added tokens in a text have their own ids, as by the
+    library's default; without it they are ordinary signs.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # in a text they are ordinary signs
+        self.model.encode_special_tokens = not added
+        self.added = [token.content for token in self.model.get_added_tokens_decoder().values()] if added else []
         self.lower = self.model.normalizer is not None
         self.cuts = _CUTS["plain" if self.lower else "spaced"]
         vocabulary = self.model.get_vocab()
@@ -124,7 +130,7 @@ class Encoder:
         return _Ids(np.concatenate([np.zeros(0, dtype="<u4"), *data]), starts, sizes)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        latin = [_LATIN.fullmatch(text) is not None for text in texts]
+        latin = [_LATIN.fullmatch(text) is not None and not any(token in text for token in self.added) for text in texts]
         cut = [self.cuts.findall(text.lower() if self.lower else text)
                for text, plain in zip(texts, latin, strict=True) if plain]
         numbers = self.numbers
@@ -143,12 +149,12 @@ class Encoder:
         return [next(mine) if plain else next(others) for plain in latin]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     store = worker_store()
-    if path not in store:
-        store[path] = Encoder(path)
-    return store[path]
+    if (path, added) not in store:
+        store[path, added] = Encoder(path, added)
+    return store[path, added]
 
 
 def slices_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
@@ -163,11 +169,11 @@ def slices_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         row = last
 
 
-def encoded(path: str, columns: Callable, schema: pa.Schema):
+def encoded(path: str, columns: Callable, schema: pa.Schema, added: bool = False):
     """A function for ``mapInArrow``: ``columns(keys, ids)`` makes the arrays of each slice of rows."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(path)
+        model = encoder(path, added)
         for batch in batches:
             keys = batch.column("doc_id")
             for row, texts in slices_of(batch.column("text")):

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -21,6 +22,7 @@ from pricewright.llm import (
     multiset_hash,
     near_dup,
     packing,
+    queries,
     site_lines,
     substrings,
     token_files,
@@ -209,6 +211,27 @@ def test_token_files(spark, docs, tmp_path, encoding):
     assert all(sort in c.encodings or (encoding == "dictionary" and "PLAIN_DICTIONARY" in c.encodings) for c in columns)
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_added_tokens_have_their_ids(path):
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endof text|>", "語 <|endoftext|>",
+             "", "plain words, don't", " <|endoftext|> ", "<| endoftext |>"]
+    want = [Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids for text in texts]
+    model = Encoder(path, added=True)
+    assert [np.frombuffer(one, "<u4").tolist() for one in model.encode(texts)] == want
+
+
+def test_queries_give_added_tokens_their_ids(spark, tmp_path):
+    text = "a <|endoftext|> b <|startoftext|> c"
+    row = (1, text, "en", "s0", len(text))
+    spark.createDataFrame([row], "doc_id long, text string, lang string, source string, n_chars long").toPandas().to_parquet(
+        tmp_path / "documents.parquet")
+    for run, path, end in ((queries.token_list_files, WORD_BPE, 1), (queries.best_fit_packing, BYTE_BPE, 2),
+                           (lambda spark, folder: corpus_pipeline.training_sequences(
+                               spark, spark.read.parquet(f"{folder}/documents.parquet"), folder), BYTE_BPE, 2)):
+        ids = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, end]
+        assert [r.ids_crc32 for r in run(spark, str(tmp_path)).collect()] == [crc(ids)]
+
+
 # archives
 
 def test_archives_round_trip(spark, tmp_path):
