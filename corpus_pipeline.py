@@ -34,7 +34,10 @@ def near_copies(spark, docs, sf_dir):
 
 
 def target_weights(spark, docs, sf_dir):
-    """Sources above a quarter of all documents are held to that weight; all others stay whole."""
+    """Sources above a quarter of all documents are held to that weight; all others stay whole.
+
+    Where every source is above a quarter, the mixture ends where the first of them runs out.
+    """
     return mixing.to_weights(docs, MOST_OF_A_SOURCE)
 
 

@@ -119,17 +119,19 @@ def at_most_a_share(share: float) -> Column:
 def to_weights(docs: DataFrame, share: float, key: str = "doc_id", source: str = "source") -> DataFrame:
     """The documents, sources larger than ``share`` of all rows held to that weight.
 
-    The mixture ends where the last of the other sources ends; blocks of a source
-    above its weight whose slot lies behind that are left out. All documents of
-    the other sources stay, and so do all where no source is above ``share``.
+    The mixture ends where the last of the other sources ends, or, where all are
+    larger than ``share``, where the first of them runs out; blocks of a source above
+    its weight whose slot lies behind that are left out. All documents of the other
+    sources stay, and so do all where no source is above ``share`` or there is only one.
     """
     order = staged(mixed(docs, at_most_a_share(share), key=key, source=source), "mixed")
     sizes = order.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.max("slot").alias("ends"))
     total = F.sum("rows").over(Window.partitionBy())
-    small = sizes.withColumn("large", F.col("rows") > F.floor(total * share))
-    end = staged(small.filter("NOT large").agg(F.max("ends").alias("end")), "horizon").first()["end"]
+    marked = sizes.withColumn("large", F.col("rows") > F.floor(total * share))
+    ends = F.coalesce(F.max(F.when(~F.col("large"), F.col("ends"))), F.min("ends"))
+    end = staged(marked.agg(ends.alias("end")), "horizon").first()["end"]
     if end is None:
         return docs
-    surplus = order.join(F.broadcast(small.filter("large").select("source")),
-                         order["source"].eqNullSafe(small["source"]), "left_semi").filter(F.col("slot") > end)
+    surplus = order.join(F.broadcast(marked.filter("large").select("source")),
+                         order["source"].eqNullSafe(marked["source"]), "left_semi").filter(F.col("slot") > end)
     return without_keys(docs, key, staged(surplus.select("doc_id"), "surplus"))

@@ -409,6 +409,17 @@ def test_large_sources_are_held_to_their_weight(spark):
     assert mixing.to_weights(docs.filter("source <> 'big'"), 0.25).count() == 1000
 
 
+@pytest.mark.parametrize("sizes", [[700, 300], [500, 400, 350], [1000]])
+def test_sources_that_are_all_large_end_with_the_first_to_run_out(spark, sizes):
+    ends = np.cumsum(sizes)
+    docs = spark.range(int(ends[-1])).select(
+        F.col("id").alias("doc_id"), sum((F.col("id") >= int(end)).cast("int") for end in ends).cast("string").alias("source"))
+    counts = {r.source: r["count"] for r in mixing.to_weights(docs, 0.25).groupBy("source").count().collect()}
+    least = min(sizes)
+    assert counts[str(sizes.index(least))] == least
+    assert all(abs(count - least) <= mixing.BLOCK_ROWS for count in counts.values()) and len(counts) == len(sizes)
+
+
 # repeated windows
 
 def removed_by_force(rows) -> dict[int, tuple]:
