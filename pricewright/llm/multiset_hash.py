@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.llm.common import shuffle_parts, texts
@@ -26,6 +26,7 @@ EQUAL_LANES = 16
 LIKE_LANES = 128
 GRAM = 3
 BLOCK_SLACK = 4
+MOST = (1 << 63) - 1
 
 
 def paragraphs(text: bytes) -> list[bytes]:
@@ -183,17 +184,22 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = texts(docs, key, text)
     blocks = BLOCK_SLACK * shuffle_parts(docs.sparkSession)
     found = rows.select("doc_id").approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.25 / blocks)
-    least = rows.agg(F.min("doc_id")).first()[0]
-    if least is None:
-        least = 0
+
+    def numbered(borders: list[int], place: Column) -> Column:
+        begins = [F.lit(value).cast("long") for value in borders]
+        return F.size(F.filter(F.array(*begins), lambda value: value <= place)) if begins else F.lit(0)
+
+    # sampled borders went through doubles: the least identifier from each border on begins its block
+    sampled = sorted({min(int(value), MOST) for value in found})
+    firsts = rows.groupBy(numbered(sampled, F.col("doc_id")).alias("block")).agg(F.min("doc_id").alias("first")).collect()
+    known = sorted(row["first"] for row in firsts if row["first"] is not None)
     # identifiers that begin a block: bounded by the number of blocks
-    splitters = sorted({int(value) for value in found} - {least})
-    begins = F.array(*[F.lit(value).cast("long") for value in splitters]) if splitters else F.expr("cast(array() as array<bigint>)")
+    least, splitters = (known[0], known[1:]) if known else (0, [])
     place = F.coalesce(F.col("doc_id"), F.lit(least))
-    block = F.size(F.filter(begins, lambda value: value <= place))
+    block = numbered(splitters, place)
     last = len(splitters)
     first_of_all = F.coalesce(F.col("doc_id"), F.lit(least)) == F.lit(least)
-    opens = first_of_all | F.array_contains(begins, F.col("doc_id"))
+    opens = first_of_all | F.coalesce(F.col("doc_id").isin(splitters), F.lit(False))
     visits = F.when(opens, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     dealt = rows.select("*", block.alias("home"), F.explode(visits).alias("visits")).withColumn(
         "block", F.when(~F.col("visits"), F.col("home")).when(F.col("home") == 0, F.lit(last)).otherwise(F.col("home") - 1))

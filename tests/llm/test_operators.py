@@ -300,6 +300,15 @@ def test_edited_texts(docs, repeated):
     assert multiset_hash.edited_likeness(docs.filter("doc_id = 22")).first()["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("low", [1 << 60, (1 << 63) - 3001, -(1 << 63)])
+def test_no_document_is_left_out_at_large_identifiers(spark, low):
+    ids = [low + 3 * n + 1 for n in range(1000)]
+    docs = spark.createDataFrame([(i, f"text {i}\nend {i % 7}") for i in ids], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.edited_sha256 for r in multiset_hash.edited_likeness(docs).collect()}
+    assert got == {i: hashlib.sha256(multiset_hash.edited_text(f"text {i}\nend {i % 7}", f"text {j}\nend {j % 7}").encode()).hexdigest()
+                   for i, j in zip(ids, [*ids[1:], ids[0]], strict=True)}
+
+
 # languages
 
 def test_language_on_held_out_rows(spark):
