@@ -17,13 +17,14 @@ def _pieces(text: str, size: int, separators: tuple[str, ...]) -> list[str]:
     """Consecutive pieces of at most ``size`` that add up to the text.
 
     Cut at the coarsest separator that occurs; only pieces still too long are
-    cut at finer ones. Each piece keeps its separator at the front.
+    cut at finer ones, at last into characters, so that chunks overlap in any text.
+    Each piece keeps its separator at the front.
     """
     if len(text) <= size:
         return [text]
     separator = next(s for s in separators if s in text)
     if separator == "":
-        return [text[at : at + size] for at in range(0, len(text), size)]
+        return list(text)
     finer = separators[separators.index(separator) + 1 :]
     parts = text.split(separator)
     result = []

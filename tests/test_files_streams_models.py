@@ -203,6 +203,12 @@ def test_chunks_overlap_whole_pieces():
     assert first.split()[-6:] == second.split()[:6] or first.split()[-8:] == second.split()[:8]
 
 
+def test_chunks_of_unbroken_text_overlap():
+    text = "".join(map(chr, range(0x4E00, 0x4E00 + 700)))
+    assert recursive_chunks(text, 500, 200) == [text[:500], text[300:]]
+    assert recursive_chunks("ab " + text, 500, 200)[-1][:200] == recursive_chunks("ab " + text, 500, 200)[-2][-200:]
+
+
 def test_any_chunker_can_be_used(spark):
     documents = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "doc_id long, text string")
     got = sorted((r.doc_id, r.chunk_no, r.text) for r in chunk_table(documents, str.split).collect())
