@@ -4,6 +4,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from pricewright import fixed_values as fixed
 from pricewright.operators.models import (
     bag_of_words,
     boosted_pricer,
@@ -18,6 +19,7 @@ from pricewright.operators.models import (
     projected,
     word_counts,
 )
+from pricewright.plans import models
 from pricewright.streaming.replies import batch_progress, collect_replies
 
 
@@ -50,6 +52,19 @@ def test_trees_learn_a_step(lines, model, size):
     assert all(abs(r.guess - r.price) < 40 for r in priced(fitted, rows).collect())
 
 
+def test_the_boosted_query_runs_all_rounds(spark, folder, monkeypatch):
+    rounds = []
+
+    def fitted(rows, model):
+        rounds.append(model.getMaxIter())
+        assert spark.sparkContext.getCheckpointDir() and model.getCheckpointInterval() == 10
+        return Pipeline(stages=[numeric_features(["value"]), boosted_pricer(1)]).fit(rows)
+
+    monkeypatch.setattr(models, "_fitted", fitted)
+    assert models.boosted_model(spark, folder).count() > 0
+    assert rounds == [fixed.BOOST_ROUNDS] == [1000]
+
+
 def test_log_prices_are_told_apart_by_words(texts):
     rows = priced(log_pricer(texts, "text", rounds=100), texts).groupBy("price").agg(F.avg("guess").alias("g")).collect()
     guesses = {r.price: r.g for r in rows}
