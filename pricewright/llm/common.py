@@ -60,7 +60,7 @@ def checked(keys: DataFrame) -> DataFrame:
 def without_keys(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """The rows whose key is not in the one column of ``gone``, a written table."""
     named = gone.toDF("_gone")
-    return docs.join(checked(named), F.col(f"`{key}`").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(checked(named), docs[f"`{key}`"].cast("long") == named["_gone"], "left_anti")
 
 
 def salts_of_large_keys(sizes: DataFrame, key: str, size: str) -> DataFrame:

@@ -8,10 +8,12 @@ of n agreements has a beta posterior, and the pair is dropped as soon as the
 probability that it reaches the threshold falls below ``miss``. What survives is
 confirmed on the full sets.
 
-Only connections count, so a bucket's documents are first compared with its smallest
-one. Documents of a bucket that are still apart are then compared with each other,
-block by block: every pair of a bucket is either compared or already connected,
-no pair leaves its task unless it joins two components, and no bucket is cut.
+Only connections count, so a bucket's classes are first compared with one leader.
+While many of a bucket are outside its largest component, they are compared with
+another member of it, one in each bucket and turn. What is still outside then meets
+the whole bucket, block by block, while the members of the largest component have a
+row each and do not meet: every pair of a bucket is either compared or already
+connected, no pair leaves its task unless it joins two components, no bucket is cut.
 With 28 bands of 4 a pair at the threshold of 0.85 is no candidate with probability 1e-9.
 """
 
@@ -23,10 +25,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import checked, texts, without_keys
+from pricewright.llm.common import checked, salted_left_join, salts_of_large_keys, texts, whole
 from pricewright.llm.components import components
 from pricewright.llm.words import _LOWER, _WORD_BASE, Words, mixed, pieces_of, span_hashes
 from pricewright.session import staged
@@ -37,6 +39,7 @@ BANDS, ROWS = 28, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
+MOST_BLOCK_ROWS, STARS_WHILE = 2, 0.9  # rows a member before stars are tried, and while they connect a tenth
 _HASHES = BANDS * ROWS
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 31, _HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -69,15 +72,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                      ("bands", pa.list_(pa.int64())), ("hashes", pa.binary())])
-_SIGNED_DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, hashes binary"
+_SIGNED_DDL = "doc_id long, mark long, n_shingles long, digest binary, bands array<long>, hashes binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for batch in batches:
-        keys, column = batch.column("doc_id"), batch.column("text")
+        keys, marks, column = batch.column("doc_id"), batch.column("mark"), batch.column("text")
         for row, data, offsets in pieces_of(column):
             words = Words(data, offsets, lower=True)
             hashes = words.hashes()
@@ -107,7 +110,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands.append(key.view(np.int64))
                 signs.append((least >> np.uint32(16)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([
-                keys.slice(row, len(counts)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                keys.slice(row, len(counts)), marks.slice(row, len(counts)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary())], schema=_SIGNED)
 
 
@@ -164,7 +167,7 @@ def _apart(per_cent: int, miss: float, confirm: bool):
     def apply(key: tuple, rows: pa.Table) -> pa.Table:
         bucket, first, second = (part.as_py() for part in key)
         block = rows["block"].to_numpy()
-        ids, labels = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
+        ids, labels = rows["node"].to_numpy(), rows["component"].to_numpy()
         matrix = _matrix(rows["hashes"].combine_chunks())
         bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
@@ -209,7 +212,7 @@ def _apart(per_cent: int, miss: float, confirm: bool):
                         pairs.append((ids[x[i]], ids[y[i]]))
         if confirm:
             return pa.table({name: pa.array([pair[i] for pair in pairs], pa.int64()) for i, name in enumerate("ab")})
-        return rows.filter(pa.array(used)).select(["bucket", "one", "two", "block", "doc_id", "component"])
+        return rows.filter(pa.array(used)).select(["bucket", "one", "two", "block", "node", "component"])
 
     return apply
 
@@ -256,29 +259,76 @@ def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         plain = [b" ".join(text.encode().translate(table).split()) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(plain, pa.binary()).cast(pa.string())], names=["doc_id", "words"])
+            [batch.column("node"), pa.array(plain, pa.binary()).cast(pa.string())], names=["node", "words"])
 
 
-def _of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is wanted: by broadcast up to a checked number of keys, else by a shuffle."""
-    return docs.join(checked(keys), "doc_id", "left_semi")
+def _words_of(rows: DataFrame, speakers: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, words``: the words of these classes' speakers, written once."""
+    wanted = staged(speakers.select("node", "doc_id", "mark").join(nodes.distinct(), "node", "left_semi"), "wanted")
+    found = rows.join(checked(wanted), ["doc_id", "mark"]).dropDuplicates(["node"])
+    return staged(found.mapInArrow(_plain_words, "node long, words string"), "words")
 
 
-def _words_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The words of the documents with these keys, written once."""
-    wanted = staged(keys.distinct(), "wanted")
-    return staged(_of(docs, wanted).dropDuplicates(["doc_id"]).mapInArrow(
-        _plain_words, "doc_id long, words string"), "words")
+def _verified(pairs: DataFrame, rows: DataFrame, speakers: DataFrame, per_cent: int, miss: float) -> DataFrame:
+    """The pairs (``a`` the leader, ``b``) that survive batch by batch and whose full sets are similar enough.
 
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    words = _words_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
+    A leader has as many pairs as its buckets have members, so its pairs are dealt out by ``b``.
+    """
+    salts = salts_of_large_keys(staged(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "leaders"), "a", "n")
+    hashes = speakers.select("node", "hashes")
+    paired = salted_left_join(pairs, hashes.toDF("a", "hashes_a"), "a", salts, "b").join(hashes.toDF("b", "hashes_b"), "b")
+    likely = staged(paired.mapInArrow(_likely(per_cent, miss), "a long, b long"), "likely")
+    words = _words_of(rows, speakers, likely.select(F.explode(F.array("a", "b")).alias("node")))
     one, two = (words.toDF(side, f"words_{side}") for side in "ab")
-    both = pairs.join(two, "b").join(one, "a").sortWithinPartitions("a")
+    both = salted_left_join(likely.join(two, "b"), one, "a", salts, "b").sortWithinPartitions("a")
     return staged(both.mapInArrow(_confirm(per_cent), "a long, b long"), "confirmed")
 
 
+def _split(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with the bucket's largest one (``main``).
+
+    ``inside`` and ``outside`` count the bucket's members within and without it.
+    """
+    at = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    at = staged(at, "labelled")
+    counts = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("size"))
+    sizes = staged(sizes.filter("most.n < size").select(
+        "bucket", "size", F.col("most.component").alias("main"), F.col("most.n").alias("inside"),
+        (F.col("size") - F.col("most.n")).alias("outside")), "split")
+    salts = salts_of_large_keys(sizes, "bucket", "size")
+    return staged(salted_left_join(at, sizes.drop("size"), "bucket", salts, "node").filter("main IS NOT NULL"), "open")
+
+
+def _next_stars(open_members: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a bucket's members outside its largest component with one member of it, another in each bucket and turn."""
+    lot = F.xxhash64("node", "bucket", F.lit(turn))
+    heads = open_members.filter("component = main").groupBy("bucket").agg(F.min(F.struct(lot, "node"))["node"].alias("a"))
+    return open_members.filter("component <> main").join(heads, "bucket").select("a", F.col("node").alias("b")).distinct()
+
+
+def _blocks() -> tuple[Column, Column, Column]:
+    """Blocks of the largest component and of the others, and whether a member is of the largest."""
+    main, rest = (F.ceil(F.col(part) / BLOCK).cast("int") for part in ("inside", "outside"))
+    return main, rest, F.col("component") == F.col("main")
+
+
+def block_rows(open_members: DataFrame) -> DataFrame:
+    """``bucket, one, two, block, node, component``: each pair of blocks that has to meet, with its members.
+
+    Members of the largest component only meet blocks of the others, so each of them
+    has one row while the others fill one block; the others meet every block.
+    """
+    main, rest, inner = _blocks()
+    lot = F.xxhash64("node")
+    return (
+        open_members
+        .withColumn("block", F.when(inner, F.pmod(lot, main)).otherwise(main + F.pmod(lot, rest)).cast("int"))
+        .withColumn("mate", F.explode(F.sequence(F.when(inner, main).otherwise(F.lit(0)), main + rest - 1)))
+        .select("bucket", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"),
+                "block", "node", "component"))
+
+
 def linked(docs: DataFrame, per_cent: int = PER_CENT, miss: float = MISS,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
@@ -286,55 +336,70 @@ def linked(docs: DataFrame, per_cent: int = PER_CENT, miss: float = MISS,
     Documents with ``100 * common >= per_cent * all`` shingles are linked;
     ``component_id`` is the smallest identifier reachable. A text of fewer than five
     words is one shingle; null, empty and blank texts have none and stand alone.
-    Rows that repeat an identifier share its result, and so does a null identifier,
-    which stands alone and is kept. An empty table gives an empty result.
+    Rows that repeat an identifier each have the result of their own text. A null
+    identifier stands alone and is kept. An empty table gives an empty result.
     """
-    rows = texts(docs, key, text)
+    return _linked(docs, per_cent, miss, key, text).drop("mark")
+
+
+def _linked(docs: DataFrame, per_cent: int, miss: float, key: str, text: str) -> DataFrame:
+    """As ``linked``, with the ``mark`` of each row's text."""
+    rows = texts(docs, key, text).withColumn("mark", F.xxhash64("text"))
     signed = staged(rows.mapInArrow(_sign, _SIGNED_DDL), "signatures")
     classes = staged(signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("first")), "classes")
-    speakers = signed.select("doc_id", "digest", "bands", "hashes").join(
+    speakers = signed.select("doc_id", "mark", "digest", "bands", "hashes").join(
         classes.select("digest", F.col("first").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    speakers = staged(speakers.dropDuplicates(["doc_id"]).drop("digest"), "speakers")
-
-    buckets = speakers.select("doc_id", F.explode("bands").alias("bucket"))
-    leaders = buckets.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("size"))
-    members = staged(buckets.join(leaders.filter("size > 1"), "bucket"), "members")
-    stars = members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
-    hashes = speakers.select("doc_id", "hashes")
-    paired = stars.join(hashes.toDF("a", "hashes_a"), "a").join(hashes.toDF("b", "hashes_b"), "b")
-    likely = staged(paired.mapInArrow(_likely(per_cent, miss), "a long, b long"), "likely")
-    links = _confirmed(likely, rows, per_cent)
-
-    labels = components(links)
-    at = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    split = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-        "low <> high").select("bucket")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    blocks = staged(
-        at.filter("size > 2 AND doc_id <> leader").join(split, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
-        .withColumn("mate", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("bucket", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"),
-                "block", "doc_id", "component"), "blocks")
-    signs = speakers.select("doc_id", "hashes", "bands")
+    # numbers of the classes; the table is written once, so they stay
+    speakers = staged(speakers.dropDuplicates(["digest"]).withColumn("node", F.monotonically_increasing_id()), "speakers")
+
+    buckets = speakers.select("node", F.explode("bands").alias("bucket"))
+    leaders = staged(buckets.groupBy("bucket").agg(
+        F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "leaders")
+    salts = salts_of_large_keys(leaders, "bucket", "size")
+    members = staged(salted_left_join(buckets, leaders.drop("size"), "bucket", salts, "node").filter(
+        "node <> leader").select("bucket", "node", "leader"), "members")
+    stars = members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    links = _verified(stars, rows, speakers, per_cent, miss)
+    members = members.drop("leader")
+    main, rest, inner = _blocks()
+    outside, turn = None, 0
+    while True:
+        labels = components(links)
+        left = _split(members, labels)
+        size, cost, apart = left.agg(
+            F.count(F.lit(1)), F.sum(F.when(inner, rest).otherwise(main + rest)), F.sum((~inner).cast("long"))).first()
+        if not size or cost <= MOST_BLOCK_ROWS * size or outside is not None and apart > outside * STARS_WHILE:
+            break
+        outside = apart
+        turn += 1
+        links = links.union(_verified(_next_stars(left, turn), rows, speakers, per_cent, miss))
+
+    blocks = staged(block_rows(left), "blocks")
+    signs = speakers.select("node", "hashes", "bands")
     by_block = ["bucket", "one", "two"]
-    apart = staged(blocks.join(signs, "doc_id").groupBy(*by_block).applyInArrow(
+    apart = staged(blocks.join(signs, "node").groupBy(*by_block).applyInArrow(
         _apart(per_cent, miss, confirm=False), blocks.schema), "apart")
-    words = _words_of(rows, apart.select("doc_id"))
-    more = apart.join(signs, "doc_id").join(words, "doc_id").groupBy(*by_block).applyInArrow(
+    words = _words_of(rows, speakers, apart.select("node"))
+    more = apart.join(signs, "node").join(words, "node").groupBy(*by_block).applyInArrow(
         _apart(per_cent, miss, confirm=True), "a long, b long")
-    labels = components(links.union(more))
+    labels = components(links.union(staged(more, "more")))
 
-    named = classes.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
-        "digest", F.coalesce("component", "first").alias("component"))
-    return signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    placed = staged(speakers.join(labels, "node", "left").select(
+        "digest", "doc_id", F.coalesce("component", "node").alias("component")), "placed")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = placed.join(least, "component").select("digest", "component_id")
+    return signed.select("doc_id", "mark", "n_shingles", "digest").join(named, "digest", "left").select(
+        "doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
 def without_near_copies(docs: DataFrame, per_cent: int = PER_CENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, one of each component, with the columns of the input."""
-    gone = staged(linked(docs, per_cent, key=key, text=text).filter("NOT kept").select("doc_id"), "gone")
-    return without_keys(docs, key, gone)
+    """The documents that stay, one of each component, with the columns of the input.
+
+    Of rows that repeat an identifier only those go whose own text is a near copy.
+    """
+    gone = staged(_linked(docs, per_cent, MISS, key, text).filter("NOT kept").select(
+        F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct(), "gone")
+    return docs.join(checked(gone), (docs[f"`{key}`"].cast("long") == gone["_gone"])
+                     & (F.xxhash64(whole(text)) == gone["_mark"]), "left_anti")

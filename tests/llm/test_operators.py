@@ -378,6 +378,34 @@ def test_chains_of_near_copies_and_near_misses(spark, monkeypatch):
     assert got == links_by_force(rows, 85)
 
 
+@pytest.mark.parametrize("per_cent", [80, 85])
+def test_one_outsider_costs_a_row_a_member(spark, monkeypatch, per_cent):
+    """Near copies of one text and a far copy: block rows stay in proportion to the members, no link is lost."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    counts, found = [], near_dup.block_rows
+    monkeypatch.setattr(near_dup, "block_rows", lambda left: counts.append(
+        (left.count(), found(left).count())) or found(left))
+    for count in (60, 180):
+        random, text = np.random.default_rng(4), words(77, 200).split()
+        rows = [(i, " ".join([*text[:at], f"n{i}", *text[at + 1:]])) for i, at in enumerate(random.integers(0, 200, count))]
+        rows.append((count, " ".join(f"far{at}" if at % 17 == 3 else w for at, w in enumerate(text))))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r[0]: tuple(r)[1:] for r in near_dup.linked(docs, per_cent).collect()}
+        assert got == links_by_force(rows, per_cent)
+    assert all(made <= near_dup.MOST_BLOCK_ROWS * members for members, made in counts)
+
+
+def test_rows_that_repeat_an_identifier_are_linked_by_their_own_text(spark):
+    text, other = words(90, 60), words(91, 60)
+    rows = [(5, other), (5, text), (7, text + " more"), (9, text + " again"), (9, words(92, 60))]
+    for order in (rows, [rows[1], rows[0], *rows[2:]]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dup.linked(docs).collect())
+        assert got == Counter([(5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False), (9, 9, True)])
+        stay = near_dup.without_near_copies(docs).collect()
+        assert sorted(tuple(r) for r in stay) == sorted([rows[0], rows[1], rows[4]])
+
+
 def test_agreements_needed_follow_the_posterior():
     least = near_dup.least_agreements(85, 1e-6)
     assert len(least) == 7 and least == sorted(least) and 0 < least[0] < 16 * 0.85

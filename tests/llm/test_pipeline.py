@@ -25,7 +25,7 @@ def test_stages_do_what_they_say(spark, folder):
     for i, r in known.items():
         groups[lower(r.text)].append(i)
     assert single.keys() == {max(ids) for ids in groups.values()}
-    links = links_by_force([(i, r.text) for i, r in single.items()], 85)
+    links = links_by_force([(i, r.text) for i, r in single.items()], pipeline.NEAR_COPY_PER_CENT)
     assert near.keys() == {i for i, (_, first, _) in links.items() if first == i}
     sizes = defaultdict(int)
     for r in near.values():
