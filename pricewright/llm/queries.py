@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from pricewright.llm import (
     content_sort,
     language,
+    merkle,
     mixing,
     multiset_hash,
     near_dup,
     packing,
+    periodic_runs,
     site_lines,
     substrings,
     token_files,
@@ -153,3 +158,129 @@ def pfair_mixing(spark, folder):
 def count_min_substrings(spark, folder):
     return substrings.without_repeats(table(spark, folder, "documents"), digests=True).withColumnRenamed(
         "kept", "kept_sha256")
+
+
+# the checksum of a decimal identifier, bit by bit
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+          "lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) "
+          "WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), 4294967295)")
+_FRAMED = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FRAMED.format(of) for of in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_DEPTH = "CASE WHEN {0} > 1 THEN ceil(log2({0}))::INT ELSE 0 END"
+
+
+@query("op11_bitmap_manifest", f"""
+    WITH RECURSIVE d AS (SELECT *, {_CRC32} AS h FROM documents),
+    l AS (SELECT doc_id, coalesce('=' || lang, '') AS label, {_leaf_sql('n_chars')} AS leaf,
+                 CASE WHEN h % 7 = 0 THEN {_leaf_sql('(n_chars + 1)')} ELSE {_leaf_sql('n_chars')} END AS claim FROM d),
+    k AS (SELECT *, dense_rank() OVER (ORDER BY label) - 1 AS tree, count(*) OVER (PARTITION BY label) AS n,
+                 row_number() OVER (PARTITION BY label ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM l),
+    t AS (SELECT tree, n, 0 AS level, place AS ix, leaf AS node FROM k
+          UNION ALL
+          SELECT tree, any_value(n), level + 1, ix // 2, sha256(string_agg(node, '' ORDER BY ix)) FROM t
+          WHERE level < {_DEPTH.format('n')} GROUP BY tree, level, ix // 2),
+    s AS (SELECT tree, node AS subroot, count(*) OVER () AS n FROM t WHERE level = {_DEPTH.format('n')}),
+    u AS (SELECT n, 0 AS level, tree AS ix, subroot AS node FROM s
+          UNION ALL
+          SELECT any_value(n), level + 1, ix // 2, sha256(string_agg(node, '' ORDER BY ix)) FROM u
+          WHERE level < {_DEPTH.format('n')} GROUP BY level, ix // 2),
+    r AS (SELECT node AS root FROM u WHERE level = {_DEPTH.format('n')}),
+    p AS (SELECT k.tree, k.place, k.doc_id, k.leaf, k.claim, s.subroot, {_DEPTH.format('k.n')} AS depth, s.n AS trees
+          FROM k JOIN s ON k.tree = s.tree),
+    w AS (SELECT tree, place, unnest(range(0, depth)) AS level, NULL::BIGINT AS of_tree, depth FROM p
+          UNION ALL
+          SELECT tree, place, depth + unnest(range(0, {_DEPTH.format('trees')})), tree, depth FROM p),
+    o AS (SELECT w.tree, w.place, w.level,
+                 coalesce(t.node, u.node, '') AS sibling,
+                 CASE WHEN of_tree IS NULL THEN (w.place >> w.level) % 2 ELSE (of_tree >> (w.level - w.depth)) % 2 END AS odd
+          FROM w LEFT JOIN t ON of_tree IS NULL AND t.tree = w.tree AND t.level = w.level
+                            AND t.ix = xor((w.place >> w.level)::BIGINT, 1::BIGINT)
+                 LEFT JOIN u ON u.level = w.level - w.depth AND u.ix = xor((of_tree >> (w.level - w.depth))::BIGINT, 1::BIGINT)),
+    f AS (SELECT tree, place, string_agg(sibling, '' ORDER BY level) AS siblings,
+                 list((CASE WHEN odd = 1 THEN 'L' ELSE 'R' END) || sibling ORDER BY level) AS steps FROM o GROUP BY ALL),
+    g AS (SELECT p.*, siblings, list_reduce(list_prepend(claim, coalesce(steps, [])), lambda x, y: sha256(
+                 CASE WHEN y[1] = 'L' THEN y[2:] || x ELSE x || y[2:] END)) AS folded_root
+          FROM p LEFT JOIN f ON p.tree = f.tree AND p.place = f.place)
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+           folded_root = root AS verified FROM g, r""")
+def bitmap_manifest(spark, folder):
+    return verified_manifest(table(spark, folder, "documents"))
+
+
+def verified_manifest(docs: DataFrame) -> DataFrame:
+    """The manifest of documents, each checked against the root after some have been altered."""
+    def leaf(n_chars: Column) -> Column:
+        return merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    claim = F.when(altered, leaf(one_more)).otherwise(leaf(F.col("n_chars")))
+    return merkle.manifest(docs, leaf(F.col("n_chars")), claim).withColumn(
+        "folded_root", merkle.folded(F.col("claim"), F.col("proof"))).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+_LEAST, _TIMES = periodic_runs.LEAST_WORDS, periodic_runs.TIMES
+_GRAM = 2 * _LEAST // 3  # every run matches as many words in a row
+
+
+@query("op13_periodic_runs", f"""
+    WITH d AS (SELECT doc_id, {_CRC32} AS h, list_filter(
+                   regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    c AS (SELECT doc_id, h % 10 = 0 AND len(w) > 0 AS edited, w, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a,
+                 3 + (h // 10) % 8 AS parts FROM d),
+    e AS (SELECT doc_id, n, CASE WHEN edited THEN w[1:a] || list_transform(range(0, n - a), lambda i:
+                     w[a + i % (1 + (n - a) // parts) + 1]) ELSE w END AS w FROM c),
+    i AS (SELECT doc_id, n, w, unnest(range(0, n - {_GRAM} + 1)) AS i FROM e),
+    g AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + {_GRAM}], ' ') AS gram FROM i),
+    m AS (SELECT x.doc_id, y.i - x.i AS q, y.i AS i FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.gram = y.gram
+          AND x.i < y.i AND {_TIMES} * (y.i - x.i) <= x.n),
+    s AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS run FROM m),
+    v AS (SELECT doc_id, q, min(i) - q AS start, count(*) + {_GRAM - 1} + q AS length FROM s GROUP BY doc_id, q, run),
+    r AS (SELECT doc_id, start, length, min(q) AS period FROM v WHERE length >= greatest({_LEAST}, {_TIMES} * q)
+          GROUP BY doc_id, start, length),
+    a AS (SELECT doc_id, count(*) AS n_runs,
+                 string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said FROM r GROUP BY doc_id),
+    b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS k FROM r),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    o AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM e),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM o ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT e.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+           sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM e LEFT JOIN a ON a.doc_id = e.doc_id LEFT JOIN b ON b.doc_id = e.doc_id AND b.k = 1
+           LEFT JOIN kept ON kept.doc_id = e.doc_id""")
+def runs_of_documents(spark, folder):
+    return run_digests(with_repeats(table(spark, folder, "documents")))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, by checksum, all words from one on repeat with one period."""
+    code = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                       code.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    begin = F.expr("cast((h div 10) % size(words) as int)")
+    size = F.size("words") - begin
+    period = (F.floor(size / F.expr("3 + (h div 10) % 8")) + 1).cast("int")
+    edited = F.concat(F.slice("words", F.lit(1), begin), F.transform(
+        F.sequence(F.lit(0), size - 1), lambda i: F.get("words", begin + i % period)))
+    return rows.select("doc_id", F.when(F.size("words") > 0, F.array_join(edited, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(docs: DataFrame) -> DataFrame:
+    """Runs of each document: their number, the one with the most periods, and digests of all and of what is kept."""
+    none = F.expr("cast(null as struct<start: bigint, length: bigint, period: bigint>)")
+    best = F.aggregate("runs", none, lambda most, run: F.when(
+        most.isNull() | (run["length"] * most["period"] > most["length"] * run["period"]), run).otherwise(most))
+    said = F.transform("runs", lambda run: F.concat(
+        F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return periodic_runs.collapsed(docs).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(said, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
