@@ -18,6 +18,7 @@ from pricewright.llm import (
     site_lines,
     substrings,
     token_files,
+    vp_trees,
     warc,
 )
 from pricewright.plans.inputs import table
@@ -226,6 +227,11 @@ def verified_manifest(docs: DataFrame) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+@query("op12_vantage_point_trees")
+def vantage_point_trees(spark, folder):
+    return vp_trees.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 _LEAST, _TIMES = periodic_runs.LEAST_WORDS, periodic_runs.TIMES
 _GRAM = 2 * _LEAST // 3  # every run matches as many words in a row
 
