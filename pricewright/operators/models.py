@@ -19,7 +19,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import FMRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import FMRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,12 +117,6 @@ def forest_pricer(trees: int = fixed.FOREST_TREES) -> RandomForestRegressor:
         featuresCol="features", labelCol="price", predictionCol="guess", numTrees=trees, seed=SEED)
 
 
-def boosted_pricer(rounds: int = fixed.BOOST_ROUNDS) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features", labelCol="price", predictionCol="guess", maxIter=rounds,
-        stepSize=fixed.BOOST_RATE, seed=SEED)
-
-
 def log_target(prices: DataFrame) -> tuple[float, float]:
     """Mean and sample deviation of log(price + 1)."""
     row = prices.agg(F.avg(F.log1p("price")), F.stddev_samp(F.log1p("price"))).first()

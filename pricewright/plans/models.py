@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 from pricewright.functions.products import without_code_tokens
+from pricewright.operators.boosting import fit_boosted
 from pricewright.operators.curation import curate
 from pricewright.operators.models import (
     bag_of_words,
-    boosted_pricer,
     embed,
     forest_pricer,
     hashed_embedder,
@@ -155,11 +155,10 @@ def forest_model(spark, folder):
 
 @query("boosted_pricer")
 def boosted_model(spark, folder):
-    if spark.sparkContext.getCheckpointDir() is None:  # each round builds on the one before
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "rounds"))
     rows = order_features(spark, folder)
-    model = _fitted(rows, boosted_pricer())
-    return priced(model, rows.filter("split = 'test'")).select("o_orderkey", "price", "guess")
+    model = fit_boosted(rows.filter("split = 'train'"), _FEATURES)
+    return rows.filter("split = 'test'").select(
+        "o_orderkey", "price", F.greatest(model.guess(), F.lit(0.0)).alias("guess"))
 
 
 @query("sink_model")

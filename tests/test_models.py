@@ -5,9 +5,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
+from pricewright.operators import boosting
+from pricewright.operators.boosting import fit_boosted
 from pricewright.operators.models import (
     bag_of_words,
-    boosted_pricer,
     embed,
     forest_pricer,
     hashed_embedder,
@@ -45,24 +46,48 @@ def test_linear_guesses_are_exact_and_never_below_zero(lines):
     assert min(r.guess for r in rows) == 0.0
 
 
-@pytest.mark.parametrize("model, size", [(forest_pricer, 10), (boosted_pricer, 5)])
-def test_trees_learn_a_step(lines, model, size):
+def test_a_forest_learns_a_step(lines):
     rows = lines.select("x", F.col("step").alias("price"))
-    fitted = Pipeline(stages=[numeric_features(["x"]), model(size)]).fit(rows)
+    fitted = Pipeline(stages=[numeric_features(["x"]), forest_pricer(10)]).fit(rows)
     assert all(abs(r.guess - r.price) < 40 for r in priced(fitted, rows).collect())
 
 
-def test_the_boosted_query_runs_all_rounds(spark, folder, monkeypatch):
-    rounds = []
+def test_boosting_learns_a_step_and_its_error_falls_with_every_round(lines):
+    rows = lines.select("x", F.col("step").alias("price")).union(lines.select(F.lit(None), F.lit(1.0)))
+    fitted = fit_boosted(rows, ["x"], rounds=60)
+    assert all(abs(r.g - r.price) < 1 for r in rows.dropna().withColumn("g", fitted.guess()).collect())
+    assert len(fitted.losses) == 60 and (np.diff(fitted.losses) < 0).all()
+    assert abs(fitted.losses[0] - 150.0 ** 2) < 1e-6
+
+
+def waves(spark):
+    return spark.range(3000).select(
+        "id", (F.col("id") % 60 / 10.0).alias("x"), (F.col("id") % 7).cast("double").alias("y")).withColumn(
+        "price", F.sin("x") * 100 + F.when(F.col("y") > 3, 50 * F.col("x")).otherwise(0))
+
 
-    def fitted(rows, model):
-        rounds.append(model.getMaxIter())
-        assert spark.sparkContext.getCheckpointDir() and model.getCheckpointInterval() == 10
-        return Pipeline(stages=[numeric_features(["value"]), boosted_pricer(1)]).fit(rows)
+def test_boosting_is_nearer_than_the_forest_on_rows_it_has_not_seen(spark):
+    train, test = waves(spark).filter("id % 3 > 0"), waves(spark).filter("id % 3 = 0")
+    forest = Pipeline(stages=[numeric_features(["x", "y"]), forest_pricer(20)]).fit(train)
+    boosted = fit_boosted(train, ["x", "y"], rounds=200)
+    miss = test.select(F.avg(F.abs(boosted.guess() - F.col("price")))).first()[0]
+    assert miss < forest.transform(test).select(F.avg(F.abs(F.col("guess") - F.col("price")))).first()[0]
 
-    monkeypatch.setattr(models, "_fitted", fitted)
+
+def test_bins_are_halved_until_the_cells_fit(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "MOST_CELLS", 60)
+    fitted = fit_boosted(waves(spark), ["x", "y"], rounds=5)
+    assert 1 < (len(fitted.edges[0]) + 1) * (len(fitted.edges[1]) + 1) <= 60 * 2
+    monkeypatch.setattr(boosting, "MOST_CELLS", 1)
+    with pytest.raises(ValueError):
+        fit_boosted(waves(spark), ["x", "y"], rounds=5)
+
+
+def test_the_boosted_query_runs_all_rounds(spark, folder, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(models, "fit_boosted", lambda *args: fitted.append(fit_boosted(*args)) or fitted[0])
     assert models.boosted_model(spark, folder).count() > 0
-    assert rounds == [fixed.BOOST_ROUNDS] == [1000]
+    assert len(fitted[0].values) == fixed.BOOST_ROUNDS == 1000
 
 
 def test_log_prices_are_told_apart_by_words(texts):
