@@ -50,15 +50,20 @@ def _with_group_numbers(leaves: DataFrame) -> DataFrame:
     return salted_left_join(leaves, groups, "label", salts_of_large_keys(sizes, "label", "rows"), "leaf").drop("label")
 
 
-_WORD = F.coalesce(F.shiftright("doc_id", _WORD_BITS), F.lit(-(1 << 58)))  # null before all others
-_BIT = F.coalesce(F.col("doc_id").bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int"), F.lit(0))
+def _word() -> Column:
+    """The number of an identifier's word; null lies before all others."""
+    return F.coalesce(F.shiftright("doc_id", _WORD_BITS), F.lit(-(1 << 58)))
+
+
+def _bit() -> Column:
+    return F.coalesce(F.col("doc_id").bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int"), F.lit(0))
 
 
 def _ranked(rows: DataFrame, directory: DataFrame) -> DataFrame:
     """Rows of different identifiers with their ``place``."""
     below = F.expr("bit_count(bits & ~shiftleft(-1L, bit))")
     more = F.aggregate("extras", F.lit(0).cast("long"), lambda n, one: n + F.when(one["bit"] < F.col("bit"), one["n"]).otherwise(0))
-    return rows.withColumns({"word": _WORD, "bit": _BIT}).join(directory, ["group_no", "word"]).withColumn(
+    return rows.withColumns({"word": _word(), "bit": _bit()}).join(directory, ["group_no", "word"]).withColumn(
         "place", F.col("before") + below + F.coalesce(more, F.lit(0))).drop("word", "bit", "bits", "before", "extras")
 
 
@@ -68,7 +73,7 @@ def placed(leaves: DataFrame) -> DataFrame:
     The order is by ``doc_id`` (null first), then ``leaf``.
     """
     one = F.when(F.col("doc_id").isNotNull(), F.expr("shiftleft(1L, bit)")).otherwise(F.lit(0).cast("long"))
-    marked = leaves.select("group_no", "doc_id", _WORD.alias("word"), _BIT.alias("bit"))
+    marked = leaves.select("group_no", "doc_id", _word().alias("word"), _bit().alias("bit"))
     words = staged(marked.groupBy("group_no", "word").agg(
         F.bit_or(one).alias("bits"), F.count(F.lit(1)).alias("rows")), "bitmaps")
     # words with more rows than bits hold identifiers that repeat

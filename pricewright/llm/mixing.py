@@ -7,7 +7,8 @@ One block runs per slot, of those released the one with the earliest deadline. A
 the units add up to the period, every window is met, so that at any slot no source
 is a whole block ahead or behind its weight while it has blocks left; after that
 its slots stay empty. Windows repeat every period, so one period is scheduled, as an
-array fold whose size is the period, and all blocks look up their slot in it.
+array fold in which a slot costs a look at each source, and all blocks look up their
+slot in it.
 
 DataFrame functions only. The numbers within a source come from sorted ranges,
 so a source with a third of all rows is no burden on one task.
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import without_keys
+from pricewright.llm.common import BROADCAST_KEYS, checked, salted_left_join, salts_of_large_keys, without_keys
 from pricewright.operators.ordering import numbered
 from pricewright.session import staged
 
@@ -56,10 +57,11 @@ def _one_period(units: DataFrame, period: int) -> DataFrame:
             deadline = F.ceil((done + 1) * period / source["units"])
             return F.when((done < source["units"]) & released, F.struct(deadline.alias("by"), index.alias("at")))
 
-        chosen = F.array_min(F.transform(F.col("of"), window))["at"]
-        return F.struct(
+        best = F.array_min(F.transform(F.col("of"), window))["at"]
+        # bound by a list of one, so that it is found once a slot and not once a source
+        return F.get(F.transform(F.array(best), lambda chosen: F.struct(
             F.transform(state["done"], lambda n, i: n + (i == chosen).cast("long")).alias("done"),
-            F.concat(state["order"], F.array(chosen)).alias("order"))
+            F.concat(state["order"], F.array(chosen)).alias("order"))), F.lit(0))
 
     start = F.struct(
         F.transform(F.sequence(F.lit(1), size), lambda _: F.lit(0).cast("long")).alias("done"),
@@ -93,16 +95,20 @@ def mixed(docs: DataFrame, weight: Column | None = None, block_rows: int = BLOCK
     period = max(period, 10 * sizes.count())
     weighted = sizes.withColumn("weight", weight if weight is not None else square_root_weight(F.col("rows")))
     units = staged(_units(weighted, period), "units")
-    # one row per slot of the period: the broadcast is bounded by it
     jobs = staged(_one_period(units, period), "period")
-    table = units.join(jobs, "label").select("label", "job", "slot", "units", "first", "source")
+    table = staged(units.join(jobs, "label").select("label", "job", F.col("slot").alias("at"), "units", "source"), "jobs")
+    own = units.select("label", "first", "units")
+    if units.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        shared = ranked.join(F.broadcast(own), "label")
+    else:
+        shared = salted_left_join(ranked, own, "label", salts_of_large_keys(sizes, "label", "rows"), "n")
     blocks = (
-        ranked.join(F.broadcast(units.select("label", "first", "units")), "label")
+        shared
         .withColumn("block", F.expr(f"(n - first) div {block_rows}"))
         .withColumn("round", F.expr(f"(block div units) * {period}"))
         .withColumn("job", F.expr("block % units"))
         .drop("units", "first")
-        .join(F.broadcast(table.withColumnRenamed("slot", "at")), ["label", "job"])
+        .join(checked(table), ["label", "job"])
         .select("doc_id", "source", "n", "block",
                 (F.col("round") + F.floor(F.col("job") * period / F.col("units"))).alias("release"),
                 (F.col("round") + F.ceil((F.col("job") + 1) * period / F.col("units"))).alias("deadline"),

@@ -27,7 +27,7 @@ from pricewright.llm.common import bounded_batches, salted_left_join, salts_of_l
 from pricewright.session import staged
 
 LEAST_REVISIT_BYTES = 1000
-FIRST_CAPTURE = 1577836800  # seconds; used where captures have no time of their own
+CAPTURE_TIME = "20200101000000"  # where captures have no time of their own
 # Parts of an address, and record identifiers.
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
 RECORD = "urn:x-capture:"
@@ -53,6 +53,15 @@ def url_key(url: Column) -> Column:
         address)
 
 
+def utc_digits(taken: Column) -> Column:
+    """A timestamp as ``yyyyMMddHHmmss`` in UTC; null is ``CAPTURE_TIME``."""
+    seconds = F.unix_seconds(taken)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+    rest = F.pmod(seconds, F.lit(86400))
+    parts = [F.lpad(F.floor(part).cast("string"), 2, "0") for part in (rest / 3600, rest % 3600 / 60, rest % 60)]
+    return F.coalesce(F.concat(F.date_format(day, "yyyyMMdd"), *parts), F.lit(CAPTURE_TIME))
+
+
 def _record(kind: str, page_id, url, taken: str, digest: str, size: int, refers, payload: bytes) -> bytes:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload
@@ -112,18 +121,19 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_REVIS
 
     Of equal payloads of at least ``least_bytes``, the record with the largest
     identifier holds the payload and the others are revisits of it. Null HTML is an
-    empty payload, a null address has no target line and sorts as ''. Captures
-    without a time of their own get one second per identifier. Rows that repeat an
+    empty payload, a null address has no target line and sorts as ''. ``taken`` is a
+    timestamp, written in UTC whatever the session's zone; without it all captures have
+    one fixed time, and captures of equal time are in order of their identifiers. Rows that repeat an
     identifier get a record each. An empty table gives no archive and an empty index.
     """
     bounded_batches(pages.sparkSession)
     fs.FileSystem.from_uri(folder)[0].create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
     page = F.col(key).cast("long")
-    time = taken if taken is not None else F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(page, F.lit(0)))
+    time = utc_digits(taken) if taken is not None else F.lit(CAPTURE_TIME)
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
     rows = pages.select(
         page.alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("html"),
-        F.date_format(time, "yyyyMMddHHmmss").alias("taken"),
+        time.alias("taken"),
     ).withColumns({
         "urlkey": url_key(F.col("url")), "digest": F.sha1(F.encode("html", "UTF-8")), "size": F.octet_length("html")})
     # sha-1 for the record; a longer digest decides which payloads are equal
@@ -131,9 +141,11 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_REVIS
     equal = large.groupBy(F.sha2(F.encode("html", "UTF-8"), 256).alias("same")).agg(
         F.max("page_id").alias("stays"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     equal = staged(equal, "payloads")
-    keyed = rows.withColumn("same", F.when(F.col("size") >= least_bytes, F.sha2(F.encode("html", "UTF-8"), 256)))
-    decided = salted_left_join(keyed, equal.drop("n"), "same", salts_of_large_keys(equal, "same", "n"), "page_id").select(
-        "page_id", "url", "html", "taken", "urlkey", "digest", "stays")
+    keyed = large.withColumn("same", F.sha2(F.encode("html", "UTF-8"), 256))
+    met = salted_left_join(keyed, equal.drop("n"), "same", salts_of_large_keys(equal, "same", "n"), "page_id")
+    small = rows.filter(F.col("size") < least_bytes).withColumn("stays", F.lit(None).cast("long"))  # meets nothing
+    columns = ["page_id", "url", "html", "taken", "urlkey", "digest", "stays"]
+    decided = met.select(*columns).union(small.select(*columns))
     return staged(decided.mapInArrow(_archives(folder), _INDEX_DDL), "index-runs")
 
 
@@ -195,7 +207,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((at, runs))  # slices of runs, each as its task sorted it
     rows = rows.take(pa.array(order))
     bounds = np.flatnonzero(np.diff(runs[order], prepend=-1))
-    keys = [(key.encode(), time, -1 if page is None else page) for key, time, page in zip(
+    keys = [(key.encode(), time, page is not None, page or 0) for key, time, page in zip(
         rows["urlkey"].to_pylist(), rows["taken"].to_pylist(), rows["page_id"].to_pylist(), strict=True)]
     lists = [keys[a:b] for a, b in zip(bounds, [*bounds[1:], len(keys)], strict=True)]
     merged = [int(bounds[source]) + step for source, step in LoserTree(lists)]

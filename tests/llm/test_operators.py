@@ -234,6 +234,28 @@ def test_queries_give_added_tokens_their_ids(spark, tmp_path):
 
 # archives
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_any_identifier_has_a_capture_time_in_any_zone(spark, tmp_path, zone):
+    rows = [(2 ** 60, "http://a.org", "x" * 1200, "u", 1), (-5, "http://a.org", "x" * 1200, "u", 1), (3 * 10 ** 11, "http://a.org", "y", "u", 1),
+            (None, "http://a.org", "z", "u", 1), (7, "http://b.org", "z", "u", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, urlkey string, same int").repartition(3)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        index = warc.merged_index(warc.write_archives(pages, str(tmp_path / "fixed"))).orderBy("index_place").collect()
+        assert [r.page_id for r in index] == [None, -5, 3 * 10 ** 11, 2 ** 60, 7]
+        assert {r.taken for r in index} == {warc.CAPTURE_TIME}
+        times = F.timestamp_seconds(F.lit(1541296800) + F.col("page_id") % 10)  # a night without midnight in one of the zones
+        index = warc.merged_index(warc.write_archives(pages, str(tmp_path / "own"), taken=times)).collect()
+        got = {r.page_id: r.taken for r in index}
+        assert got == {2 ** 60: "20181104020006", -5: "20181104015955", 3 * 10 ** 11: "20181104020000", 7: "20181104020007",
+                       None: warc.CAPTURE_TIME}
+        read = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(
+            warc.merged_index(warc.write_archives(pages, str(tmp_path / "two"))), str(tmp_path / "two")).collect()}
+        assert read[-5] == ("revisit", 2 ** 60) and read[2 ** 60] == ("response", None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_archives_round_trip(spark, tmp_path):
     page = "<p>" + "x" * 1200
     rows = [(1, "http://a.org/x", page), (2, "https://www.A.org:80/x#f", page), (3, None, None), (4, "no address", "short"),
@@ -457,6 +479,14 @@ def test_sources_that_are_all_large_end_with_the_first_to_run_out(spark, sizes):
     assert all(abs(count - least) <= mixing.BLOCK_ROWS for count in counts.values()) and len(counts) == len(sizes)
 
 
+def test_many_sources_are_scheduled_in_seconds(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 300).cast("string").alias("source"),
+                                    F.lit(1).alias("label"), F.lit(2).alias("units"))
+    rows = mixing.mixed(docs).collect()
+    assert len(rows) == 3000 and len({r.slot for r in rows}) == 300
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+
+
 # repeated windows
 
 def removed_by_force(rows) -> dict[int, tuple]:
