@@ -2,214 +2,52 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 from pricewright.functions.terms import term_score
+from pricewright.operators.cells import QUERY_BLOCK, build_cells, search_cells
+from pricewright.operators.trigrams import containing
+from pricewright.session import staged
 
-VECTOR_BLOCK = 4096
-TERM_BLOCK = 1024
 BROADCAST_RESULTS = 500_000
-_TILE = 1024
-_DIGITS = 9
-
-
-class _Best:
-    """The k best (value, id) pairs per question, over all batches a task has seen."""
-
-    def __init__(self, n_questions: int, k: int):
-        self.k = k
-        self.limit = np.full(n_questions, np.inf)
-        self.question = np.empty(0, dtype=np.int64)
-        self.value = np.empty(0)
-        self.item = np.empty(0, dtype=np.int64)
-
-    def add(self, values: np.ndarray, items: np.ndarray) -> None:
-        """``values``: questions x items, smaller is better, infinity never enters."""
-        rows, columns = np.nonzero((values <= self.limit[:, None]) & np.isfinite(values))
-        if not len(rows):
-            return
-        question = np.concatenate([self.question, rows])
-        value = np.concatenate([self.value, values[rows, columns]])
-        item = np.concatenate([self.item, items[columns]])
-        order = np.lexsort((item, value, question))
-        question, value, item = question[order], value[order], item[order]
-        first = np.searchsorted(question, question, side="left")
-        keep = np.arange(len(question)) - first < self.k
-        self.question, self.value, self.item = question[keep], value[keep], item[keep]
-        last = np.arange(len(question)) - first == self.k - 1
-        self.limit[question[last]] = value[last]
-
-
-def _blocks(df: DataFrame, key: str, rows_per_block: int) -> list[DataFrame]:
-    """``df`` in hash slices of about ``rows_per_block`` rows, each small enough to send out."""
-    n_blocks = max(1, math.ceil(df.count() / rows_per_block))
-    if n_blocks == 1:
-        return [df]
-    slot = F.pmod(F.xxhash64(key), F.lit(n_blocks))
-    return [df.filter(slot == i) for i in range(n_blocks)]
-
-
-def _ranked(found: list[DataFrame], order: list, k: int) -> DataFrame:
-    """The k best over all partitions; at most k rows per question and task arrive here."""
-    whole = reduce(DataFrame.unionByName, found)
+
+
+def _ranked(found: DataFrame, order: list, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("question_id").orderBy(*order))
-    return whole.withColumn("rank", rank).filter(F.col("rank") <= k).withColumn(
-        "rank", F.col("rank").cast("long"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
 
 
 def nearest(chunks: DataFrame, queries: DataFrame, k: int, metric: str = "l2",
-            block: int = VECTOR_BLOCK) -> DataFrame:
+            block: int = QUERY_BLOCK) -> DataFrame:
     """The exact k nearest chunks per query: (question_id, rank, chunk_id, distance).
 
-    ``chunks``: chunk_id, vector. ``queries``: question_id, vector. Query vectors
-    go to the tasks block by block, so their size in memory is bounded however
-    many there are; each task sends only its k best per query to the shuffle.
-    ``metric`` is "l2" (squared) or "cosine"; ties go to the smaller chunk_id.
+    ``chunks``: chunk_id, vector. ``queries``: question_id, vector. ``metric`` is "l2"
+    (squared) or "cosine"; ties go to the smaller chunk_id. Chunks are indexed by cells
+    and a query only meets the cells that can hold one of its results.
     """
-    spark = chunks.sparkSession
-    vectors = chunks.select(F.col("chunk_id").cast("long").alias("chunk_id"), "vector")
-    found = []
-    for part in _blocks(queries.select("question_id", "vector"), "question_id", block):
-        rows = part.orderBy("question_id").collect()  # one block
-        if not rows:
-            continue
-        ids = np.array([r.question_id for r in rows], dtype=np.int64)
-        matrix = _scaled(np.array([r.vector for r in rows], dtype=np.float64), metric)
-        shared = spark.sparkContext.broadcast((ids, matrix))
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, matrix = shared.value
-            best = _Best(len(ids), k)
-            lengths = (matrix**2).sum(axis=1)[:, None]
-            for batch in batches:
-                for at in range(0, len(batch), _TILE):
-                    tile = batch.iloc[at : at + _TILE]
-                    points = _scaled(np.stack(tile["vector"].to_numpy()).astype(np.float64), metric)
-                    squared = lengths + (points**2).sum(axis=1)[None, :] - 2 * matrix @ points.T
-                    value = squared / 2 if metric == "cosine" else squared
-                    best.add(np.round(np.maximum(value, 0), _DIGITS), tile["chunk_id"].to_numpy())
-            yield pd.DataFrame(
-                {"question_id": ids[best.question], "chunk_id": best.item, "distance": best.value})
-
-        found.append(
-            vectors.mapInPandas(scan, "question_id long, chunk_id long, distance double"))
-    if not found:
-        empty = "question_id long, chunk_id long, distance double, rank long"
-        return spark.createDataFrame([], empty)
-    return _ranked(found, ["distance", "chunk_id"], k)
-
-
-def _scaled(matrix: np.ndarray, metric: str) -> np.ndarray:
-    if metric != "cosine":
-        return matrix
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(lengths == 0, 1, lengths)
+    return search_cells(build_cells(chunks, metric), queries, k, block)[0]
 
 
 def lexical(chunks: DataFrame, terms: DataFrame, top: int = fixed.LEXICAL_TOP,
-            block: int = TERM_BLOCK) -> DataFrame:
+            index: DataFrame | None = None) -> DataFrame:
     """The ``top`` chunks per question by number of its terms they contain, ignoring case.
 
-    ``chunks``: chunk_id, text. ``terms``: question_id, terms (its first 8 count).
-    Every chunk is read once per block of questions, all their terms being looked
-    for in the same pass; a chunk without any term never leaves its task.
+    ``chunks``: chunk_id, text. ``terms``: question_id, terms (its first 8 count). Chunks
+    come from an index of trigrams (``index``, or one made here).
     """
-    spark = chunks.sparkSession
-    lowered = chunks.select(F.col("chunk_id").cast("long").alias("chunk_id"), F.lower("text").alias("text"))
-    # a term listed twice counts twice, so the list stays as it is
-    wanted = terms.select(
-        "question_id",
-        F.transform(F.slice("terms", 1, fixed.MAX_TERMS), lambda t: F.lower(t)).alias("terms"))
-    found = []
-    for part in _blocks(wanted, "question_id", block):
-        rows = part.orderBy("question_id").collect()  # one block
-        if not any(r.terms for r in rows):
-            continue
-        ids = np.array([r.question_id for r in rows], dtype=np.int64)
-        vocabulary = {t: i for i, t in enumerate(sorted({t for r in rows for t in r.terms or []}))}
-        weights = np.zeros((len(vocabulary), len(rows)), dtype=np.float32)
-        for column, row in enumerate(rows):
-            for term in row.terms or []:
-                weights[vocabulary[term], column] += 1
-        shared = spark.sparkContext.broadcast((ids, list(vocabulary), weights))
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, vocabulary, weights = shared.value
-            best = _Best(len(ids), top)
-            search = _searcher(vocabulary)
-            for batch in batches:
-                for at in range(0, len(batch), _TILE):
-                    tile = batch.iloc[at : at + _TILE]
-                    hits = np.zeros((len(tile), len(vocabulary)), dtype=np.float32)
-                    for row, text in enumerate(tile["text"]):
-                        if text:
-                            hits[row, search(text)] = 1
-                    scores = (hits @ weights).T.astype(np.float64)
-                    best.add(np.where(scores > 0, -scores, np.inf), tile["chunk_id"].to_numpy())
-            yield pd.DataFrame({
-                "question_id": ids[best.question], "chunk_id": best.item,
-                "score": (-best.value).astype(np.int64)})
-
-        found.append(lowered.mapInPandas(scan, "question_id long, chunk_id long, score long"))
-    if not found:
-        return spark.createDataFrame([], "question_id long, chunk_id long, score long, rank long")
-    return _ranked(found, [F.desc("score"), "chunk_id"], top)
-
-
-def term_counts(chunks: DataFrame, terms: DataFrame, block: int = 100_000) -> DataFrame:
-    """(term, n_chunks): how many chunks contain each distinct term, ignoring case.
-
-    Tasks count for themselves, so only one number per term and task is shuffled.
-    """
-    spark = chunks.sparkSession
-    lowered = chunks.select(F.lower("text").alias("text"))
-    found = []
-    for part in _blocks(terms.select(F.lower("term").alias("term")).distinct(), "term", block):
-        vocabulary = sorted(r.term for r in part.collect() if r.term is not None)  # one block
-        if not vocabulary:
-            continue
-        shared = spark.sparkContext.broadcast(vocabulary)
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            vocabulary = shared.value
-            search = _searcher(vocabulary)
-            counts = np.zeros(len(vocabulary), dtype=np.int64)
-            for batch in batches:
-                for text in batch["text"].dropna():
-                    counts[search(text)] += 1
-            at = np.flatnonzero(counts)
-            if len(at):
-                yield pd.DataFrame({"term": [vocabulary[i] for i in at], "n_chunks": counts[at]})
-
-        found.append(lowered.mapInPandas(scan, "term string, n_chunks long"))
-    if not found:
-        return spark.createDataFrame([], "term string, n_chunks long")
-    return reduce(DataFrame.unionByName, found).groupBy("term").agg(F.sum("n_chunks").alias("n_chunks"))
-
-
-def _searcher(vocabulary: list[str]):
-    """text -> indices of the vocabulary words it contains, in one pass over the text."""
-    try:
-        import ahocorasick
-    except ImportError:  # slower, same result
-        return lambda text: [i for i, term in enumerate(vocabulary) if term in text]
-    automaton = ahocorasick.Automaton()
-    always = [i for i, term in enumerate(vocabulary) if term == ""]
-    for i, term in enumerate(vocabulary):
-        if term:
-            automaton.add_word(term, i)
-    if not len(automaton):
-        return lambda text: always
-    automaton.make_automaton()
-    return lambda text: always + list({i for _, i in automaton.iter(text)})
+    # a term listed twice counts twice
+    wanted = staged(terms.select("question_id", F.explode(F.slice("terms", 1, fixed.MAX_TERMS)).alias("term")).select(
+        "question_id", F.lower("term").alias("term")).filter("term IS NOT NULL"), "wanted")
+    found = containing(chunks, wanted, index)
+    scores = wanted.join(found, "term").groupBy("question_id", "chunk_id").agg(F.count(F.lit(1)).alias("score"))
+    return _ranked(scores, [F.desc("score"), "chunk_id"], top)
+
+
+def term_counts(chunks: DataFrame, terms: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """(term, n_chunks): how many chunks contain each distinct term, ignoring case."""
+    return containing(chunks, terms, index).groupBy("term").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
 def with_texts(found: DataFrame, chunks: DataFrame, n_results: int) -> DataFrame:

@@ -62,12 +62,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back.
+def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder (a folder per value of ``partition_by``) and read it back.
 
     Cuts lineage, so that two later passes see the same rows even after an
     executor is lost, and lets each pass read only the columns it needs.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)

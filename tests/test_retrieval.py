@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pricewright.operators import cells, trigrams
 from pricewright.operators.retrieval import (
     group_label,
     hybrid,
@@ -25,8 +26,10 @@ def _vectors(n, seed):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-@pytest.mark.parametrize("block", [4, 4096])
-def test_nearest_equals_brute_force(spark, metric, block):
+@pytest.mark.parametrize("block, rows", [(4, 10), (4096, 1024)])
+def test_nearest_equals_brute_force(spark, monkeypatch, metric, block, rows):
+    monkeypatch.setattr(cells, "CELL_ROWS", rows)
+    monkeypatch.setattr(cells, "PART_ROWS", 3 * rows)
     chunks, asked = _vectors(120, 1), _vectors(15, 2)
     asked[1] = chunks[0]
     chunk_rows = spark.createDataFrame(
@@ -46,14 +49,49 @@ def test_nearest_equals_brute_force(spark, metric, block):
         assert np.allclose([got[q, r + 1][1] for r in range(7)], distance[order], atol=1e-8)
 
 
-@pytest.mark.parametrize("block", [2, 1024])
-def test_lexical_equals_brute_force(spark, block):
+def test_a_query_reads_few_cells_and_misses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(cells, "CELL_ROWS", 50)
+    random = np.random.default_rng(3)
+    points = (random.normal(size=(20, 6)) * 10)[random.integers(0, 20, 1000)] + random.normal(size=(1000, 6)) * 0.2
+    chunks = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)] + [(5000, None)], "chunk_id long, vector array<double>")
+    asked = spark.createDataFrame([(i, points[i * 25].tolist()) for i in range(40)], "question_id long, vector array<double>")
+    index = cells.build_cells(chunks)
+    found, visits = cells.search_cells(index, asked, 5)
+    got = {}
+    for row in found.orderBy("question_id", "rank").collect():
+        got.setdefault(row.question_id, []).append(row.chunk_id)
+    for question, own in got.items():
+        away = ((points - points[question * 25]) ** 2).sum(axis=1).round(9)
+        assert own == sorted(range(1000), key=lambda c: (away[c], c))[:5]
+    assert len(got) == 40 and cells.share_read(index, visits) < 0.25
+    assert len(index.centres) == 20 and index.sizes.sum() == 1000
+
+
+def test_no_chunks_or_no_queries_give_no_results(spark):
+    none = spark.createDataFrame([], "chunk_id long, vector array<float>")
+    one = spark.createDataFrame([(1, [1.0, 2.0])], "question_id long, vector array<double>")
+    assert nearest(none, one, 3).count() == 0
+    assert nearest(one.toDF("chunk_id", "vector"), one.limit(0), 3).count() == 0
+
+
+def test_grams_are_a_filter_that_loses_nothing(spark):
+    texts = ["The CAT", "ca", "cÄt 語x", "tac", "", None, "𝒳yz cat"]
+    chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string")
+    terms = [("cat",), ("c",), ("ca",), ("語",), ("Ät",), ("",), (None,), ("the cat",), ("𝒳Y",), ("zz",)]
+    rows = spark.createDataFrame(terms, "term string")
+    want = {(t.lower(), i) for (t,) in terms if t is not None for i, x in enumerate(texts) if x is not None and t.lower() in x.lower()}
+    index = trigrams.postings(chunks)
+    assert {tuple(r) for r in trigrams.containing(chunks, rows).collect()} == want
+    assert {tuple(r) for r in trigrams.containing(chunks, rows, index).collect()} == want
+
+
+def test_lexical_equals_brute_force(spark):
     texts = ["The Cat sat", "a dog", "cat and DOG and bird", "", None, "caterpillar"] * 4
     terms = {1: ["cat", "dog"], 2: ["BIRD", "zebra"], 3: [], 4: ["cat", "cat"], 5: ["nothing here"]}
     chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string").repartition(3)
     wanted = spark.createDataFrame(list(terms.items()), "question_id long, terms array<string>")
     got = {}
-    for r in lexical(chunks, wanted, 5, block).orderBy("question_id", "rank").collect():
+    for r in lexical(chunks, wanted, 5).orderBy("question_id", "rank").collect():
         got.setdefault(r.question_id, []).append((r.chunk_id, r.score))
     want = {}
     for q, words in terms.items():
@@ -70,12 +108,11 @@ def test_only_the_first_eight_terms_count(spark):
     assert lexical(chunks, wanted).count() == 0
 
 
-def test_term_counts_over_blocks(spark):
+def test_term_counts(spark):
     chunks = spark.createDataFrame([(1, "Abc abc"), (2, "bcd"), (3, None)], "chunk_id long, text string")
     terms = spark.createDataFrame([("abc",), ("BC",), ("zzz",)], "term string")
-    for block in (1, 100):
-        got = {r.term: r.n_chunks for r in term_counts(chunks, terms, block).collect()}
-        assert got == {"abc": 1, "bc": 2}
+    got = {r.term: r.n_chunks for r in term_counts(chunks, terms).collect()}
+    assert got == {"abc": 1, "bc": 2}
 
 
 def test_merge_drops_only_what_earlier_lists_hold(spark):
