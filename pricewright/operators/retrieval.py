@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from pricewright import fixed_values as fixed
 from pricewright.functions.terms import term_score
 from pricewright.operators.cells import QUERY_BLOCK, build_cells, search_cells
-from pricewright.operators.trigrams import containing
-from pricewright.session import staged
+from pricewright.operators.trigrams import best_by_terms
 
 BROADCAST_RESULTS = 500_000
 
@@ -34,20 +33,11 @@ def lexical(chunks: DataFrame, terms: DataFrame, top: int = fixed.LEXICAL_TOP,
             index: DataFrame | None = None) -> DataFrame:
     """The ``top`` chunks per question by number of its terms they contain, ignoring case.
 
-    ``chunks``: chunk_id, text. ``terms``: question_id, terms (its first 8 count). Chunks
-    come from an index of trigrams (``index``, or one made here).
+    ``chunks``: chunk_id, text. ``terms``: question_id, terms (its first 8 count). With an
+    ``index`` of trigrams only the segments that can hold a term are read.
     """
-    # a term listed twice counts twice
-    wanted = staged(terms.select("question_id", F.explode(F.slice("terms", 1, fixed.MAX_TERMS)).alias("term")).select(
-        "question_id", F.lower("term").alias("term")).filter("term IS NOT NULL"), "wanted")
-    found = containing(chunks, wanted, index)
-    scores = wanted.join(found, "term").groupBy("question_id", "chunk_id").agg(F.count(F.lit(1)).alias("score"))
-    return _ranked(scores, [F.desc("score"), "chunk_id"], top)
-
-
-def term_counts(chunks: DataFrame, terms: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """(term, n_chunks): how many chunks contain each distinct term, ignoring case."""
-    return containing(chunks, terms, index).groupBy("term").agg(F.count(F.lit(1)).alias("n_chunks"))
+    wanted = terms.select("question_id", F.slice("terms", 1, fixed.MAX_TERMS).alias("terms"))
+    return _ranked(best_by_terms(chunks, wanted, top, index), [F.desc("score"), "chunk_id"], top)
 
 
 def with_texts(found: DataFrame, chunks: DataFrame, n_results: int) -> DataFrame:

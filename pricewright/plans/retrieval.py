@@ -22,13 +22,13 @@ from pricewright.operators.retrieval import (
     reordered,
     retrieval_scores,
     retrieved_lists,
-    term_counts,
     with_texts,
 )
 from pricewright.operators.splits import hashed
+from pricewright.operators.trigrams import postings, term_counts
 from pricewright.plans.inputs import QUESTIONS, questions, table
 from pricewright.plans.registry import query
-from pricewright.session import scratch_path, spread
+from pricewright.session import scratch_path, spread, staged
 from pricewright.sources.readers import question_lines
 from pricewright.sources.writers import write_index, write_lines
 
@@ -99,14 +99,16 @@ def topk_chunks(spark, folder):
   WHERE contains(lower(text), keyword) GROUP BY 1""")
 def lexical_match(spark, folder):
     terms = questions(spark, folder).select(F.explode("keywords").alias("term"))
-    return term_counts(library(spark, folder), terms).withColumnRenamed("term", "keyword")
+    texts = library(spark, folder)
+    return term_counts(texts, terms, staged(postings(texts), "trigrams")).withColumnRenamed("term", "keyword")
 
 
 @query("lexical_topn", f"""
   WITH {_CORPUS}, {_LEXICAL} SELECT question_id, rank, chunk_id, score FROM lexical WHERE rank <= 20""")
 def lexical_topn(spark, folder):
     terms = questions(spark, folder).select("question_id", F.col("keywords").alias("terms"))
-    return lexical(library(spark, folder), terms)
+    texts = library(spark, folder)
+    return lexical(texts, terms, index=staged(postings(texts), "trigrams"))
 
 
 _MERGE = f"""{_CORPUS}, {_LEXICAL},

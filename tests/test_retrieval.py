@@ -15,8 +15,8 @@ from pricewright.operators.retrieval import (
     nearest,
     reordered,
     retrieval_scores,
-    term_counts,
 )
+from pricewright.session import staged
 
 
 def _vectors(n, seed):
@@ -74,15 +74,19 @@ def test_no_chunks_or_no_queries_give_no_results(spark):
     assert nearest(one.toDF("chunk_id", "vector"), one.limit(0), 3).count() == 0
 
 
-def test_grams_are_a_filter_that_loses_nothing(spark):
-    texts = ["The CAT", "ca", "cÄt 語x", "tac", "", None, "𝒳yz cat"]
+@pytest.mark.parametrize("scan_above", [0, 100])
+def test_grams_are_a_filter_that_loses_nothing(spark, monkeypatch, scan_above):
+    monkeypatch.setattr(trigrams, "SCAN_ABOVE", scan_above)
+    monkeypatch.setattr(trigrams, "ASKED_BLOCK", 4)
+    texts = ["The CAT", "ca", "cÄt 語x", "tac", "", None, "𝒳yz cat", "catch a tcat"]
     chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string")
-    terms = [("cat",), ("c",), ("ca",), ("語",), ("Ät",), ("",), (None,), ("the cat",), ("𝒳Y",), ("zz",)]
-    rows = spark.createDataFrame(terms, "term string")
-    want = {(t.lower(), i) for (t,) in terms if t is not None for i, x in enumerate(texts) if x is not None and t.lower() in x.lower()}
-    index = trigrams.postings(chunks)
-    assert {tuple(r) for r in trigrams.containing(chunks, rows).collect()} == want
-    assert {tuple(r) for r in trigrams.containing(chunks, rows, index).collect()} == want
+    terms = [t for t in ("cat", "c", "ca", "語", "Ät", "", None, "the cat", "𝒳Y", "zz", "tcat", "ch a")]
+    rows = spark.createDataFrame([(t,) for t in terms], "term string")
+    want = {t.lower(): sum(t.lower() in (x or "").lower() for x in texts if x is not None) for t in terms if t is not None}
+    index = staged(trigrams.postings(chunks.repartition(3)), "index")
+    for own in (None, index):
+        got = {r.term: r.n_chunks for r in trigrams.term_counts(chunks, rows, own).collect()}
+        assert got == {term: n for term, n in want.items() if n}
 
 
 def test_lexical_equals_brute_force(spark):
@@ -111,7 +115,7 @@ def test_only_the_first_eight_terms_count(spark):
 def test_term_counts(spark):
     chunks = spark.createDataFrame([(1, "Abc abc"), (2, "bcd"), (3, None)], "chunk_id long, text string")
     terms = spark.createDataFrame([("abc",), ("BC",), ("zzz",)], "term string")
-    got = {r.term: r.n_chunks for r in term_counts(chunks, terms).collect()}
+    got = {r.term: r.n_chunks for r in trigrams.term_counts(chunks, terms).collect()}
     assert got == {"abc": 1, "bc": 2}
 
 
