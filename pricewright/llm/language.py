@@ -25,6 +25,7 @@ from pricewright.llm.common import bounded_batches, worker_store
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 800
+MOST_LANGUAGES = 256  # the commonest; weights of each are on the driver
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.01
 UNKNOWN = "und"
@@ -154,14 +155,21 @@ def _temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def train(rows: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE,
           key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
-    """A model from the rows with a label. Without any, all predictions are ``und``."""
+    """A model from the rows with a label. Without any, all predictions are ``und``.
+
+    It is fitted on at most ``sample_per_language`` rows, those with the smallest hashes, of each of the
+    ``MOST_LANGUAGES`` commonest labels; frequencies are those of all rows.
+    """
     known = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                         F.col(label).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     total, frequency = document_frequencies(known, "text")
     inverse = np.log((1 + total) / (1 + frequency)) + 1.0
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(MOST_LANGUAGES)
+    # the smallest hashes of a language: about twice the sample is ranked, whatever its size
+    near = F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5 < F.lit(2.0 * sample_per_language + 100) / F.col("rows")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).filter(
-        F.col("nth") <= sample_per_language)
+    chosen = known.select("doc_id", "lang").join(F.broadcast(sizes), "lang").filter(near).withColumn(
+        "nth", F.row_number().over(order)).filter(F.col("nth") <= sample_per_language)
     # at most sample_per_language identifiers for each language
     sample = known.join(F.broadcast(chosen.select("doc_id", "nth").dropDuplicates(["doc_id"])), "doc_id")
 

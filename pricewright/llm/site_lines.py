@@ -14,7 +14,7 @@ from pricewright.llm.common import salted_left_join, salts_of_large_keys
 from pricewright.session import staged
 
 RATIO = 0.2
-LEAST_PAGES = 3
+LEAST_PAGES = 2
 
 # What ends a line, what vanishes, and the signs trimmed off a line.
 BLOCKS = (r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
