@@ -140,11 +140,16 @@ def alert_texts(spark, folder):
     return told.select("url", alert.alias("alert"), shortened(alert, fixed.NOTICE_CHARS).alias("notice"))
 
 
+_DISORDER = "40 days"  # files of a feed come in any order, and the feed spans a month
+
+
 def scan_files(spark, folder) -> str:
-    """What each scan fetches, the first entries of every feed, as files of whole scans."""
+    """What each scan fetches, the first entries of every feed, in files that split scans; the last has the end of the feed."""
     path = scratch_path(spark, "feed")
     fetched = feed_entries(deals(spark, folder), ["scan", "feed"]).drop("place")
-    fetched.repartitionByRange(spark.sparkContext.defaultParallelism, "scan").write.parquet(path)
+    fetched.repartition(spark.sparkContext.defaultParallelism, "event_id").write.parquet(path)
+    end = spark.read.parquet(path).agg((F.max("ts") + F.expr(f"INTERVAL {_DISORDER} 1 SECOND")).alias("ts"))
+    end.selectExpr("ts", "cast(null as string) AS scan").coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -170,7 +175,7 @@ def stream_new_deals(spark, folder):
   WITH {_PRICED} SELECT scan, place, url, price, estimate, round(discount, 4) AS discount FROM priced""")
 def stream_price_deals(spark, folder):
     output, checkpoint = scratch_path(spark, "priced"), scratch_path(spark, "progress")
-    price_deals(_stream(spark, scan_files(spark, folder)), estimates(spark, folder), "k", output, checkpoint)
+    price_deals(_stream(spark, scan_files(spark, folder)), estimates(spark, folder), "k", output, checkpoint, _DISORDER)
     return priced_table(spark, output).select(
         "scan", "place", "url", "price", "estimate", F.round("discount", 4).alias("discount"))
 
@@ -178,7 +183,7 @@ def stream_price_deals(spark, folder):
 def _alerted(spark, folder):
     alert_path, memory = scratch_path(spark, "alerts"), scratch_path(spark, "memory")
     alert_deals(_stream(spark, scan_files(spark, folder)), estimates(spark, folder), "k",
-                alert_path, memory, scratch_path(spark, "progress"))
+                alert_path, memory, scratch_path(spark, "progress"), _DISORDER)
     return alert_path, memory
 
 

@@ -285,14 +285,51 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert stream.earlier_batches(spark, path, stream.DEAL_SCHEMA, 1).count() == 1
 
 
+def _pulse(hour):
+    """A row without a scan, which only moves the watermark."""
+    return (None, datetime(2024, 1, 1, hour), None, None, None, None, None, None)
+
+
+def test_an_address_is_forgotten_behind_the_watermark(spark, tmp_path):
+    feed, memory, progress = (str(tmp_path / n) for n in ("feed", "memory", "progress"))
+    for rows in ([_deal(1, "u", 5), _deal(2, "v", 5)], [_deal(3, "u", 5, minute=50)], [_pulse(2)], [_pulse(3)],
+                 [(*_deal(4, "u", 6)[:1], datetime(2024, 1, 1, 3), *_deal(4, "u", 6)[2:])]):
+        _write(spark, feed, rows)
+        stream.forward_new_deals(stream.deal_stream(spark, feed), memory, progress, "1 hour")
+    assert sorted((r.url, r.event_id) for r in stream.deal_table(spark, memory).collect()) == [("u", 1), ("u", 4), ("v", 2)]
+
+
+def test_no_batch_reads_what_others_have_remembered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "earlier_batches", None)
+    test_known_deals_stay_out_after_a_restart(spark, tmp_path)
+
+
+def test_a_scan_over_three_batches_gives_five_deals_and_one_alert(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    estimates = spark.createDataFrame([(1, 100.0)], "k long, estimate double")
+    parts = [[_deal(9, "i", 1, minute=9), _deal(3, "c", 30, minute=3), _deal(8, "h", 0, minute=0)],
+             [_deal(1, "a", 45, minute=1), _deal(5, "e", 20, minute=5), _deal(7, "g", 2, minute=7), _deal(20, "z", 95, "t", minute=8)],
+             [_deal(2, "b", 10, minute=2), _deal(4, "d", 40, minute=4)], [_pulse(4)]]
+    for rows in parts:
+        _write(spark, feed, rows)
+        # each run is a restart from the progress of the one before
+        stream.price_deals(stream.deal_stream(spark, feed, 1), estimates, "k", *(str(tmp_path / n) for n in ("out", "p1")))
+        stream.alert_deals(stream.deal_stream(spark, feed, 1), estimates, "k", *(str(tmp_path / n) for n in ("told", "memory", "p2")))
+    got = sorted((r.scan, r.place, r.url) for r in stream.priced_table(spark, str(tmp_path / "out")).collect())
+    assert got == [("s", 1, "a"), ("s", 2, "b"), ("s", 3, "c"), ("s", 4, "d"), ("s", 5, "e"), ("t", 1, "z")]
+    for name in ("told", "memory"):
+        assert [(r.scan, r.url, r.discount) for r in stream.priced_table(spark, str(tmp_path / name)).collect()] == [("s", "b", 90.0)]
+
+
 def test_alerts_are_given_once(spark, tmp_path):
     feed, told, memory, progress = (str(tmp_path / n) for n in ("feed", "told", "memory", "progress"))
     estimates = spark.createDataFrame([(1, 100.0)], "k long, estimate double")
     run = lambda: stream.alert_deals(
         stream.deal_stream(spark, feed), estimates, "k", told, memory, progress)
-    _write(spark, feed, [_deal(1, "u", 10), _deal(2, "v", 5), _deal(3, "w", 60, "t"), _deal(4, "x", 0, "t")])
+    _write(spark, feed, [_deal(1, "u", 10), _deal(2, "v", 5), _deal(3, "w", 60, "t"), _deal(4, "x", 0, "t"), _pulse(2)])
     run()
-    _write(spark, feed, [_deal(5, "v", 1, "r"), _deal(6, "y", 20, "r")])
+    late = datetime(2024, 1, 1, 2, 30)
+    _write(spark, feed, [(d[0], late, *d[2:]) for d in (_deal(5, "v", 1, "r"), _deal(6, "y", 20, "r"))] + [_pulse(5)])
     run()
     want = [("r", "y", 80.0), ("s", "v", 95.0)]
     for path in (told, memory):
