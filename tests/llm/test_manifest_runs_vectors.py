@@ -191,7 +191,7 @@ def nearest_by_force(rows, k: int) -> dict[int, list]:
     return out
 
 
-@pytest.mark.parametrize("factor, least", [(1.0, 1.0), (vp_trees.FACTOR, 0.99), (8.0, 0.9)])
+@pytest.mark.parametrize("factor, least", [(1.0, 1.0), (vp_trees.FACTOR, 0.99), (2.0, 0.9)])
 def test_nearest_vectors(spark, monkeypatch, factor, least):
     for name, value in (("SHARD_ROWS", 200), ("LEAF", 32), ("CELL_SAMPLE", 40), ("SAMPLE_ROWS", 500), ("QUERY_BLOCK", 20)):
         monkeypatch.setattr(vp_trees, name, value)
