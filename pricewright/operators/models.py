@@ -14,12 +14,11 @@ from pyspark.ml.feature import (
     Normalizer,
     PCA,
     RegexTokenizer,
-    SQLTransformer,
     StopWordsRemover,
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import FMRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,18 +130,6 @@ def restored(value: Column, mean: float, deviation: float) -> Column:
     return F.expm1(value * deviation + mean)
 
 
-def log_pricer(train: DataFrame, text: str, rounds: int = 50) -> PipelineModel:
-    """Hashed words to the normalised log price by factorised pairs of words, and back."""
-    mean, deviation = log_target(train)
-    words = hashed_words(text)
-    rows = words.transform(train).withColumn("_target", normalised(F.col("price"), mean, deviation))
-    machine = FMRegressor(
-        featuresCol="features", labelCol="_target", predictionCol="_value", factorSize=4,
-        maxIter=rounds, stepSize=0.01, seed=SEED)
-    back = SQLTransformer(statement=f"SELECT *, expm1(_value * {deviation!r} + {mean!r}) AS guess FROM __THIS__")
-    return PipelineModel([*words.stages, machine.fit(rows), back])
-
-
 def priced(model: Transformer, rows: DataFrame) -> DataFrame:
     """Guesses of a fitted model, never below 0."""
     return model.transform(rows).withColumn("guess", F.greatest(F.col("guess"), F.lit(0.0)))

@@ -17,7 +17,6 @@ from pricewright.operators.models import (
     hashed_embedder,
     hashed_words,
     linear_pricer,
-    log_pricer,
     log_target,
     normalised,
     numeric_features,
@@ -26,6 +25,7 @@ from pricewright.operators.models import (
     restored,
     word_counts,
 )
+from pricewright.operators.network import fit_network
 from pricewright.operators.splits import exact_split
 from pricewright.plans.inputs import raw_products, table
 from pricewright.plans.products import _FULL
@@ -126,8 +126,8 @@ def linear_text_model(spark, folder):
 @query("network_pricer")
 def log_price_model(spark, folder):
     rows = priced_texts(spark, folder)
-    model = log_pricer(rows.filter("split = 'train'"), "text")
-    return priced(model, rows.filter("split = 'test'")).select("doc_id", "price", "guess")
+    model = fit_network(rows.filter("split = 'train'"))
+    return rows.filter("split = 'test'").select("doc_id", "price", model.guess(F.col("text")).alias("guess"))
 
 
 def order_features(spark, folder):

@@ -14,12 +14,12 @@ from pricewright.operators.models import (
     hashed_embedder,
     hashed_words,
     linear_pricer,
-    log_pricer,
     numeric_features,
     priced,
     projected,
     word_counts,
 )
+from pricewright.operators.network import fit_network, gradients
 from pricewright.plans import models
 from pricewright.streaming.replies import batch_progress, collect_replies
 
@@ -90,10 +90,39 @@ def test_the_boosted_query_runs_all_rounds(spark, folder, monkeypatch):
     assert len(fitted[0].values) == fixed.BOOST_ROUNDS == 1000
 
 
-def test_log_prices_are_told_apart_by_words(texts):
-    rows = priced(log_pricer(texts, "text", rounds=100), texts).groupBy("price").agg(F.avg("guess").alias("g")).collect()
-    guesses = {r.price: r.g for r in rows}
-    assert 0 <= guesses[5.0] < guesses[800.0]
+def pairs(spark, low, high):
+    """The price depends on whether one or both of two words are there, which no sum of words says."""
+    n = F.col("id")
+    text = F.concat_ws(" ", F.when(n % 2 == 0, "gold"), F.when(n % 4 < 2, "watch"), F.concat(F.lit("other"), n % 7), F.lit("piece"))
+    return spark.range(low, high).select("id", text.alias("text"), F.when((n % 2 == 0) != (n % 4 < 2), 400.0).otherwise(10.0).alias("price"))
+
+
+def test_the_net_beats_the_linear_model_on_rows_it_has_not_seen(spark):
+    train, test = pairs(spark, 0, 400), pairs(spark, 1000, 1200)
+    net = fit_network(train, hidden=(32, 16), features=200, epochs=20, steps=2, rate=0.02)
+    assert len(net.losses) == 20 and net.losses[-1] < 0.2 < net.losses[0]
+    words = bag_of_words(train, "text")
+    line = linear_pricer().fit(words.transform(train))
+    miss = F.avg(F.abs(F.col("guess") - F.col("price")))
+    by_line = priced(PipelineModel([*words.stages, line]), test).agg(miss).first()[0]
+    by_net = test.withColumn("guess", net.guess(F.col("text"))).agg(miss).first()[0]
+    assert by_net < by_line / 2
+    assert fit_network(train, hidden=(4,), features=50, epochs=1, steps=2).guess(F.lit(None).cast("string")) is not None
+
+
+def test_gradients_are_slopes_of_the_error():
+    random = np.random.default_rng(1)
+    weights = [random.normal(size=shape) for shape in ((6, 5), (5,), (5, 4), (4,), (4, 1), (1,))]
+    inputs, target = (random.random((7, 6)) > 0.5).astype(float), random.normal(size=7)
+    _, slopes = gradients(weights, inputs, target)
+    for weight, slope in zip(weights, slopes):
+        for at in list(np.ndindex(weight.shape))[::3]:
+            errors = []
+            for step in (1e-6, -1e-6):
+                weight[at] += step
+                errors.append(gradients(weights, inputs, target)[0])
+                weight[at] -= step
+            assert abs((errors[0] - errors[1]) / 2e-6 - slope[at]) < 1e-3 * max(1, abs(slope[at]))
 
 
 def test_words_are_counted_without_stop_words(texts):
