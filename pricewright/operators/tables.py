@@ -9,14 +9,14 @@ from pricewright.operators.ordering import first_per_group
 from pricewright.operators.ranks import quantiles
 
 
-def counts_with_share(df: DataFrame, key: str, *extra: Column) -> DataFrame:
-    """Rows per key and their percentage of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"), *extra)
-        .withColumn("share", F.round(F.col("n") * 100 / total, 4))
-    )
+def counts_with_share(df: DataFrame, key: str) -> DataFrame:
+    """Rows per key and their percentage of all rows.
+
+    The total adds up the counts, whose exchange it shares, so that the rows are read once.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share", F.round(F.col("n") * 100 / total, 4))
 
 
 def top_counts(df: DataFrame, key: str, limit: int, *extra: Column) -> DataFrame:
@@ -60,16 +60,14 @@ def stepped_histogram(df: DataFrame, value: Column, width: int, top: int) -> Dat
     bins = (
         df.select(value.alias("v"))
         .groupBy(F.when((v >= 0) & (v <= top), low).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    whole = df.select(value.alias("v")).agg(
-        F.struct(F.round(F.avg("v"), 4).alias("avg"), F.min("v").alias("min"), F.max("v").alias("max"))
-    )
-    stats = whole.scalar()
-    return bins.filter("bin is not null").select(
-        "bin", "n", stats["avg"].alias("avg_value"), stats["min"].alias("min_value"),
-        stats["max"].alias("max_value"),
+        .agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("known"), F.sum("v").alias("total"),
+             F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
+    every = Window.partitionBy(F.lit(1))  # a row per bin
+    return bins.select(
+        "bin", "n", F.round(F.sum("total").over(every) / F.sum("known").over(every), 4).alias("avg_value"),
+        F.min("lo").over(every).alias("min_value"), F.max("hi").over(every).alias("max_value"),
+    ).filter("bin is not null")
 
 
 def even_histograms(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
