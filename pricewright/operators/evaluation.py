@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
-from pricewright.operators.ordering import numbered, running_totals
+from pricewright.operators.ordering import numbered, running_sums
 
 
 def error_of(truth: str = "truth", guess: str = "guess") -> Column:
@@ -62,7 +62,7 @@ def error_metrics(df: DataFrame, by: list[str]) -> DataFrame:
 def running_error(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """Running mean error with its 95 % interval, in evaluation order per group."""
     error = F.col("error")
-    totals = running_totals(df, by, order, {"total": error, "squares": error * error})
+    totals = running_sums(df, by, order, {"total": error, "squares": error * error})
     n = F.col("n")
     mean = F.col("total") / n
     spread = F.sqrt(F.greatest(F.lit(0.0), F.col("squares") / n - mean * mean))

@@ -1,11 +1,12 @@
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pricewright.operators import ranks
-from pricewright.operators.ordering import numbered, running_totals
+from pricewright.operators.ordering import numbered, running_sums, running_totals
 from pricewright.operators.ranks import quantiles, values_at_ranks
 from pricewright.operators.splits import exact_split, holdout_split, sample_rows
 from pricewright.operators.tables import top_counts
@@ -19,17 +20,40 @@ def test_row_numbers_follow_the_order(spark):
     assert got["id"].tolist() == want["id"].tolist()
 
 
-def test_running_totals_with_a_hot_and_a_missing_group(spark):
+@pytest.mark.parametrize("running", [running_totals, running_sums])
+def test_running_totals_with_a_hot_and_a_missing_group(spark, running):
     rows = spark.range(0, 4000, 1, 5).select(
         "id", F.when(F.col("id") % 3 != 0, "hot").when(F.col("id") % 5 == 0, "cold").alias("g"),
         (F.col("id") % 11).cast("double").alias("v"))
-    got = running_totals(rows, ["g"], ["id"], {"total": F.col("v")}).toPandas().sort_values("id")
+    got = running(rows, ["g"], ["id"], {"total": F.col("v")}).toPandas().sort_values("id")
     want = rows.toPandas().sort_values("id")
     groups = want.groupby("g", dropna=False)
     assert got["n"].tolist() == (groups.cumcount() + 1).tolist()
     assert np.allclose(got["total"], groups["v"].cumsum())
 
 
+def test_running_sums_go_on_over_batches_and_ranges_and_move_rows_once(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "37")
+    try:
+        rows = spark.range(0, 3000, 1, 4).select(
+            "id", (F.col("id") % 2).alias("a"), F.when(F.col("id") % 7 > 0, F.lit(float("nan"))).alias("b"),
+            F.when(F.col("id") % 5 > 0, F.col("id") % 9).alias("v"))
+        summed = running_sums(rows, ["a", "b"], ["id"], {"total": F.col("v")})
+        got = summed.toPandas().sort_values("id")
+        want = rows.withColumn("b", F.col("b").isNull()).toPandas().sort_values("id")
+        groups = want.assign(v=want["v"].fillna(0)).groupby(["a", "b"])
+        assert got["n"].tolist() == (groups.cumcount() + 1).tolist()
+        assert np.allclose(got["total"], groups["v"].cumsum())
+        assert summed.columns == ["id", "a", "b", "v", "n", "total"]
+    finally:
+        spark.conf.set(name, before)
+    # the rows come from the written ranges; only the ends of groups are shuffled, and broadcast
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_quantiles_equal_numpy(spark):
     values = np.concatenate([np.full(3000, 7.25), np.random.default_rng(1).lognormal(3, 2, 6000)])
     rows = spark.createDataFrame(pd.DataFrame({"v": values})).union(
@@ -67,7 +91,7 @@ def test_ranks_of_an_empty_column(spark):
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "id long, v double")
     assert numbered(empty, ["id"]).count() == 0
-    assert running_totals(empty, ["v"], ["id"], {}).count() == 0
+    assert running_totals(empty, ["v"], ["id"], {}).count() == running_sums(empty, ["v"], ["id"], {}).count() == 0
     assert exact_split(empty, "id").count() == 0
 
 
