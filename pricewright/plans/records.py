@@ -10,8 +10,9 @@ from pricewright.operators.documents import apply_patches, joined_in_order, pair
 from pricewright.operators.records import batch_sizes, varied_products
 from pricewright.plans.inputs import BOOKINGS, bookings, questions, table
 from pricewright.plans.registry import query
-from pricewright.session import scratch_path
-from pricewright.sources.readers import QUESTION_SCHEMA, booking_csv, markdown_files, nonblank_markdown
+from pricewright.session import scratch_path, spread
+from pricewright.sources.packed import pack, packed
+from pricewright.sources.readers import QUESTION_SCHEMA, booking_csv, nonblank_documents, typed_documents
 from pricewright.sources.writers import append_documents, seed_lookup, write_questions
 
 
@@ -55,28 +56,39 @@ def rejected_bookings(spark, folder):
 
 
 def written_markdown(spark, folder) -> str:
-    """One file per document below a folder per source; short texts become blank files."""
+    """Documents packed below a folder per source; short texts become blank files."""
     path = scratch_path(spark, "markdown")
     text = F.when(F.col("n_chars") % 10 == 0, F.lit(" \n ")).otherwise(F.col("text"))
-    table(spark, folder, "documents").select("source", "doc_id", text.alias("value")).repartition(
-        spark.sparkContext.defaultParallelism, "doc_id").write.partitionBy("source", "doc_id").text(path)
+    name = F.format_string("source=%s/%d.md", "source", "doc_id")
+    pack(spread(table(spark, folder, "documents")).select(
+        name.alias("source"), F.concat(text, F.lit("\n")).cast("binary").alias("content")), path)
     return path
 
 
+def _doc_id(source: str):
+    return F.regexp_extract(source, r"/(-?\d+)\.md$", 1).cast("long").alias("doc_id")
+
+
 @query("scan_markdown", """
   SELECT 'source=' || source AS type, doc_id, CASE WHEN n_chars % 10 = 0 THEN ' ' || chr(10) || ' ' ELSE text END || chr(10) AS text FROM documents""")
 def scan_markdown(spark, folder):
-    files = markdown_files(spark, written_markdown(spark, folder), "*.txt")
-    key = F.regexp_extract("source", r"doc_id=(\d+)/", 1).cast("long")
-    return files.select("type", key.alias("doc_id"), "text")
+    files = packed(spark, written_markdown(spark, folder))
+    typed = typed_documents(files.select("source", F.col("content").cast("string").alias("text")))
+    return typed.select("type", _doc_id("source"), "text")
 
 
 @query("scan_markdown_nonblank", """
   SELECT doc_id, trim(text, ' ' || chr(10)) AS content FROM documents WHERE n_chars % 10 <> 0 AND trim(text, ' ' || chr(10)) <> ''""")
 def scan_markdown_nonblank(spark, folder):
-    files = nonblank_markdown(spark, written_markdown(spark, folder), "*.txt")
-    key = F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("long")
-    return files.select(key.alias("doc_id"), "content")
+    files = packed(spark, written_markdown(spark, folder))
+    return nonblank_documents(files.withColumnRenamed("source", "path")).select(_doc_id("path"), "content")
+
+
+@query("scan_markdown_names", """
+  SELECT 'source=' || source AS type, count(*) AS n FROM documents GROUP BY 1""")
+def scan_markdown_names(spark, folder):
+    files = packed(spark, written_markdown(spark, folder), contents=False)
+    return files.groupBy(F.split_part("source", F.lit("/"), F.lit(1)).alias("type")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("sink_questions", """

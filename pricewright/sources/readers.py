@@ -58,11 +58,13 @@ def markdown_files(spark: SparkSession, root: str, names: str = "*.md") -> DataF
     """Every file of the given name below a first-level folder, which gives the document type."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=names)
     relative = F.regexp_replace(F.col("_metadata.file_path"), "^.*?" + _tail(root) + "/", "")
-    return (
-        files.select(relative.alias("source"), F.col("value").alias("text"))
-        .filter(F.col("source").contains("/"))
-        .select(F.split_part("source", F.lit("/"), F.lit(1)).alias("type"), "source", "text")
-    )
+    return typed_documents(files.select(relative.alias("source"), F.col("value").alias("text")))
+
+
+def typed_documents(files: DataFrame) -> DataFrame:
+    """Documents (``source``, ``text``) below a first-level folder, which gives their type."""
+    return files.filter(F.col("source").contains("/")).select(
+        F.split_part("source", F.lit("/"), F.lit(1)).alias("type"), "source", "text")
 
 
 def nonblank_markdown(spark: SparkSession, root: str, names: str = "*.md") -> DataFrame:
@@ -70,9 +72,14 @@ def nonblank_markdown(spark: SparkSession, root: str, names: str = "*.md") -> Da
     files = spark.read.format("binaryFile").option("pathGlobFilter", names).option(
         "recursiveFileLookup", "true").load(root)
     relative = F.regexp_replace("path", "^.*?" + _tail(root) + "/", "")
+    return nonblank_documents(files.select(relative.alias("path"), "content"))
+
+
+def nonblank_documents(files: DataFrame) -> DataFrame:
+    """Documents (``path``, ``content`` as bytes) as trimmed text, blank ones dropped."""
     # invalid bytes decode to the replacement character
     text = strip(F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit("")))
-    return files.select(relative.alias("path"), text.alias("content")).filter("content <> ''")
+    return files.select("path", text.alias("content")).filter("content <> ''")
 
 
 def _tail(root: str) -> str:
