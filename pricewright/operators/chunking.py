@@ -34,19 +34,26 @@ def _pieces(text: str, size: int, separators: tuple[str, ...]) -> list[str]:
     return [piece for piece in result if piece]
 
 
-def recursive_chunks(text: str, size: int = fixed.CHUNK_CHARS, overlap: int = fixed.CHUNK_OVERLAP) -> list[str]:
-    """Pieces packed greedily up to ``size``; each chunk starts with the last ``overlap`` at most."""
+def recursive_spans(text: str, size: int = fixed.CHUNK_CHARS, overlap: int = fixed.CHUNK_OVERLAP) -> list[tuple[int, int]]:
+    """Where the chunks of ``recursive_chunks`` begin and end in the text."""
     pieces = _pieces(text, size, SEPARATORS)
-    chunks, start, length = [], 0, 0
+    spans, start, begin, end = [], 0, 0, 0
     for at, piece in enumerate(pieces):
-        if length + len(piece) > size:
-            chunks.append("".join(pieces[start:at]))
-            while start < at and (length > overlap or length + len(piece) > size):
-                length -= len(pieces[start])
+        if end - begin + len(piece) > size:
+            spans.append((begin, end))
+            while start < at and (end - begin > overlap or end - begin + len(piece) > size):
+                begin += len(pieces[start])
                 start += 1
-        length += len(piece)
-    chunks.append("".join(pieces[start:]))
-    return [chunk.strip() for chunk in chunks if chunk.strip()]
+        end += len(piece)
+    spans.append((begin, end))
+    chunks = [(begin, text[begin:end]) for begin, end in spans]
+    bare = [(begin + len(chunk) - len(chunk.lstrip()), chunk.strip()) for begin, chunk in chunks]
+    return [(begin, begin + len(chunk)) for begin, chunk in bare if chunk]
+
+
+def recursive_chunks(text: str, size: int = fixed.CHUNK_CHARS, overlap: int = fixed.CHUNK_OVERLAP) -> list[str]:
+    """Pieces packed greedily up to ``size``; each chunk starts with the last ``overlap`` at most."""
+    return [text[begin:end] for begin, end in recursive_spans(text, size, overlap)]
 
 
 def chunk_table(documents: DataFrame, chunker: Callable[[str], list[str]] = recursive_chunks) -> DataFrame:
