@@ -7,6 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import functions as F
 
 from pricewright.functions.deals import describe_deal, split_features
+from pricewright.functions.markup import page_tokens, scanned_page, scanned_title
 from pricewright.functions.pages import (
     all_links,
     nonempty,
@@ -57,6 +58,15 @@ def text_of_pages(spark, folder):
         "page_id", page_title(html).alias("title"), page_text(html).alias("page_text"))
 
 
+@query("page_text_scanned", f"SELECT page_id, {_TITLE} AS title, {_PAGE} AS page_text, true AS whole FROM pages")
+def scanned_pages(spark, folder):
+    # one pass of the scanner per page; its tokens serve all columns
+    pages = spread(table(spark, folder, "pages").select("page_id", "html")).withColumn("tokens", page_tokens(F.col("html")))
+    tokens = F.col("tokens")
+    return pages.select("page_id", scanned_title(tokens).alias("title"), scanned_page(tokens).alias("page_text"),
+                        (F.array_join(tokens, "") == F.col("html")).alias("whole"))
+
+
 @query("scan_pages", f"""
   SELECT page_id, url, {_PAGE} AS page_text, len(list_filter({_LINKS}, lambda l: l <> '')) AS n_links FROM pages""")
 def scan_pages(spark, folder):
