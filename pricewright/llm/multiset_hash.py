@@ -185,18 +185,25 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     blocks = BLOCK_SLACK * shuffle_parts(docs.sparkSession)
     found = rows.select("doc_id").approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.25 / blocks)
 
-    def numbered(borders: list[int], place: Column) -> Column:
-        begins = [F.lit(value).cast("long") for value in borders]
-        return F.size(F.filter(F.array(*begins), lambda value: value <= place)) if begins else F.lit(0)
+    def numbered(borders: list[int], place: str) -> Column:
+        """How many borders are at or below a place, found by halves; 0 for a null place."""
+
+        def branch(low: int, high: int) -> str:
+            if low == high:
+                return str(low)
+            middle = (low + high + 1) // 2
+            return (f"CASE WHEN {place} >= {borders[middle - 1]}L THEN {branch(middle, high)} "
+                    f"ELSE {branch(low, middle - 1)} END")
+
+        return F.expr(branch(0, len(borders)))
 
     # sampled borders went through doubles: the least identifier from each border on begins its block
     sampled = sorted({min(int(value), MOST) for value in found})
-    firsts = rows.groupBy(numbered(sampled, F.col("doc_id")).alias("block")).agg(F.min("doc_id").alias("first")).collect()
+    firsts = rows.groupBy(numbered(sampled, "doc_id").alias("block")).agg(F.min("doc_id").alias("first")).collect()
     known = sorted(row["first"] for row in firsts if row["first"] is not None)
     # identifiers that begin a block: bounded by the number of blocks
     least, splitters = (known[0], known[1:]) if known else (0, [])
-    place = F.coalesce(F.col("doc_id"), F.lit(least))
-    block = numbered(splitters, place)
+    block = numbered(splitters, f"coalesce(doc_id, {least}L)")
     last = len(splitters)
     first_of_all = F.coalesce(F.col("doc_id"), F.lit(least)) == F.lit(least)
     opens = first_of_all | F.coalesce(F.col("doc_id").isin(splitters), F.lit(False))
