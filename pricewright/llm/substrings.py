@@ -14,7 +14,9 @@ later pass meets its decisions without moving a text again. Three passes:
 3. Each block takes out the words that repeated windows cover.
 
 A block names a window once however often it occurs there, so a passage that all
-documents share is one entry per block, and no task sees more than its slice.
+documents share is one entry per block, and no task sees more than its slice. Buckets
+grow with the bytes of all texts and slices with the number of all windows, so that
+neither a task's read nor an owner's memory grows with the input.
 """
 
 from __future__ import annotations
@@ -36,7 +38,11 @@ WINDOW = 35
 DEPTH = 2
 CELLS_PER_WINDOW = 4
 BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 32 << 20
+MOST_BUCKETS = 100_000  # what Spark allows by default
+SLICE_WINDOWS = 1 << 22
 _SECOND_BASE = 0xA0761D6478BD642F
+_SECOND_BYTE_BASE = 0xE7037ED1A0B428DB
 
 _BLOCK_DDL = "block long, doc_id long, text string, windows long"
 
@@ -58,14 +64,14 @@ def _blocks(window: int):
 
 
 class _Windows:
-    """All windows of a block: content in 128 bits, and the word each begins at."""
+    """All windows of a block: content in 128 bits, both halves from the bytes on, and the word each begins at."""
 
     def __init__(self, column: pa.Array, window: int):
         _, data, offsets = next(pieces_of(column, 1 << 62))
         self.words = Words(data, offsets)
         hashes = self.words.hashes()
         self.low, self.at = self.words.grams(hashes, window)
-        self.high = span_hashes(hashes, self.at, self.at + window, _SECOND_BASE)
+        self.high = span_hashes(self.words.hashes(_SECOND_BYTE_BASE), self.at, self.at + window, _SECOND_BASE)
 
     def cells(self, row: int, width: int) -> np.ndarray:
         return (self.low if row == 0 else self.high) & np.uint64(width - 1)
@@ -250,14 +256,19 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, digests: bool = False
     empty result.
     """
     spark = docs.sparkSession
-    slices = shuffle_parts(spark)
+    parts = shuffle_parts(spark)
+    rows = texts(docs, key, text)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(parts, -(-size // BUCKET_BYTES)))
     folder = scratch_path(spark, "blocks")
     name = "blocks_" + folder.rpartition("-")[2]
-    dealt = texts(docs, key, text).mapInArrow(_blocks(window), _BLOCK_DDL)
-    dealt.write.bucketBy(slices, "block").sortBy("block").option("path", folder).option(
-        "compression", "zstd").saveAsTable(name)
+    rows.mapInArrow(_blocks(window), _BLOCK_DDL).write.bucketBy(buckets, "block").sortBy("block").option(
+        "path", folder).option("compression", "zstd").saveAsTable(name)
     blocks = spark.table(name)
-    width = _width(blocks.agg(F.sum("windows")).first()[0] or 0)
+    windows = blocks.agg(F.sum("windows")).first()[0] or 0
+    spark.sql(f"DROP TABLE {name}")  # leaves the files, which the plan already knows, and no entry in the catalog
+    slices = max(parts, -(-windows // SLICE_WINDOWS))
+    width = _width(windows)
     by_block = blocks.select("block", "doc_id", "text").groupBy("block")
 
     sent = blocks.select("block", "text").sortWithinPartitions("block").mapInArrow(

@@ -75,8 +75,9 @@ class Words:
         self.ends = np.flatnonzero(stops) + 1
         self.first = np.searchsorted(self.starts, offsets)
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data.astype(np.uint64) + np.uint64(1), self.starts, self.ends, _BYTE_BASE)
+    def hashes(self, base: int = _BYTE_BASE) -> np.ndarray:
+        """A hash of each word; those of two (odd) bases are independent of each other."""
+        return span_hashes(self.data.astype(np.uint64) + np.uint64(1), self.starts, self.ends, base)
 
     def grams(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``size`` words inside one text, and the word each begins at."""

@@ -515,6 +515,14 @@ def test_a_narrow_sketch_loses_nothing(docs, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in substrings.without_repeats(docs).collect()} == want
 
 
+def test_buckets_and_slices_grow_with_the_input(spark, docs, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 1 << 12)
+    monkeypatch.setattr(substrings, "SLICE_WINDOWS", 64)
+    want = removed_by_force([(i, t) for i, t, *_ in awkward()])
+    assert {r[0]: tuple(r)[1:] for r in substrings.without_repeats(docs).collect()} == want
+    assert not [table for table in spark.catalog.listTables() if table.name.startswith("blocks_")]
+
+
 # empty tables
 
 @pytest.mark.parametrize("operator", [
