@@ -10,6 +10,7 @@ from pricewright import fixed_values as fixed
 from pricewright.functions.products import without_code_tokens
 from pricewright.operators.boosting import fit_boosted
 from pricewright.operators.curation import curate
+from pricewright.operators.layout import neighbour_graph, neighbour_layout
 from pricewright.operators.models import (
     bag_of_words,
     embed,
@@ -79,6 +80,16 @@ def project_2d_3d(spark, folder):
     ).unionByName(deep.select("vec_id", "label", F.lit(3).alias("dimensions"), "point"))
 
 
+@query("neighbour_layout")
+def neighbours_in_2d_3d(spark, folder):
+    vectors = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    graph = staged(neighbour_graph(vectors.filter("vector is not null")), "graph")
+    laid = [neighbour_layout(vectors, n, graph).withColumn("dimensions", F.lit(n)) for n in (2, 3)]
+    return laid[0].unionByName(laid[1]).join(vectors.drop("vector"), "id").select(
+        F.col("id").alias("vec_id"), "label", "dimensions", "point")
+
+
 _TARGET = "(SELECT avg(ln(1 + l_extendedprice)) AS mean, stddev_samp(ln(1 + l_extendedprice)) AS dev FROM lineitem)"
 
 
