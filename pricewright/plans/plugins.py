@@ -49,10 +49,41 @@ def _cut(spark, folder):
             chunks(d.text, {fixed.CHUNK_CHARS}, {fixed.CHUNK_OVERLAP}, true) c""", documents=documents)
 
 
+def _split(pieces: str, separator: str) -> str:
+    """SQL for a list of pieces, those that are too long cut before each separator."""
+    return f"""flatten(list_transform({pieces}, lambda p: CASE WHEN length(p) <= {fixed.CHUNK_CHARS} THEN [p] ELSE
+      list_transform(string_split(p, {separator}), lambda x, i: CASE WHEN i = 1 THEN x ELSE {separator} || x END) END))"""
+
+
+_BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(32) || chr(133) || chr(160)"
+
+
 @query("chunker", f"""
+  WITH RECURSIVE pieces AS (SELECT doc_id, text, flatten(list_transform({_split(_split(_split("[text]", "chr(10) || chr(10)"), "chr(10)"), "' '")},
+      lambda p: CASE WHEN length(p) <= {fixed.CHUNK_CHARS} THEN [p] ELSE string_split(p, '') END)) AS pieces FROM documents WHERE text <> ''),
+  parts AS (SELECT doc_id, generate_subscripts(pieces, 1) AS i, unnest(pieces) AS piece FROM pieces),
+  spots AS (SELECT doc_id, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop,
+    length(piece) AS n FROM parts WHERE piece <> ''),
+  ends AS (SELECT doc_id, list(stop ORDER BY stop) AS stops, list(n ORDER BY stop) AS sizes FROM spots GROUP BY 1),
+  chunks AS (
+    SELECT doc_id, 0::BIGINT AS span, 0::BIGINT AS start,
+      len(list_filter(stops, lambda e: e <= {fixed.CHUNK_CHARS})) AS done FROM ends
+    UNION ALL
+    SELECT doc_id, span + 1, start, len(list_filter(stops, lambda e: e <= start + {fixed.CHUNK_CHARS})) FROM (
+      SELECT doc_id, span, stops, list_min(list_filter(list_concat([0::BIGINT], stops[:done]),
+        lambda e: stops[done] - e <= least({fixed.CHUNK_OVERLAP}, {fixed.CHUNK_CHARS} - sizes[done + 1]))) AS start
+      FROM chunks JOIN ends USING (doc_id) WHERE done < len(stops))),
+  texts AS (SELECT c.doc_id, c.span, trim(substring(d.text, c.start + 1, e.stops[c.done] - c.start), {_BLANKS}) AS text
+    FROM chunks c JOIN ends e USING (doc_id) JOIN documents d USING (doc_id))
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY span) - 1 AS chunk_no, text FROM texts WHERE text <> ''""")
+def outside_chunker(spark, folder):
+    return _cut(spark, folder).select("doc_id", "chunk_no", "text")
+
+
+@query("chunker_coverage", f"""
   SELECT doc_id, CAST(length(regexp_replace(text, '\\s+', '', 'g')) AS BIGINT) AS n_covered, true AS within_size, true AS within_overlap
   FROM documents WHERE regexp_matches(text, '\\S')""")
-def outside_chunker(spark, folder):
+def chunker_coverage(spark, folder):
     # what any sound chunking has in common: all signs are covered, sizes and overlaps keep their limits
     before = F.lag(F.col("start") + F.col("length"), 1, 0).over(Window.partitionBy("doc_id").orderBy("chunk_no"))
     cut = _cut(spark, folder).withColumn("shared", F.greatest(before - F.col("start"), F.lit(0)))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 
+from __spark_entry__ import PLANS
 from pricewright.operators.chunking import recursive_chunks, recursive_spans
 from pricewright.operators.table_functions import hashed_words_vector, register
 
@@ -68,3 +69,10 @@ def test_tokens_and_plug_ins(spark, documents):
     assert [(r.position, r.token_id, r.token) for r in tokens] == [(0, 0, "a"), (1, 1, "b"), (2, 2, "z")]
     none = spark.sql("SELECT t.* FROM {d} d, LATERAL vocabulary(d.text, array('one')) t WHERE d.text IS NULL", d=documents)
     assert none.columns == ["position", "token_id"] and none.count() == 0
+
+
+def test_the_chunker_query_gives_every_chunk_with_its_text(spark, folder):
+    got = PLANS["chunker"](spark, folder)
+    own = PLANS["chunk_recursive"](spark, folder)
+    assert sorted(got.columns) == ["chunk_no", "doc_id", "text"]
+    assert sorted(map(tuple, got.select(*own.columns).collect())) == sorted(map(tuple, own.collect()))
