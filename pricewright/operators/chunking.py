@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
 
+HELD_CHARS = 1 << 20  # of chunks, before they leave a task
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
@@ -57,17 +58,34 @@ def recursive_chunks(text: str, size: int = fixed.CHUNK_CHARS, overlap: int = fi
 
 
 def chunk_table(documents: DataFrame, chunker: Callable[[str], list[str]] = recursive_chunks) -> DataFrame:
-    """(doc_id, chunk_no, text) by any function from one text to its chunks."""
+    """(doc_id, chunk_no, text) by any function from one text to its chunks.
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = batch["text"].fillna("").map(chunker)
-            rows = pd.DataFrame({"doc_id": batch["doc_id"], "text": parts})
-            rows["chunk_no"] = parts.map(lambda p: list(range(len(p))))
-            rows = rows[parts.map(len) > 0].explode(["text", "chunk_no"])
-            yield rows[["doc_id", "chunk_no", "text"]]
+    A task holds one batch of texts as Arrow has it and the chunks of ``HELD_CHARS``.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, numbers, chunks, held = [], [], [], 0
 
-    return documents.select("doc_id", "text").mapInPandas(cut, "doc_id long, chunk_no long, text string")
+        def batch_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), pa.array(chunks, pa.string())],
+                names=["doc_id", "chunk_no", "text"])
+
+        for batch in batches:
+            for key, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                parts = chunker(text.as_py() or "")
+                ids += [key.as_py()] * len(parts)
+                numbers += range(len(parts))
+                chunks += parts
+                held += sum(map(len, parts))
+                if held >= HELD_CHARS:
+                    yield batch_of()
+                    ids, numbers, chunks, held = [], [], [], 0
+        if chunks:
+            yield batch_of()
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        cut, "doc_id long, chunk_no long, text string")
 
 
 def window_chunks(documents: DataFrame, words: int, overlap: int) -> DataFrame:

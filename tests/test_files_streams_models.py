@@ -2,6 +2,7 @@ import os
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -209,6 +210,22 @@ def test_chunks_of_unbroken_text_overlap():
     assert recursive_chunks("ab " + text, 500, 200)[-1][:200] == recursive_chunks("ab " + text, 500, 200)[-2][-200:]
 
 
+def test_chunks_leave_a_task_in_small_batches(spark):
+    class Caught:  # gives back the function that tasks would run
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    texts = [("ab " * 300_000), None, "", *["word " * 4000] * 60]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    out = list(chunk_table(Caught())(iter([batch, batch.slice(0, 0)])))
+    assert len(out) > 2 and max(sum(map(len, one["text"].to_pylist())) for one in out) < 3_000_000
+    rows = [tuple(row.values()) for one in out for row in one.to_pylist()]
+    assert rows == [(i, n, chunk) for i, text in enumerate(texts) for n, chunk in enumerate(recursive_chunks(text or ""))]
+
+
 def test_any_chunker_can_be_used(spark):
     documents = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "doc_id long, text string")
     got = sorted((r.doc_id, r.chunk_no, r.text) for r in chunk_table(documents, str.split).collect())
