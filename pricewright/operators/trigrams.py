@@ -1,7 +1,7 @@
 """Substring search with an inverted index of character trigrams.
 
-Building reads each text once. Every Arrow batch of texts becomes a segment: its
-lower-cased texts, and a row for each different trigram (and single letter and pair, for
+Building reads each text once. Texts that follow each other become a segment of at most
+``SEGMENT_BYTES``: its lower-cased texts, and a row for each different trigram (and single letter and pair, for
 short terms) with the sorted chunks that have it. A question visits the segments that
 have the rarest gram of one of its terms. There the lists of all grams of a term are
 intersected, the texts of what is left decide, and only results leave the task. Terms,
@@ -24,6 +24,7 @@ from pricewright.session import staged
 
 GRAM = 3
 ASKED_BLOCK, SLICE_ROWS = 4096, 4096
+SEGMENT_BYTES = 4 << 20  # of the texts of a segment
 SCAN_ABOVE = 4  # candidates a text from which on all texts are read
 _BITS = 21  # of a code point
 
@@ -41,27 +42,44 @@ def grams_of(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _cuts(texts: pa.Array) -> list[int]:
+    """Where slices of ``SEGMENT_BYTES`` begin, and the end; a longer text is a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    cuts, held = [0], 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > SEGMENT_BYTES:
+            cuts.append(i)
+            held = 0
+        held += size
+    return [*cuts, len(sizes)]
+
+
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part = TaskContext.get().partitionId() << 32
-    for number, batch in enumerate(batches):
-        found = [grams_of(text) if text else np.zeros(0, dtype=np.int64) for text in batch.column("text").to_pylist()]
-        if not found:
-            continue
-        order = np.argsort(batch.column("chunk_id").to_numpy(), kind="stable")
-        ids = np.repeat(batch.column("chunk_id").to_numpy()[order], [len(found[i]) for i in order])
-        grams = np.concatenate([found[i] for i in order])
-        by_gram = np.argsort(grams, kind="stable")
-        grams, ids = grams[by_gram], ids[by_gram]
-        begins = np.flatnonzero(np.diff(grams, prepend=-1))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(ids)), pa.int32()), pa.array(ids))
-        names = ["segment", "gram", "chunks", "chunk_id", "text"]
-        count, size = len(begins), len(batch)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(count, part | number)), pa.array(grams[begins]), lists, pa.nulls(count, pa.int64()),
-            pa.nulls(count, pa.string())], names=names)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(size, part | number)), pa.nulls(size, pa.int64()), pa.nulls(size, pa.list_(pa.int64())),
-            batch.column("chunk_id"), batch.column("text").cast(pa.string())], names=names)
+    part, number = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        cuts = _cuts(batch.column("text")) if len(batch) else []
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True) if cuts else ():
+            yield from _segment(part | number, batch.slice(begin, end - begin))
+            number += 1
+
+
+def _segment(number: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    found = [grams_of(text) if text else np.zeros(0, dtype=np.int64) for text in batch.column("text").to_pylist()]
+    order = np.argsort(batch.column("chunk_id").to_numpy(), kind="stable")
+    ids = np.repeat(batch.column("chunk_id").to_numpy()[order], [len(found[i]) for i in order])
+    grams = np.concatenate([found[i] for i in order])
+    by_gram = np.argsort(grams, kind="stable")
+    grams, ids = grams[by_gram], ids[by_gram]
+    begins = np.flatnonzero(np.diff(grams, prepend=-1))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(ids)), pa.int32()), pa.array(ids))
+    names = ["segment", "gram", "chunks", "chunk_id", "text"]
+    count, size = len(begins), len(batch)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(count, number)), pa.array(grams[begins]), lists, pa.nulls(count, pa.int64()),
+        pa.nulls(count, pa.string())], names=names)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(size, number)), pa.nulls(size, pa.int64()), pa.nulls(size, pa.list_(pa.int64())),
+        batch.column("chunk_id"), batch.column("text").cast(pa.string())], names=names)
 
 
 def _longest_grams(term: str) -> list[int]:

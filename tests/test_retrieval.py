@@ -107,6 +107,18 @@ def test_grams_are_a_filter_that_loses_nothing(spark, monkeypatch, scan_above):
         assert got == {term: n for term, n in want.items() if n}
 
 
+def test_a_segment_holds_no_more_text_than_its_bound(spark):
+    texts = [f"{mark} abcdefgh " * 120_000 for mark in ("one", "two", "six")] * 2 + ["", None, "x" * 5_000_000, "two"]
+    chunks = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string").coalesce(1)
+    index = staged(trigrams.postings(chunks), "index")
+    sizes = index.filter("text IS NOT NULL").groupBy("segment").agg(
+        F.sum(F.octet_length("text")).alias("bytes"), F.count_if(F.col("text") != "").alias("n")).collect()
+    assert len(sizes) > 3 and all(r.bytes <= trigrams.SEGMENT_BYTES or r.n == 1 for r in sizes)
+    terms = spark.createDataFrame([("two",), ("xxxx",), ("six abc",), ("",)], "term string")
+    got = {r.term: r.n_chunks for r in trigrams.term_counts(chunks, terms, index).collect()}
+    assert got == {"two": 3, "xxxx": 1, "six abc": 2, "": 9}
+
+
 def test_lexical_equals_brute_force(spark):
     texts = ["The Cat sat", "a dog", "cat and DOG and bird", "", None, "caterpillar"] * 4
     terms = {1: ["cat", "dog"], 2: ["BIRD", "zebra"], 3: [], 4: ["cat", "cat"], 5: ["nothing here"]}
