@@ -4,7 +4,7 @@ Features are cut into bins at approximate quantiles. With squared errors a tree
 no more of the rows than, for each different vector of bins, how many there are and
 the sum of their labels: residuals of later rounds follow from these, as all rows of a
 vector have one prediction. One aggregation over all rows makes this table; bins are
-halved until it has at most ``MOST_CELLS`` rows, whatever the data. All rounds
+halved, and its rows added up, until it has at most ``MOST_CELLS`` rows, whatever the data. All rounds
 then run over the table in one task, which is a bounded one, and Spark repeats it if its
 executor is lost.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright import fixed_values as fixed
-from pricewright.session import staged
+from pricewright.session import spread, staged
 
 DEPTH, BINS, SHRINKAGE = 6, 32, 1.0
 MOST_CELLS = 1 << 17
@@ -40,15 +40,18 @@ class BoostedTrees:
     losses: np.ndarray  # mean squared error before each round
 
     def predict(self, frame: pd.DataFrame) -> pd.Series:
-        bins = _binned([frame[name].to_numpy(dtype=np.float64) for name in self.features], self.edges)
-        rows, out = np.arange(len(frame)), np.full(len(frame), self.base)
+        return pd.Series(self._valued(
+            _binned([frame[name].to_numpy(dtype=np.float64) for name in self.features], self.edges)))
+
+    def _valued(self, bins: np.ndarray) -> np.ndarray:
+        rows, out = np.arange(len(bins)), np.full(len(bins), self.base)
         depth = int(np.log2(self.values.shape[1])) if len(self.values) else 0
         for on, at, values in zip(self.split_on, self.split_at, self.values, strict=True):
-            node = np.zeros(len(frame), dtype=np.int64)
+            node = np.zeros(len(bins), dtype=np.int64)
             for _ in range(depth):
                 node = 2 * node + 1 + (bins[rows, on[node]] > at[node])
             out += values[node - len(on)]
-        return pd.Series(out)
+        return out
 
     def guess(self) -> Column:
         """The prediction as a column of the features."""
@@ -58,6 +61,19 @@ class BoostedTrees:
 
         return apply(F.struct(*[F.col(name).cast("double").alias(name) for name in self.features]))
 
+    def priced(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``guess``. Trees see only bins, so each different vector of bins is predicted once."""
+        binned = rows.withColumn("_bins", F.array(*[
+            _bin(F.coalesce(F.col(name).cast("double"), F.lit(float("nan"))), edge)  # as ``guess`` takes nulls
+            for name, edge in zip(self.features, self.edges, strict=True)]))
+
+        @F.pandas_udf("double")
+        def apply(bins: pd.Series) -> pd.Series:
+            return pd.Series(self._valued(np.stack(bins.to_numpy())) if len(bins) else np.zeros(0))
+
+        different = spread(staged(binned.select("_bins").distinct(), "bins"))
+        return binned.join(staged(different.withColumn("guess", apply("_bins")), "guesses"), "_bins").drop("_bins")
+
 
 def _binned(columns: list[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(edge, column, side="right") for column, edge in zip(columns, edges, strict=True)],
@@ -136,17 +152,21 @@ def fit_boosted(rows: DataFrame, features: list[str], label: str = "price", roun
     base, squares = numbers.agg(F.avg(label), F.sum(F.col(label) ** 2)).first()
     if base is None:
         raise ValueError("there are no rows to learn from")
-    while True:
-        found = numbers.approxQuantile(features, [i / bins for i in range(1, bins)], 0.001)
-        edges = [np.unique(np.array(cuts, dtype=np.float64)) for cuts in found]
-        places = F.array(*[_bin(F.col(name), edge) for name, edge in zip(features, edges, strict=True)])
-        cells = staged(numbers.groupBy(places.alias("bins")).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(label).alias("labels")), "cells")
-        if cells.count() <= MOST_CELLS:
-            break
+    found = numbers.approxQuantile(features, [i / bins for i in range(1, bins)], 0.001)
+    edges = [np.unique(np.array(cuts, dtype=np.float64)) for cuts in found]
+    places = F.array(*[_bin(F.col(name), edge) for name, edge in zip(features, edges, strict=True)])
+    cells = staged(numbers.groupBy(places.alias("bins")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(label).alias("labels")), "cells")
+    while cells.count() > MOST_CELLS:
         if bins <= 2:
             raise ValueError(f"more than {MOST_CELLS} different rows even with two bins: leave features out")
-        bins //= 2
+        # every second edge stays, so wider cells are sums of these: the rows are not read again
+        bins, found, finer = bins // 2, [cuts[1::2] for cuts in found], edges
+        edges = [np.unique(np.array(cuts, dtype=np.float64)) for cuts in found]
+        wider = [F.lit([0, *np.searchsorted(edge, fine, side="right").tolist()]) for edge, fine in zip(edges, finer, strict=True)]
+        cells = staged(cells.groupBy(F.array(*[
+            F.element_at(one, F.col("bins")[i] + 1) for i, one in enumerate(wider)]).alias("bins")).agg(
+            F.sum("rows").alias("rows"), F.sum("labels").alias("labels")), "cells")
     n_bins = max(len(edge) for edge in edges) + 1
     grown = cells.repartition(1).sortWithinPartitions("bins").mapInArrow(
         _grow(len(features), n_bins, base, squares, rounds, rate, depth),
