@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TASK_ROWS = 200_000
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -62,6 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def dealt(df: DataFrame, key: str, most: int = TASK_ROWS) -> DataFrame:
+    """Deal rows out by a key so that a task has about ``most`` rows; an input with enough splits is left alone."""
+    parts = -(-df.count() // most)
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts, key)
+
+
 def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder (a folder per value of ``partition_by``) and read it back.
 

@@ -21,6 +21,7 @@ from pricewright.operators.models import (
 )
 from pricewright.operators.network import fit_network, gradients
 from pricewright.plans import models
+from pricewright.session import dealt
 from pricewright.streaming.replies import batch_progress, collect_replies
 
 
@@ -170,3 +171,22 @@ def test_replies_are_noted_once_over_restarts(spark, tmp_path):
 
     assert arrive("1", "1") == {0: (2, 1, "submitted"), 1: (1, 0, "submitted")}
     assert arrive("2", "1") == {0: (2, 2, "done"), 1: (1, 0, "submitted")}
+
+
+def test_each_vector_of_bins_is_predicted_once_and_as_each_row(spark, monkeypatch):
+    reads = []
+    quantiles = type(spark.range(1)).approxQuantile
+    monkeypatch.setattr(type(spark.range(1)), "approxQuantile", lambda *args: reads.append(1) or quantiles(*args))
+    monkeypatch.setattr(boosting, "MOST_CELLS", 60)
+    rows = waves(spark).union(spark.createDataFrame([(-1, None, 3.0, 1.0), (-2, float("nan"), None, 2.0)], "id long, x double, y double, price double"))
+    fitted = fit_boosted(rows, ["x", "y"], rounds=20)
+    assert len(reads) == 1  # wider bins come from the cells
+    both = fitted.priced(rows).withColumn("row", fitted.guess()).select("id", "guess", "row").collect()
+    assert len(both) == 3002 and all(r.guess == r.row for r in both)
+
+
+def test_rows_are_dealt_to_tasks_of_a_bounded_size(spark):
+    one = spark.range(1000).coalesce(1)
+    sizes = [r["count"] for r in dealt(one, "id", 100).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 200
+    assert dealt(one, "id", 1000) is one
