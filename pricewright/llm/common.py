@@ -39,13 +39,17 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def worker_store() -> dict:
-    """A dictionary that lives as long as the Python worker, for costly read-only things.
+def worker_store(operator: str) -> dict:
+    """A dictionary for an operator's costly read-only things, that the Python worker keeps from task to task.
 
     Functions are sent to tasks by value, so their module's globals start anew in each task.
+    A worker serves many operators, so what others have left in it goes.
     """
     module = sys.modules.setdefault("_pricewright_worker", types.ModuleType("_pricewright_worker"))
-    return module.__dict__.setdefault("store", {})
+    stores = module.__dict__.setdefault("stores", {})
+    for other in [name for name in stores if name != operator]:
+        del stores[other]
+    return stores.setdefault(operator, {})
 
 
 BROADCAST_KEYS = 100_000

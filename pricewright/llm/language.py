@@ -33,7 +33,7 @@ _STEP = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
 def _letters() -> np.ndarray:
-    store = worker_store()
+    store = worker_store("language")
     if "letters" not in store:
         store["letters"] = np.array([chr(code).isalpha() for code in range(0x110000)])
     return store["letters"]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.common import checked, salted_left_join, salts_of_large_keys, texts, whole
+from pricewright.llm.common import checked, salted_left_join, salts_of_large_keys, texts, whole, worker_store
 from pricewright.llm.components import components
 from pricewright.llm.words import _LOWER, _WORD_BASE, Words, mixed, pieces_of, span_hashes
 from pricewright.session import staged
@@ -39,6 +39,7 @@ BANDS, ROWS = 28, 4
 BATCH = 16
 MISS = 1e-6
 BLOCK = 512
+PIECE_BYTES = 1 << 18  # of texts signed at once; the numbers of their words and runs take many times that
 MOST_BLOCK_ROWS, STARS_WHILE = 2, 0.9  # rows a member before stars are tried, and while they connect a tenth
 _HASHES = BANDS * ROWS
 _RANDOM = np.random.default_rng(20240229)
@@ -78,10 +79,11 @@ _SIGNED_DDL = "doc_id long, mark long, n_shingles long, digest binary, bands arr
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("near_dup")  # nothing is kept, but an encoder of some 100 MB goes
     number = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for batch in batches:
         keys, marks, column = batch.column("doc_id"), batch.column("mark"), batch.column("text")
-        for row, data, offsets in pieces_of(column):
+        for row, data, offsets in pieces_of(column, PIECE_BYTES):
             words = Words(data, offsets, lower=True)
             hashes = words.hashes()
             counts = np.diff(words.first)
@@ -123,6 +125,7 @@ def _likely(per_cent: int, miss: float):
     least = least_agreements(per_cent, miss)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("near_dup")
         for batch in batches:
             if not len(batch):
                 continue
@@ -238,6 +241,7 @@ def shingle_set(text: str) -> set:
 
 def _confirm(per_cent: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("near_dup")
         held, one = None, set()
         for batch in batches:
             out = []

@@ -150,8 +150,8 @@ class Encoder:
 
 
 def encoder(path: str, added: bool = False) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    store = worker_store()
+    """The worker's encoder for a vocabulary file; it stays until another operator asks for its own store."""
+    store = worker_store("tokens")
     if (path, added) not in store:
         store[path, added] = Encoder(path, added)
     return store[path, added]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import weakref
 from collections import defaultdict
 
 import corpus_pipeline as pipeline
+import pyarrow as pa
 from test_operators import links_by_force, lower, words
 
+from pricewright.llm import near_dup, tokens
+from pricewright.llm.queries import BYTE_BPE
+
 
 def test_stages_do_what_they_say(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -48,3 +53,16 @@ def test_near_copies_from_eighty_per_cent_on_go(spark):
     assert {i: first for i, (_, first, _) in links_by_force(rows, 80).items()} == {0: 0, 1: 0, 2: 2}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in pipeline.near_copies(spark, docs, None).collect()} == {0, 2}
+
+
+def test_a_worker_drops_the_encoder_of_another_stage_and_signs_small_pieces():
+    kept = weakref.ref(tokens.encoder(BYTE_BPE, True))
+    assert tokens.encoder(BYTE_BPE, True) is kept()  # from task to task of its own stage
+    ids, texts = list(range(40)), [words(at, 3000) for at in range(40)]
+    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(texts)], names=["doc_id", "mark", "text"])
+    signed = list(near_dup._sign(iter([batch])))
+    assert kept() is None
+    assert sum(map(len, texts)) > 2 * near_dup.PIECE_BYTES
+    assert len(signed) > 2 and [i for part in signed for i in part.column("doc_id").to_pylist()] == ids
+    alone = [row for at in ids for part in near_dup._sign(iter([batch.slice(at, 1)])) for row in part.to_pylist()]
+    assert [row for part in signed for row in part.to_pylist()] == alone
