@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +35,15 @@ def word_places(text: Column, features: int = fixed.HASHED_FEATURES) -> Column:
     return F.array_distinct(F.transform(words, lambda word: F.pmod(F.xxhash64(word), F.lit(features)).cast("int")))
 
 
-def _inputs(places: list[np.ndarray], features: int) -> np.ndarray:
-    out = np.zeros((len(places), features), dtype=np.float32)
-    sizes = [len(one) for one in places]
-    out[np.repeat(np.arange(len(places)), sizes), np.concatenate(places).astype(int) if sum(sizes) else []] = 1.0
-    return out
+def _blocks(places: pa.ListArray, features: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The inputs of a block of rows at a time, from the lists' numbers as Arrow holds them: its first row, and the inputs."""
+    sizes = pc.list_value_length(places).fill_null(0).to_numpy()
+    flat, bounds = places.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
+    for at in range(0, len(places), _ROWS):
+        own = sizes[at:at + _ROWS]
+        out = np.zeros((len(own), features), dtype=np.float32)
+        out[np.repeat(np.arange(len(own)), own), flat[bounds[at]:bounds[at + len(own)]]] = 1.0
+        yield at, out
 
 
 def _layers(weights: list[np.ndarray], inputs: np.ndarray) -> list[np.ndarray]:
@@ -75,8 +80,8 @@ class Network:
 
         @F.pandas_udf("double")
         def apply(places: pd.Series) -> pd.Series:
-            parts = [_layers(weights, _inputs(places.iloc[at:at + _ROWS].tolist(), features))[-1][:, 0]
-                     for at in range(0, len(places), _ROWS)]
+            parts = [_layers(weights, inputs)[-1][:, 0]
+                     for _, inputs in _blocks(pa.array(places, pa.list_(pa.int32())), features)]
             return pd.Series(np.concatenate(parts) if parts else np.zeros(0), dtype="float64")
 
         value = apply(word_places(F.coalesce(text, F.lit("")), features))
@@ -91,14 +96,17 @@ def _step(rows: DataFrame, weights: list[np.ndarray]) -> tuple[float, int, np.nd
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, error, count, total = sent.value, 0.0, 0, None
         for batch in batches:
-            places, target = batch.column("places").to_pylist(), batch.column("target").to_numpy()
-            for at in range(0, len(batch), _ROWS):
-                inputs = _inputs(places[at:at + _ROWS], features)
-                lost, found = gradients(own, inputs, target[at:at + _ROWS].astype(np.float32))
-                flat = np.concatenate([one.ravel() for one in found])
-                error, count, total = error + lost, count + len(inputs), flat if total is None else total + flat
+            target = batch.column("target").to_numpy().astype(np.float32)
+            for at, inputs in _blocks(batch.column("places"), features):
+                lost, found = gradients(own, inputs, target[at:at + _ROWS])
+                error, count = error + lost, count + len(inputs)
+                if total is None:
+                    total = found
+                else:
+                    for sums, more in zip(total, found, strict=True):
+                        sums += more
         if total is not None:
-            slices = np.array_split(total, _SLICES)
+            slices = np.array_split(np.concatenate([one.ravel() for one in total]), _SLICES)
             yield pa.RecordBatch.from_pydict({
                 "slice": pa.array(range(_SLICES), pa.int32()), "error": [error] * _SLICES, "n": [count] * _SLICES,
                 "sums": [one.astype(np.float32).tobytes() for one in slices]})

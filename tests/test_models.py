@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +20,7 @@ from pricewright.operators.models import (
     projected,
     word_counts,
 )
-from pricewright.operators.network import fit_network, gradients
+from pricewright.operators.network import _blocks, fit_network, gradients
 from pricewright.plans import models
 from pricewright.session import dealt
 from pricewright.streaming.replies import batch_progress, collect_replies
@@ -111,6 +112,17 @@ def test_the_net_beats_the_linear_model_on_rows_it_has_not_seen(spark):
     assert fit_network(train, hidden=(4,), features=50, epochs=1, steps=2).guess(F.lit(None).cast("string")) is not None
 
 
+def test_inputs_come_block_by_block_from_lists_as_arrow_holds_them():
+    random = np.random.default_rng(3)
+    rows = [sorted({int(at) for at in random.integers(0, 50, n % 9)}) for n in range(600)] + [None, []]
+    whole = pa.array(rows, pa.list_(pa.int32()))
+    for column, kept in ((whole, rows), (whole.slice(7, 300), rows[7:307]), (whole.slice(600), rows[600:]), (whole.slice(602), [])):
+        blocks = list(_blocks(column, 50))
+        assert sum(len(block) for _, block in blocks) == len(kept) and max([0, *(len(block) for _, block in blocks)]) <= 256
+        for first, block in blocks:
+            assert [list(np.flatnonzero(row)) for row in block] == [row or [] for row in kept[first:first + len(block)]]
+
+
 def test_gradients_are_slopes_of_the_error():
     random = np.random.default_rng(1)
     weights = [random.normal(size=shape) for shape in ((6, 5), (5,), (5, 4), (4,), (4, 1), (1,))]
