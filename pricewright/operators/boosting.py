@@ -3,10 +3,10 @@
 Features are cut into bins at approximate quantiles. With squared errors a tree needs
 no more of the rows than, for each different vector of bins, how many there are and
 the sum of their labels: residuals of later rounds follow from these, as all rows of a
-vector have one prediction. One aggregation over all rows makes this table; bins are
-halved, and its rows added up, until it has at most ``MOST_CELLS`` rows, whatever the data. All rounds
-then run over the table in one task, which is a bounded one, and Spark repeats it if its
-executor is lost.
+vector have one prediction. One aggregation over all rows makes this table. All bins are
+kept, however many rows it gets: ``n`` features have at most ``BINS`` to the power of ``n``
+vectors, whatever the data. All rounds then run over the table in one task, ``SLICE`` of its
+rows at a time, and Spark repeats it if its executor is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pricewright import fixed_values as fixed
 from pricewright.session import spread, staged
 
 DEPTH, BINS, SHRINKAGE = 6, 32, 1.0
-MOST_CELLS = 1 << 17
+SLICE = 1 << 17  # rows of the table looked at at once; a sum over rows is one of slices' sums
+MOST_CELLS: int | None = None  # a number asks for coarser bins: halved until the table has at most so many rows
 
 
 @dataclass
@@ -100,39 +101,59 @@ def _best_splits(sums: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return np.where(found, on, 0), np.where(found, at, sums.shape[2])
 
 
+def _packed(batches: Iterator[pa.RecordBatch], wide: int, n_bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The table's bins, a row per feature, its numbers of rows and its sums of labels."""
+    kind, parts = np.min_scalar_type(n_bins), []
+    for batch in batches:
+        bins = batch.column("bins").flatten().to_numpy().reshape(-1, wide).astype(kind)
+        parts.append((bins, batch.column("rows").to_numpy().astype(np.float64), batch.column("labels").to_numpy()))
+    bins, rows, labels = zip(*parts, strict=True)
+    return np.ascontiguousarray(np.concatenate(bins).T), np.concatenate(rows), np.concatenate(labels)
+
+
 def _grow(wide: int, n_bins: int, base: float, squares: float, rounds: int, rate: float, depth: int):
-    inner, leaves = 2 ** depth - 1, 2 ** depth
+    inner, leaves, size = 2 ** depth - 1, 2 ** depth, SLICE
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        bins = table["bins"].combine_chunks().flatten().to_numpy().reshape(-1, wide)
-        rows, labels = table["rows"].to_numpy().astype(np.float64), table["labels"].to_numpy()
-        places = bins.astype(np.int64) + np.arange(wide) * n_bins
-        guess, every = np.full(len(rows), base), np.arange(len(rows))
-
-        def histograms(node: np.ndarray, cells: np.ndarray, count: int) -> np.ndarray:
-            size = count * wide * n_bins
-            at = (node[cells, None] * (wide * n_bins) + places[cells]).ravel()
-            return np.stack([np.bincount(at, np.repeat(weight[cells], wide), size) for weight in (left_over, rows)]).reshape(
-                2, count, wide, n_bins)
+        bins, rows, labels = _packed(batches, wide, n_bins)
+        guess, node, every = np.full(len(rows), base), np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+        slices = [slice(start, start + size) for start in range(0, len(rows), size)]
+
+        def weights(here: slice) -> tuple[np.ndarray, np.ndarray]:
+            return labels[here] - rows[here] * guess[here], rows[here]
+
+        def histograms(here: slice, count: int) -> np.ndarray:
+            """Sums and counts by node, feature and bin; below the root only of the left child of each node."""
+            at, columns, weighed = node[here], bins[:, here], weights(here)
+            if count > 1:
+                cells = np.flatnonzero((at & 1) == 0)
+                at, columns, weighed = at.take(cells) >> 1, columns.take(cells, axis=1), [weight.take(cells) for weight in weighed]
+                count //= 2
+            at = at * n_bins
+            places = [at + column for column in columns]
+            return np.stack([[np.bincount(place, weight, count * n_bins) for place in places] for weight in weighed]).reshape(
+                2, wide, count, n_bins).swapaxes(1, 2)
 
         for number in range(rounds):
-            loss = squares - 2 * (guess * labels).sum() + (rows * guess ** 2).sum()
-            left_over = labels - rows * guess
+            loss = (squares - 2 * sum((guess[here] * labels[here]).sum() for here in slices)
+                    + sum((rows[here] * guess[here] ** 2).sum() for here in slices))
             on, at = np.zeros(inner, dtype=np.int16), np.full(inner, n_bins, dtype=np.int16)
-            node, above = np.zeros(len(rows), dtype=np.int64), None
+            node[:], above = 0, None
             for level in range(depth):
                 count = 2 ** level
-                if above is None:
-                    above = histograms(node, every, 1)
-                else:  # only the left child of each node; the right one is the rest
-                    left = histograms(node // 2, np.flatnonzero(node % 2 == 0), count // 2)
-                    above = np.stack([left, above - left], axis=2).reshape(2, count, wide, n_bins)
-                here = slice(count - 1, 2 * count - 1)
-                on[here], at[here] = _best_splits(*above)
-                node = 2 * node + (bins[every, on[count - 1 + node]] > at[count - 1 + node])
-            values = rate * np.bincount(node, left_over, leaves) / (np.bincount(node, rows, leaves) + SHRINKAGE)
-            guess += values[node]
+                found = sum(histograms(here, count) for here in slices)
+                if above is not None:  # the right child is the rest
+                    found = np.stack([found, above - found], axis=2).reshape(2, count, wide, n_bins)
+                above = found
+                split_on, split_at = _best_splits(*above)
+                on[count - 1:2 * count - 1], at[count - 1:2 * count - 1] = split_on, split_at
+                for here in slices:
+                    was = node[here]
+                    node[here] = 2 * was + (bins.take((split_on * len(rows)).take(was) + every[here]) > split_at.take(was))
+            sums, counts = sum(np.stack([np.bincount(node[here], weight, leaves) for weight in weights(here)]) for here in slices)
+            values = rate * sums / (counts + SHRINKAGE)
+            for here in slices:
+                guess[here] += values[node[here]]
             yield pa.RecordBatch.from_pydict({
                 "round": pa.array([number], pa.int32()), "split_on": [on.tobytes()], "split_at": [at.tobytes()],
                 "leaf": [values.tobytes()], "loss": [float(loss / rows.sum())]})
@@ -142,10 +163,7 @@ def _grow(wide: int, n_bins: int, base: float, squares: float, rounds: int, rate
 
 def fit_boosted(rows: DataFrame, features: list[str], label: str = "price", rounds: int = fixed.BOOST_ROUNDS,
                 rate: float = fixed.BOOST_RATE, depth: int = DEPTH, bins: int = BINS) -> BoostedTrees:
-    """Boosted trees for ``label``; rows without a label or a feature are left out.
-
-    Up to 17 features always fit into ``MOST_CELLS``; more do if they depend on each other.
-    """
+    """Boosted trees for ``label``; rows without a label or a feature are left out."""
     columns = [*features, label]
     numbers = rows.select(*[F.col(name).cast("double").alias(name) for name in columns]).dropna()
     numbers = staged(numbers, "boosted-rows")
@@ -157,7 +175,7 @@ def fit_boosted(rows: DataFrame, features: list[str], label: str = "price", roun
     places = F.array(*[_bin(F.col(name), edge) for name, edge in zip(features, edges, strict=True)])
     cells = staged(numbers.groupBy(places.alias("bins")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(label).alias("labels")), "cells")
-    while cells.count() > MOST_CELLS:
+    while MOST_CELLS is not None and cells.count() > MOST_CELLS:
         if bins <= 2:
             raise ValueError(f"more than {MOST_CELLS} different rows even with two bins: leave features out")
         # every second edge stays, so wider cells are sums of these: the rows are not read again

@@ -197,6 +197,25 @@ def test_each_vector_of_bins_is_predicted_once_and_as_each_row(spark, monkeypatc
     assert len(both) == 3002 and all(r.guess == r.row for r in both)
 
 
+def test_all_bins_are_kept_however_many_cells_there_are(spark):
+    names = ["a", "b", "c", "d"]
+    rows = spark.range(200_000).select(*[
+        F.pmod(F.xxhash64("id", F.lit(name)), F.lit(32_000)).cast("double").alias(name) for name in names])
+    rows = rows.withColumn("price", F.when(F.col("a") < 1000, 400.0).otherwise(0.0))  # the first of 32 bins
+    fitted = fit_boosted(rows, names, rounds=30)
+    assert [len(edge) for edge in fitted.edges] == [31] * 4
+    far = fitted.priced(rows).filter(F.abs(F.col("guess") - F.col("price")) > 50).count()
+    assert far < 0.005 * 200_000  # with 16 bins 0.06
+
+
+def test_trees_are_the_same_in_slices(spark, monkeypatch):
+    whole = fit_boosted(waves(spark), ["x", "y"], rounds=20)
+    monkeypatch.setattr(boosting, "SLICE", 7)
+    sliced = fit_boosted(waves(spark), ["x", "y"], rounds=20)
+    assert (whole.split_on == sliced.split_on).all() and (whole.split_at == sliced.split_at).all()
+    assert np.allclose(whole.values, sliced.values) and np.allclose(whole.losses, sliced.losses)
+
+
 def test_rows_are_dealt_to_tasks_of_a_bounded_size(spark):
     one = spark.range(1000).coalesce(1)
     sizes = [r["count"] for r in dealt(one, "id", 100).groupBy(F.spark_partition_id()).count().collect()]
